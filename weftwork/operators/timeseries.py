@@ -32,7 +32,7 @@ def daily_term_counts(
     rows = df.select(F.to_date(time).alias("date"), F.filter(tokens, lambda w: w.isin(terms)).alias("_w"))
     per_day = rows.groupBy("date").agg(
         *[
-            F.sum(F.size(F.filter("_w", lambda w, t=term: w == t))).cast("long").alias(f"_t{i}")
+            F.sum(F.size("_w") - F.size(F.array_remove("_w", term))).cast("long").alias(f"_t{i}")
             for i, term in enumerate(terms)
         ]
     )

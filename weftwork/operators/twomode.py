@@ -23,7 +23,7 @@ def incidence(df: DataFrame, row: str, col: str) -> DataFrame:
 
 def incidence_matrix(cells: DataFrame, columns: list) -> DataFrame:
     """row_item with a 0/1 column per listed column item."""
-    wide = cells.groupBy("row_item").pivot("col_item", columns).agg(F.count("*"))
+    wide = cells.groupBy("row_item").pivot("col_item", columns).agg(F.count(F.lit(1)))
     return wide.select("row_item", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(str(c)) for c in columns])
 
 
