@@ -73,10 +73,11 @@ def fit_naive_bayes(weights: DataFrame, labels: DataFrame, doc: str, alpha: floa
 
 
 def class_scores(model: NaiveBayes, docs: DataFrame, weights: DataFrame, doc: str) -> DataFrame:
-    """(doc, label, score): log prior plus the weighted log probabilities of the known terms.
+    """(doc, label, score): log prior plus the weighted log probabilities of the document's terms.
 
-    Each known term becomes one row with its gain over the default in every class, so a
-    document's words are joined once and summed into one column per class.
+    weights holds terms of the fitted vocabulary only; one that no training document has weighs in
+    with the defaults. Each term seen in training is one row with its gain over the default in
+    every class, so a document's words are joined once and summed into one column per class.
     """
     gains = model.terms.join(model.classes, "label").groupBy("term").agg(
         *[
@@ -87,7 +88,7 @@ def class_scores(model: NaiveBayes, docs: DataFrame, weights: DataFrame, doc: st
         ]
     )
     gains = materialise(gains, "gains")
-    sums = weights.join(gains, "term").groupBy(doc).agg(
+    sums = weights.join(gains, "term", "left").groupBy(doc).agg(
         F.sum("weight").alias("_mass"),
         *[F.sum(F.col("weight") * F.col(f"_g{i}")).alias(f"_s{i}") for i in range(len(model.labels))],
     )

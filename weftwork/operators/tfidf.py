@@ -27,7 +27,7 @@ def plain_idf(counts: DataFrame, n_docs: DataFrame, corpus: list[str]) -> DataFr
 def tfidf_plain(df: DataFrame, corpus: list[str], doc: str, tokens: Column) -> DataFrame:
     """Relative frequency times plain_idf, not normalised."""
     counts = V.term_counts(df, [*corpus, doc], tokens)
-    idf = plain_idf(counts, V.document_counts(df, corpus), corpus)
+    idf = materialise(plain_idf(counts, V.document_counts(df, corpus), corpus), "idf")
     return relative_frequencies(counts).join(idf, [*corpus, "term"]).select(
         *corpus, doc, "term", (F.col("tf_ratio") * F.col("idf")).alias("weight")
     )
@@ -73,13 +73,23 @@ def tfidf_matrix(
     N counts all documents of the corpus; the length runs over the surviving terms only.
     """
     counts, terms, n_docs = _fit(df, corpus, doc, tokens, max_terms, min_doc_freq)
+    return Weighted(_weigh(counts, terms, n_docs, corpus, doc), terms, n_docs)
+
+
+def tfidf_transform(fitted: Weighted, df: DataFrame, corpus: list[str], doc: str, tokens: Column) -> DataFrame:
+    """(corpus, doc, term, weight) of other documents, by the vocabulary and idf of a fitted matrix."""
+    counts = V.term_counts(df, [*corpus, doc], tokens)
+    return _weigh(counts, fitted.vocabulary, fitted.n_docs, corpus, doc)
+
+
+def _weigh(counts: DataFrame, terms: DataFrame, n_docs: DataFrame, corpus: list[str], doc: str) -> DataFrame:
     idf = terms.join(n_docs, corpus).select(
         *corpus, "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")
     )
     raw = counts.join(idf, [*corpus, "term"]).select(
         *corpus, doc, "term", (F.col("tf") * F.col("idf")).alias("raw")
     )
-    return Weighted(scaled(raw, [*corpus, doc], "raw"), terms, n_docs)
+    return scaled(raw, [*corpus, doc], "raw")
 
 
 def scaled(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -20,7 +20,7 @@ def term_counts(df: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
     shuffled. The one-element explode keeps the planner from repeating the tokeniser in the
     lambdas.
     """
-    words = df.select(*keys, F.explode(F.array(F.array_sort(tokens))).alias("_w"))
+    words = df.select(*keys, F.explode(F.array(F.sort_array(tokens))).alias("_w"))
     words = words.filter(F.size("_w") > 0)
     n = F.size("_w")
     first = F.filter(

@@ -97,8 +97,8 @@ def highlight_top(spark, folder):
 
 # ---------------------------------------------------------------- classification
 
-SPLIT = """ordered AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS at FROM lab),
-    split AS (SELECT doc_id, at < ceil((SELECT count(*) FROM lab) * 0.3) AS is_test FROM ordered)"""
+SPLIT = """ordered AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS pos FROM lab),
+    split AS (SELECT doc_id, pos < ceil((SELECT count(*) FROM lab) * 0.3) AS is_test FROM ordered)"""
 LABELLED = f"""lab AS (SELECT doc_id, CASE quality WHEN 1 THEN 'good' ELSE 'poor' END AS label FROM labels JOIN documents USING (doc_id)), {SPLIT},
     docs AS (SELECT 'all' AS corpus, doc_id, text FROM documents SEMI JOIN lab USING (doc_id))"""
 BAYES = f"""WITH {LABELLED}, {matrix_sql('corpus', 1000000000, 1, '', 'docs')},
@@ -108,8 +108,8 @@ BAYES = f"""WITH {LABELLED}, {matrix_sql('corpus', 1000000000, 1, '', 'docs')},
     cls AS (SELECT label, ln(count(*) / (SELECT count(*) FROM train)) AS log_prior FROM train GROUP BY label),
     base AS (SELECT label, log_prior, (SELECT sum(s) FROM ct WHERE ct.label = cls.label) + (SELECT v FROM size) AS b FROM cls),
     model AS (SELECT label, term, ln((s + 1) / b) AS log_prob FROM ct JOIN base USING (label)),
-    pairs AS (SELECT doc_id, label, w.weight, coalesce(model.log_prob, ln(1 / b)) AS lp FROM w JOIN split USING (doc_id) CROSS JOIN base
-              LEFT JOIN model ON model.label = base.label AND model.term = w.term WHERE is_test AND w.term IN (SELECT term FROM model)),
+    pairs AS (SELECT doc_id, base.label, w.weight, coalesce(model.log_prob, ln(1 / b)) AS lp FROM w JOIN split USING (doc_id) CROSS JOIN base
+              LEFT JOIN model ON model.label = base.label AND model.term = w.term WHERE is_test),
     score AS (SELECT doc_id, base.label, any_value(log_prior) + coalesce(sum(weight * lp), 0) AS s FROM split CROSS JOIN base
               LEFT JOIN pairs USING (doc_id, label) WHERE is_test GROUP BY ALL),
     pred AS (SELECT doc_id, label AS predicted, lab.label AS truth FROM (SELECT doc_id, label FROM score
