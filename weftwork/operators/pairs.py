@@ -14,6 +14,8 @@ from weftwork.session import materialise
 
 BLOCK_ROWS = 4096
 _SLACK = 1e-9
+_DEPTH = 0.8
+_PAIRS_PER_ROW = 128
 
 
 def pairs_within(
@@ -65,41 +67,68 @@ def shared_products(rows: DataFrame) -> DataFrame:
 
 
 def _leading_rows(rows: DataFrame, bound: float) -> DataFrame:
-    """The rows a pair with similarity >= bound must share one of.
+    """(owner, item, weight, rest): the rows a pair with similarity >= bound must share one of.
 
     Items are put into bands by frequency, rare ones first. An owner keeps its bands up to the
-    last one from which the remaining vector still has a length of at least bound: two unit
-    vectors that share nothing in their kept bands have a product below bound. An owner has at
-    most a few hundred bands, whatever its number of items.
+    last one from which the remaining vector still has a length of at least bound, taken a little
+    lower so that the kept part says more; rest is the length of what is dropped. An owner has
+    at most a few hundred bands, whatever its number of items.
     """
     used = rows.groupBy("item").agg(F.count("*").alias("_used"))
     banded = rows.join(used, "item").withColumn("_band", F.floor(F.log("_used") * 8).cast("int"))
     mass = banded.groupBy("owner", "_band").agg(F.sum(F.col("weight") * F.col("weight")).alias("_sq"))
-    onward = Window.partitionBy("owner").orderBy("_band").rowsBetween(
-        Window.currentRow, Window.unboundedFollowing
+    bands = Window.partitionBy("owner")
+    onward = bands.orderBy("_band").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    limit = (_DEPTH * bound) ** 2 - _SLACK
+    kept = (
+        mass.withColumn("_left", F.sum("_sq").over(onward))
+        .withColumn("rest", F.coalesce(F.max(F.when(F.col("_left") < limit, F.sqrt("_left"))).over(bands), F.lit(0.0)))
+        .filter(F.col("_left") >= limit)
     )
-    kept = mass.withColumn("_rest", F.sum("_sq").over(onward)).filter(
-        F.col("_rest") >= bound * bound - _SLACK
-    )
-    return banded.join(kept.select("owner", "_band"), ["owner", "_band"], "left_semi").select(
-        "owner", "item"
+    return banded.join(kept.select("owner", "_band", "rest"), ["owner", "_band"]).select(
+        "owner", "item", "weight", "rest"
     )
 
 
+def few_pairs(rows: DataFrame) -> bool:
+    """Whether meeting at every item directly makes at most _PAIRS_PER_ROW pairs per row."""
+    per_item = rows.groupBy("item").agg(F.count("*").cast("double").alias("_n"))
+    pairs, n = per_item.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.sum("_n")).first()
+    return n is None or pairs <= _PAIRS_PER_ROW * n
+
+
 def similar_pairs(rows: DataFrame, bound: float | None) -> DataFrame:
     """(left, right, dot, common) of unit vectors with dot >= bound; all sharing pairs without one.
 
-    Complete for every bound: the bound only saves work. Pass a written table.
+    Complete for every bound, which only saves work. With p the product over the items that both
+    owners keep, every other common item is beyond the kept part of the owner that stops first,
+    so dot <= p + rest of that owner. Pairs for which this stays below bound are given up, the
+    others are computed in full. Pass a written table.
     """
     if bound is None or bound <= 0:
         return shared_products(rows)
     leading = materialise(_leading_rows(rows, bound), "leading")
-    candidates = pairs_within(leading, "item", "owner").select("left", "right").distinct()
-    left = rows.select(F.col("owner").alias("left"), "item", F.col("weight").alias("_a"))
-    right = rows.select(F.col("owner").alias("right"), "item", F.col("weight").alias("_b"))
-    checked = candidates.join(left, "left").join(right, ["right", "item"]).groupBy("left", "right").agg(
-        F.sum(F.col("_a") * F.col("_b")).alias("dot"), F.count("*").alias("common")
+    met = pairs_within(leading, "item", "owner", ["weight", "rest"])
+    candidates = met.groupBy("left", "right").agg(
+        F.sum(F.col("left_weight") * F.col("right_weight")).alias("_p"),
+        F.max(F.greatest("left_rest", "right_rest")).alias("_rest"),
+    ).filter(F.col("_p") + F.col("_rest") >= bound - _SLACK).select("left", "right")
+    # The shorter vector of a pair is opened and looked up in the longer one.
+    sizes = rows.groupBy("owner").agg(F.count("*").alias("_n"))
+    for side in ("left", "right"):
+        named = sizes.select(F.col("owner").alias(side), F.col("_n").alias(f"_n_{side}"))
+        candidates = candidates.join(named, side)
+    short = F.col("_n_left") <= F.col("_n_right")
+    candidates = candidates.select(
+        F.when(short, F.col("left")).otherwise(F.col("right")).alias("short"),
+        F.when(short, F.col("right")).otherwise(F.col("left")).alias("long"),
     )
+    candidates = materialise(candidates, "candidates")
+    opened = rows.select(F.col("owner").alias("short"), "item", F.col("weight").alias("_a"))
+    looked = rows.select(F.col("owner").alias("long"), "item", F.col("weight").alias("_b"))
+    checked = candidates.join(opened, "short").join(looked, ["long", "item"]).groupBy("short", "long").agg(
+        F.sum(F.col("_a") * F.col("_b")).alias("dot"), F.count("*").alias("common")
+    ).select(F.least("short", "long").alias("left"), F.greatest("short", "long").alias("right"), "dot", "common")
     return checked.filter(F.col("dot") >= bound - _SLACK)
 
 
@@ -138,7 +167,8 @@ def cosine_classes(rows: DataFrame, bound: float) -> tuple[DataFrame, DataFrame]
     classes, members = equal_owners(rows)
     classes = materialise(classes, "classes")
     heads = materialise(rows.join(classes, "owner", "left_semi"), "heads")
-    across = similar_pairs(heads, bound).select("left", "right", F.col("dot").alias("similarity"))
+    found = similar_pairs(heads, None if few_pairs(heads) else bound)
+    across = found.filter(F.col("dot") >= bound - _SLACK).select("left", "right", F.col("dot").alias("similarity"))
     sized = across.join(
         classes.select(F.col("owner").alias("left"), F.col("size").alias("left_size")), "left"
     ).join(classes.select(F.col("owner").alias("right"), F.col("size").alias("right_size")), "right")
