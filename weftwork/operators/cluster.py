@@ -21,10 +21,17 @@ class Clustering:
 
 
 def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int = 42, max_iter: int = 20) -> Clustering:
+    spark = df.sparkSession
+    if k == 1:
+        # MLlib starts at two clusters; a single one is the mean.
+        whole = df.withColumn("cluster", F.lit(0))
+        mean = centres_from(whole, vector).orderBy("i").collect()
+        centre = spark.createDataFrame([(0, [r["value"] for r in mean])], "cluster int, centre array<double>")
+        return Clustering(whole, centre, float(inertia_from(whole, vector).first()["inertia"]))
     rows = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol="cluster").fit(rows)
     # k centres: the model, not the data.
-    centres = df.sparkSession.createDataFrame(
+    centres = spark.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cluster int, centre array<double>",
     )
