@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.operators.ranking import top_rows
+from weftwork.operators.ranking import running_total, top_rows
+from weftwork.session import materialise
 
 MAX_SETS = 1000
 
@@ -31,10 +32,10 @@ def membership_patterns(df: DataFrame, owner: str, item: str) -> DataFrame:
 
 def jaccard_report(df: DataFrame, owner: str, item: str) -> DataFrame:
     """(left, right, shared, jaccard) for all pairs of a bounded number of sets, disjoint ones too."""
-    names = bounded_names(df, owner)
-    patterns = membership_patterns(df, owner, item)
+    patterns = materialise(membership_patterns(df, owner, item), "patterns")
     sizes_of = patterns.select(F.explode("owners").alias("name"), "n_items")
     sizes = sizes_of.groupBy("name").agg(F.sum("n_items").alias("size"))
+    names = bounded_names(sizes, "name")
     pair = F.flatten(
         F.transform(
             "owners",
@@ -63,14 +64,18 @@ def jaccard_report(df: DataFrame, owner: str, item: str) -> DataFrame:
 
 def common_terms(df: DataFrame, corpus: str, term: str = "term") -> DataFrame:
     """Terms that occur in every corpus."""
-    k = len(bounded_names(df, corpus))
-    pairs = df.select(corpus, term).distinct()
+    return _in_all(materialise(df.select(corpus, term).distinct(), "terms"), corpus, term)
+
+
+def _in_all(pairs: DataFrame, corpus: str, term: str) -> DataFrame:
+    k = len(bounded_names(pairs, corpus))
     return pairs.groupBy(term).agg(F.count("*").alias("_k")).filter(F.col("_k") == k).select(term)
 
 
 def unique_terms(df: DataFrame, corpus: str, term: str = "term") -> DataFrame:
     """(corpus, term): the vocabulary of each corpus without the terms common to all."""
-    return df.select(corpus, term).distinct().join(common_terms(df, corpus, term), term, "left_anti")
+    pairs = materialise(df.select(corpus, term).distinct(), "terms")
+    return pairs.join(_in_all(pairs, corpus, term), term, "left_anti")
 
 
 def score_table(scores: DataFrame, corpus: str, names: list[str]) -> DataFrame:
@@ -95,8 +100,7 @@ def rank_comparison(scores: DataFrame, corpus: str, names: list[str]) -> DataFra
     A rank is one plus the number of shared terms with a better score. Scores are counted first,
     so the running sum goes over distinct scores.
     """
-    from weftwork.operators.ranking import running_total
-
+    scores = materialise(scores, "scores")
     shared = common_terms(scores.filter(F.col(corpus).isin(names)), corpus)
     kept = scores.join(shared, "term", "left_semi").select(corpus, "term", F.round("score", 9).alias("score"))
     levels = kept.groupBy(corpus, "score").agg(F.count("*").alias("_n"))
@@ -121,6 +125,7 @@ def report_distances(scores: DataFrame, corpus: str) -> DataFrame:
     Rows of one term are at most one per corpus. Each becomes a list, the list yields its pairs,
     and they are summed per pair before any shuffle; |a-b|^2 = |a|^2 + |b|^2 - 2 a.b.
     """
+    scores = materialise(scores, "scores")
     names = bounded_names(scores, corpus)
     norms = scores.groupBy(corpus).agg(F.sum(F.col("score") * F.col("score")).alias("_sq"))
     lists = scores.groupBy("term").agg(

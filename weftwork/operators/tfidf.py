@@ -38,7 +38,7 @@ class Weighted:
     """A document-term matrix: its non-zero cells, its columns and its row counts."""
 
     weights: DataFrame      # corpus, doc, term, weight
-    vocabulary: DataFrame   # corpus, term, df, total_tf
+    vocabulary: DataFrame   # corpus, term, df, total_tf, n_docs
     n_docs: DataFrame       # corpus, n_docs
 
 
@@ -48,8 +48,9 @@ def _fit(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     counts = V.term_counts(df, [*corpus, doc], tokens)
     terms = V.pruned_vocabulary(counts, corpus, min_doc_freq, max_terms)
-    # Written once: the weights then join a table of known size and count the corpus only once.
-    return counts, materialise(terms, "vocabulary"), V.document_counts(df, corpus)
+    n_docs = materialise(V.document_counts(df, corpus), "documents")
+    # Written with all that idf needs: the weights then join one table of known size.
+    return counts, materialise(terms.join(n_docs, corpus), "vocabulary"), n_docs
 
 
 def count_vectors(
@@ -58,7 +59,7 @@ def count_vectors(
 ) -> Weighted:
     """Raw counts over the pruned vocabulary."""
     counts, terms, n_docs = _fit(df, corpus, doc, tokens, max_terms, min_doc_freq)
-    kept = counts.join(terms, [*corpus, "term"])
+    kept = counts.join(terms.select(*corpus, "term"), [*corpus, "term"])
     return Weighted(
         kept.select(*corpus, doc, "term", F.col("tf").cast("double").alias("weight")), terms, n_docs
     )
@@ -73,17 +74,17 @@ def tfidf_matrix(
     N counts all documents of the corpus; the length runs over the surviving terms only.
     """
     counts, terms, n_docs = _fit(df, corpus, doc, tokens, max_terms, min_doc_freq)
-    return Weighted(_weigh(counts, terms, n_docs, corpus, doc), terms, n_docs)
+    return Weighted(_weigh(counts, terms, corpus, doc), terms, n_docs)
 
 
 def tfidf_transform(fitted: Weighted, df: DataFrame, corpus: list[str], doc: str, tokens: Column) -> DataFrame:
     """(corpus, doc, term, weight) of other documents, by the vocabulary and idf of a fitted matrix."""
     counts = V.term_counts(df, [*corpus, doc], tokens)
-    return _weigh(counts, fitted.vocabulary, fitted.n_docs, corpus, doc)
+    return _weigh(counts, fitted.vocabulary, corpus, doc)
 
 
-def _weigh(counts: DataFrame, terms: DataFrame, n_docs: DataFrame, corpus: list[str], doc: str) -> DataFrame:
-    idf = terms.join(n_docs, corpus).select(
+def _weigh(counts: DataFrame, terms: DataFrame, corpus: list[str], doc: str) -> DataFrame:
+    idf = terms.select(
         *corpus, "term", (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")
     )
     raw = counts.join(idf, [*corpus, "term"]).select(

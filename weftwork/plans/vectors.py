@@ -35,6 +35,8 @@ TERM_PAIRS = f"""{MEANS},
 
 def term_pairs(spark, folder) -> DataFrame:
     weighted = matrix(spark, folder)
+    # Read twice: for the mean scores and for the products.
+    weighted.weights = materialise(weighted.weights, "weights")
     return X.term_similarities(weighted.weights, W.mean_scores(weighted, ["lang"]), ["lang"], "doc_id", 15)
 
 
