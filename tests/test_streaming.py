@@ -8,6 +8,7 @@ def test_days_close_with_the_watermark(spark, tmp_path):
     for i, rows in enumerate([
         [("2024-01-01 10:00:00", "cat dog cat"), ("2024-01-02 09:00:00", "dog")],
         [("2024-01-09 09:00:00", "cat")],
+        [("2024-01-10 09:00:00", "cat")],
         [("2024-01-01 11:00:00", "cat"), ("2024-01-20 09:00:00", "bird")],
     ]):
         df = spark.createDataFrame(rows, "at string, text string").withColumn("at", F.col("at").cast("timestamp"))
@@ -20,5 +21,5 @@ def test_days_close_with_the_watermark(spark, tmp_path):
     )
     query.awaitTermination(120)
     rows = {(str(r["date"]), r["term"]): r["n"] for r in spark.table("daily").collect()}
-    # The third file's late row belongs to a closed day and is not counted again.
+    # The last file's late row belongs to a closed day and is not counted again.
     assert rows[("2024-01-01", "cat")] == 2 and rows[("2024-01-01", "dog")] == 1 and rows[("2024-01-02", "dog")] == 1

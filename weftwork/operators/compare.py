@@ -22,20 +22,20 @@ def bounded_names(df: DataFrame, column: str, limit: int = MAX_SETS) -> list:
 def membership_patterns(df: DataFrame, owner: str, item: str) -> DataFrame:
     """(owners, n_items): how many items belong to exactly this combination of sets.
 
-    An item's list is no longer than the number of sets, and items with equal lists are counted
-    together, so later steps work on patterns instead of items.
+    df has distinct rows of a bounded number of sets, so an item's list is no longer than that.
+    Items with equal lists are counted together, so later steps work on patterns instead of items.
     """
-    distinct = df.select(owner, item).distinct()
-    lists = distinct.groupBy(item).agg(F.array_sort(F.collect_list(owner)).alias("owners"))
+    lists = df.groupBy(item).agg(F.array_sort(F.collect_list(owner)).alias("owners"))
     return lists.groupBy("owners").agg(F.count("*").alias("n_items"))
 
 
 def jaccard_report(df: DataFrame, owner: str, item: str) -> DataFrame:
     """(left, right, shared, jaccard) for all pairs of a bounded number of sets, disjoint ones too."""
-    patterns = materialise(membership_patterns(df, owner, item), "patterns")
+    distinct = materialise(df.select(owner, item).distinct(), "sets")
+    names = bounded_names(distinct, owner)
+    patterns = materialise(membership_patterns(distinct, owner, item), "patterns")
     sizes_of = patterns.select(F.explode("owners").alias("name"), "n_items")
     sizes = sizes_of.groupBy("name").agg(F.sum("n_items").alias("size"))
-    names = bounded_names(sizes, "name")
     pair = F.flatten(
         F.transform(
             "owners",
