@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.operators.ranking import top_rows
-from weftwork.session import materialise
+from weftwork.session import discard, materialise
 
 DELETED = "[deleted]"
 
@@ -168,43 +168,60 @@ def user_post_network(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # ---------------------------------------------------------------- components
 
-def _stars(links: DataFrame) -> DataFrame:
-    """One round: every vertex links its neighbours to the smallest vertex it knows of.
+def _contract(links: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(moves(u, to), links between the new names): every vertex takes the name of the neighbour
+    with the smallest hash, or keeps its own if that is smaller.
 
-    Links run from larger (u) to smaller (v) id. First larger neighbours, then smaller ones are
-    handed over (alternating large and small stars, Kiveris et al. 2014). The number of links
-    never grows beyond that of the input.
+    A name is always that of a neighbour, so the links between names connect what the links between
+    vertices did. Hashes change with the turn, so even a long path shrinks by a constant factor.
     """
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
-    large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(
-        F.col("v").alias("u"), F.col("_m").alias("v")
-    ).distinct()
-    smallest = large.groupBy("u").agg(F.min("v").alias("_m"))
-    handed = large.join(smallest, "u").filter(F.col("v") != F.col("_m")).select(
-        F.col("v").alias("u"), F.col("_m").alias("v")
+    ends = links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+    order = F.struct(F.xxhash64("v", F.lit(turn)).alias("h"), F.col("v"))
+    own = F.struct(F.xxhash64("u", F.lit(turn)).alias("h"), F.col("u").alias("v"))
+    moves = materialise(
+        ends.groupBy("u").agg(F.min(order).alias("_least")).select("u", F.least("_least", own)["v"].alias("to")),
+        "moves",
+    )
+    named = links.join(moves, "u").select(F.col("to").alias("_a"), F.col("v").alias("u")).join(moves, "u").select(
+        F.least("_a", "to").alias("u"), F.greatest("_a", "to").alias("v")
     )
-    return handed.unionByName(smallest.select("u", F.col("_m").alias("v"))).distinct()
+    return moves, materialise(named.filter(F.col("u") != F.col("v")).distinct(), "links")
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, component): the smallest id that can be reached, direction ignored."""
-    links = edges.filter(F.col("src") != F.col("dst")).select(
-        F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")
-    ).distinct()
-    links = materialise(links, "links")
-    mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-    for _ in range(max_rounds):
-        links = materialise(_stars(links), "links")
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == mark:
-            break
-        mark = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return vertices.select("id").join(links.withColumnRenamed("u", "id"), "id", "left").select(
-        "id", F.coalesce("v", "id").alias("component")
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component): the smallest id that can be reached, direction ignored.
+
+    Randomised contraction until no link is left; about log(n) rounds, each over fewer links. Names
+    are resolved from the last round back to the first. All sides of all joins are written tables,
+    so AQE can split the key of a hub or of a giant component.
+    """
+    links = materialise(
+        edges.filter(F.col("src") != F.col("dst")).select(
+            F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")
+        ).distinct(),
+        "links",
     )
+    rounds: list[DataFrame] = []
+    while not links.isEmpty():
+        moves, shorter = _contract(links, len(rounds))
+        discard(links)
+        rounds.append(moves)
+        links = shorter
+    ids = vertices.select("id")
+    if not rounds:
+        return ids.withColumn("component", F.col("id"))
+    names = rounds.pop()
+    while rounds:
+        moves = rounds.pop()
+        later = names.select(F.col("u").alias("to"), F.col("to").alias("_last"))
+        resolved = materialise(
+            moves.join(later, "to", "left").select("u", F.coalesce("_last", "to").alias("to")), "names"
+        )
+        discard(moves, names)
+        names = resolved
+    least = materialise(names.groupBy("to").agg(F.min("u").alias("component")), "least")
+    found = names.join(least, "to").select(F.col("u").alias("id"), "component")
+    return ids.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def induced(vertices: DataFrame, edges: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from weftwork.operators import vocabulary as V
 from weftwork.operators.cleaning import preprocess
 from weftwork.plans import snippets as Q
 from weftwork.plans.registry import Registry
-from weftwork.session import stage_folder
+from weftwork.session import new_folder
 from weftwork.sources import encoding, listings
 from weftwork.sources.corpora import parse_corpus
 from weftwork.sources.tables import load_results, read_table, save_results, spread
@@ -161,10 +161,8 @@ def fresh_snapshot(spark, folder):
     SELECT lang AS corpus, term AS word, CAST(sum(tf) AS BIGINT) AS frequency FROM c GROUP BY ALL
 """)
 def saved_results(spark, folder):
-    import uuid
-
     freq = V.frequencies(documents(spark, folder), ["lang"], T.vectoriser_tokens("text"))
-    target = f"{stage_folder(spark)}/results-{uuid.uuid4().hex}"
+    target = new_folder(spark, "results")
     save_results({"frequency": freq.withColumnRenamed("lang", "corpus")}, target)
     return load_results(spark, target, ["frequency"])["frequency"]
 

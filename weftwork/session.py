@@ -17,6 +17,7 @@ _DEFAULTS = {
 }
 
 _local_folders: dict[str, str] = {}
+_run_folders: set[str] = set()
 
 
 def get_spark(app: str = "weftwork", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,7 +42,30 @@ def stage_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="weftwork-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="weftwork-")
+    return _local_folders[context.applicationId]
+
+
+def _file_system(spark: SparkSession, folder: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This session's own part of the shared folder; it is deleted when the session's JVM ends."""
+    folder = f"{stage_folder(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _run_folders:
+        files, path = _file_system(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _run_folders.add(folder)
+    return folder
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -52,6 +76,15 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     it broadcasts the table only if it fits under spark.sql.autoBroadcastJoinThreshold.
     """
     spark = df.sparkSession
-    path = f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._stage_path = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialise() wrote and that nothing reads any more."""
+    for table in tables:
+        files, path = _file_system(table.sparkSession, table._stage_path)
+        files.delete(path, True)
