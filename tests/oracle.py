@@ -54,7 +54,7 @@ def compare(spark, con, query, folder: str) -> str:
 
 
 if __name__ == "__main__":
-    from weftwork.plans import QUERIES
+    from __spark_entry__ import QUERIES
     from weftwork.session import get_spark
 
     sf, parts = (sys.argv[1] if len(sys.argv) > 1 else "0.01"), sys.argv[2:]
