@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftwork.llm import mixing, sharding, simhash
+from weftwork.llm import decontamination, mixing, quality, sharding, simhash
 from weftwork.plans.registry import Registry
 from weftwork.sources.tables import read_table
 
@@ -14,6 +14,11 @@ MIX_SEED, MIX_EXPONENT = 17, 0.5
 SHARD_BYTES = 1 << 20
 
 
+@QUERIES.add("op1_quality_ranking")
+def quality_ranking(spark, folder):
+    return quality.quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 @QUERIES.add("op5_simhash_near_dedup")
 def simhash_near_dedup(spark, folder):
     found = simhash.near_duplicates(
@@ -22,6 +27,13 @@ def simhash_near_dedup(spark, folder):
     return found.selectExpr("doc_id", "lower(lpad(hex(code), 16, '0')) AS fingerprint", "component AS component_id")
 
 
+@QUERIES.add("op7_spaced_seed_decontamination")
+def spaced_seed_decontamination(spark, folder):
+    return decontamination.contaminated(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+
+
 # A copy count is the number of Poisson steps at or below the row's number; terms of the distribution
 # are built from logarithms as in the operator.
 @QUERIES.add("op8_poisson_mixing", f"""

@@ -252,3 +252,25 @@ def near_duplicates(
     )
     of_code = materialise(groups.join(least, "_group").select("code", "component"), "code_components")
     return marked.join(of_code, "code").select(key, "code", "component")
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4, parts: int = 3
+) -> DataFrame:
+    """Rows of docs, one of each group of near duplicates: the one with the smallest key.
+
+    Of repeated rows with one key one stays. Rows without a key stay, as nothing can name them.
+    """
+    groups = near_duplicates(docs, key, text, shingle, distance, parts)
+    dropped = materialise(
+        groups.filter(F.col(key) != F.col("component")).select(F.col(key).alias("_dropped")).distinct(), "dropped"
+    )
+    kept = docs.join(dropped, F.col(key) == F.col("_dropped"), "left_anti")
+    repeated = materialise(
+        docs.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_again")).agg(F.count("*").alias("n")).filter("n > 1").select("_again"),
+        "repeated",
+    )
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, F.col(key) == F.col("_again"), "left_anti")
+    return once.unionByName(kept.join(repeated, F.col(key) == F.col("_again"), "left_semi").dropDuplicates([key]))
