@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.tables import map_text
+from weftwork.llm.tables import as_bytes, map_text
 from weftwork.session import materialise
 
 #: Token positions that a seed looks at; the positions between them are ignored. Together the three
@@ -25,8 +25,8 @@ _WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def tokens(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def tokens(text: str | bytes | None) -> list[str]:
+    return _WORD.findall(as_bytes(text).decode("utf-8", "replace").lower())
 
 
 class _TokenHashes(dict):
@@ -79,7 +79,7 @@ def benchmark_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
         return out
 
     rows = map_text(
-        benchmark, [F.col(key), F.col(text).cast("string").alias("_text")], work,
+        benchmark, [F.col(key), F.col(text)], work,
         f"item {kind}, item_tokens array<bigint>, seeds array<struct<seed:bigint,place:int>>",
     )
     return rows.groupBy("item_tokens").agg(F.min("item").alias("item"), F.first("seeds").alias("seeds"))
@@ -144,7 +144,7 @@ def _candidates(docs: DataFrame, key: str, text: str, packed: np.ndarray) -> Dat
 
     _state: dict = {}
     return map_text(
-        docs, [F.col(key), F.col(text).cast("string").alias("_text")], work,
+        docs, [F.col(key), F.col(text)], work,
         f"`{key}` {kind}, doc_tokens array<bigint>, hits array<struct<seed:bigint,at:int>>",
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftwork.llm import decontamination, mixing, quality, sharding, simhash
+from weftwork.llm import decontamination, language_model, mixing, neighbours, quality, sharding, simhash
 from weftwork.plans.registry import Registry
 from weftwork.sources.tables import read_table
 
@@ -12,6 +12,7 @@ QUERIES = Registry()
 DUPLICATE_DISTANCE, DUPLICATE_SHINGLE = 4, 4
 MIX_SEED, MIX_EXPONENT = 17, 0.5
 SHARD_BYTES = 1 << 20
+QUERY_EVERY, NEAREST = 20, 20
 
 
 @QUERIES.add("op1_quality_ranking")
@@ -19,6 +20,11 @@ def quality_ranking(spark, folder):
     return quality.quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@QUERIES.add("op4_lattice_scores")
+def lattice_scores(spark, folder):
+    return language_model.text_scores(read_table(spark, folder, "documents"))
+
+
 @QUERIES.add("op5_simhash_near_dedup")
 def simhash_near_dedup(spark, folder):
     found = simhash.near_duplicates(
@@ -83,3 +89,18 @@ def poisson_mixing(spark, folder):
 """)
 def extendible_sharding(spark, folder):
     return sharding.shard(read_table(spark, folder, "documents"), limit=SHARD_BYTES)
+
+
+@QUERIES.add("op10_one_bit_neighbours", f"""
+    WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score,
+               row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS place
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0
+    )
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM scored WHERE place <= {NEAREST}
+""")
+def one_bit_neighbours(spark, folder):
+    return neighbours.nearest(
+        read_table(spark, folder, "embeddings"), lambda key: key % QUERY_EVERY == 0, top=NEAREST
+    )

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.tables import fold, map_text
+from weftwork.llm.tables import as_bytes, fold, map_text
 from weftwork.session import materialise
 
 #: Labelled rows of each class that the model is fitted on at most, and pairs per row of the rarer one.
@@ -41,9 +41,9 @@ def _kind_table() -> np.ndarray:
 _KIND_OF_BYTE = _kind_table()
 
 
-def describe(text: str | None) -> list[float]:
+def describe(text: str | bytes | None) -> list[float]:
     """The features of a text, all within about 0 to 1; NULL and empty texts have all zeros."""
-    data = (text or "").encode("utf-8", "surrogatepass")
+    data = as_bytes(text)
     if not data:
         return [0.0] * len(FEATURES)
     kinds = np.bincount(_KIND_OF_BYTE[np.frombuffer(data, np.uint8)], minlength=len(_KINDS)) / len(data)
@@ -69,7 +69,7 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
     def work(columns: list[list]) -> dict[str, list]:
         return {key: columns[0], "features": [describe(t) for t in columns[1]]}
 
-    return map_text(docs, [F.col(key), F.col(text).cast("string").alias("_text")], work, f"`{key}` {kind}, features array<double>")
+    return map_text(docs, [F.col(key), F.col(text)], work, f"`{key}` {kind}, features array<double>")
 
 
 # ---------------------------------------------------------------- the model
@@ -191,5 +191,5 @@ def accepted(
     def described(texts: pd.Series) -> pd.Series:
         return texts.map(describe)
 
-    marked = docs.withColumn("_quality", described(F.col(text).cast("string")))
+    marked = docs.withColumn("_quality", described(F.col(text).cast("string").cast("binary")))
     return marked.filter(judge.score("_quality") >= ACCEPT).select(*docs.columns)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.tables import map_text
+from weftwork.llm.tables import as_bytes, map_text
 from weftwork.operators.graph import connected_components
 from weftwork.session import materialise
 
@@ -23,13 +23,13 @@ BLOCK = 8192
 
 # ---------------------------------------------------------------- fingerprints
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
+def fingerprint(text: str | bytes | None, shingle: int = 4) -> int:
     """The 64 bits that more than half of the shingles' XXH64 values have set.
 
     A-Z are lower-cased, words end at ASCII white space; with fewer words than a shingle the whole
     sequence is hashed, and without words (NULL, empty) the fingerprint is 0.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = as_bytes(text).lower().split()
     if not words:
         return 0
     joined = b" ".join(words)
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 4) -> Data
         codes = [fingerprint(t, shingle) for t in columns[1]]
         return {key: columns[0], "code": [c - (1 << 64) if c >> 63 else c for c in codes]}
 
-    return map_text(docs, [F.col(key), F.col(text).cast("string").alias("_text")], work, f"`{key}` {kind}, code long")
+    return map_text(docs, [F.col(key), F.col(text)], work, f"`{key}` {kind}, code long")
 
 
 # ---------------------------------------------------------------- multi-index search

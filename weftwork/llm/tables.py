@@ -24,15 +24,20 @@ def uniform(*parts: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def as_bytes(text: str | bytes | None) -> bytes:
+    """UTF-8; NULL counts as empty."""
+    return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+
+
 def map_text(
     df: DataFrame, columns: list[Column], work: Callable[[list[list]], dict[str, list]], schema: str
 ) -> DataFrame:
     """Give work() the columns as lists, a bounded slice of rows at a time; it returns columns of schema.
 
-    The last of the columns is the text. A slice ends after SLICE_ROWS rows or SLICE_BYTES of text, so
+    The last of the columns is the text and comes as UTF-8 bytes. A slice ends after SLICE_ROWS rows or SLICE_BYTES of text, so
     very long texts do not pile up in one worker.
     """
-    source = df.select(*columns)
+    source = df.select(*columns[:-1], columns[-1].cast("string").cast("binary").alias("_text"))
     target = _arrow_schema(df, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
