@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from weftwork.llm import decontamination, language_model, mixing, neighbours, quality, sharding, simhash
+from pyspark.sql import functions as F
+
+from weftwork.llm import decontamination, language_model, mixing, neighbours, quality, sharding, simhash, warc
 from weftwork.plans.registry import Registry
+from weftwork.session import new_folder
 from weftwork.sources.tables import read_table
 
 QUERIES = Registry()
@@ -20,6 +23,32 @@ def quality_ranking(spark, folder):
     return quality.quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+# DuckDB has no base 32: the digits are cut from the binary digits of the SHA-1.
+@QUERIES.add("op3_warc_archives", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    g AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p),
+    b AS (
+        SELECT *, array_to_string(list_transform(range(0, 20), lambda i:
+            lpad(bin(('0x' || substr(sha1(body), 1 + 2 * i::INTEGER, 2))::INTEGER), 8, '0')), '') AS bits FROM g
+    )
+    SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + list_sum(list_transform(range(0, 5), lambda j:
+                   substr(bits, 1 + 5 * i::INTEGER + j::INTEGER, 1)::INTEGER * (16 >> j::INTEGER)))::INTEGER, 1)), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM b
+""")
+def warc_archives(spark, folder):
+    archives = new_folder(spark, "archives")
+    warc.write_archives(read_table(spark, folder, "pages"), archives)
+    records = warc.resolved(warc.read_records(spark, archives, with_payload=False))
+    return records.select(
+        warc.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_number("refers_to").alias("refers_to"),
+    )
+
+
 @QUERIES.add("op4_lattice_scores")
 def lattice_scores(spark, folder):
     return language_model.text_scores(read_table(spark, folder, "documents"))
