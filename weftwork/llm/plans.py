@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftwork.llm import decontamination, language_model, mixing, neighbours, quality, sharding, simhash, warc
+from weftwork.llm import decontamination, html, language_model, mixing, neighbours, quality, secrets, sharding, simhash, warc
+from weftwork.llm.tables import fold
 from weftwork.plans.registry import Registry
-from weftwork.session import new_folder
+from weftwork.session import materialise, new_folder
 from weftwork.sources.tables import read_table
 
 QUERIES = Registry()
@@ -23,6 +24,19 @@ def quality_ranking(spark, folder):
     return quality.quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+# The given tables hold no judged findings, so the training folds are judged by rule: a value that is
+# assigned to a secret's name and mixes letters with digits is a secret, all else is a false alarm.
+@QUERIES.add("op2_secret_scan")
+def secret_scan(spark, folder):
+    findings = materialise(secrets.find_candidates(read_table(spark, folder, "documents"), path="source"), "findings")
+    named = F.col("before").rlike(r"(?i)\b(token|password|passwd|secret|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?$")
+    mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
+    labels = findings.filter(fold("doc_id") != 0).select("doc_id", "start", F.when(named & mixed, 1).otherwise(0).alias("secret"))
+    return secrets.judged(findings, labels).select(
+        "doc_id", "start", F.length("candidate").alias("length"), (fold("doc_id") == 0).alias("held_out"), "probability", "is_secret"
+    )
+
+
 # DuckDB has no base 32: the digits are cut from the binary digits of the SHA-1.
 @QUERIES.add("op3_warc_archives", """
     WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -69,6 +83,11 @@ def spaced_seed_decontamination(spark, folder):
     )
 
 
+@QUERIES.add("op6_visible_text")
+def visible_text(spark, folder):
+    return html.extract_text(read_table(spark, folder, "pages"))
+
+
 # A copy count is the number of Poisson steps at or below the row's number; terms of the distribution
 # are built from logarithms as in the operator.
 @QUERIES.add("op8_poisson_mixing", f"""
