@@ -39,7 +39,7 @@ CLOSES = {
 
 # A comment without an end is matched as "<!--" alone.
 _TAG = re.compile(
-    r"""<!--(?:-?>|.*?--!?>)?|<[!?/][^a-zA-Z>-][^>]*>|<![a-zA-Z-][^>]*>|</>"""
+    r"""<!--(?:-?>|.*?--!?>)?|<[!?][^>]*>|</[^a-zA-Z>][^>]*>|</>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
     re.S,
 )
@@ -195,13 +195,16 @@ class Layout:
 
 
 def lay_out(one: Element, page: Layout, visible: bool = True, keep_space: bool = False) -> None:
+    closed = one.tag == "details" and one.attribute("open") is None
     for child in one.children:
+        if closed and (isinstance(child, str) or child.tag != "summary"):
+            continue
         if isinstance(child, str):
             if visible:
                 page.text(child, keep_space)
             continue
         own = shown(child, visible)
-        if own is None or (one.tag == "details" and child.tag != "summary" and one.attribute("open") is None):
+        if own is None:
             continue
         tag = child.tag
         if tag == "br":

@@ -50,8 +50,7 @@ def build_index(vectors: DataFrame, key: str, vector: str) -> DataFrame:
         for part in parts:
             for size, rows in part.groupby("size"):
                 table = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-                # A power of two, so that huge and tiny components neither overflow nor vanish.
-                scale = np.exp2(np.floor(np.log2(np.abs(table).max(axis=1))))
+                scale = _scale(table)
                 code, norm, alignment = encode(table / scale[:, None], rotation(int(size)))
                 yield pd.DataFrame({
                     "key": rows["key"].to_numpy(), "size": rows["size"].to_numpy(),
@@ -66,6 +65,11 @@ def build_index(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
+def _scale(vectors: np.ndarray) -> np.ndarray:
+    """A power of two for every row, so that huge and tiny components neither overflow nor vanish."""
+    return np.exp2(np.floor(np.log2(np.abs(vectors).max(axis=1))))
+
+
 def _dot(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products row by row; equal vectors give equal results wherever they stand."""
     return (queries * rows).sum(axis=1)
@@ -77,7 +81,7 @@ def search_block(
 ) -> pd.DataFrame:
     """The top candidates of a block for every query, by exact inner product.
 
-    Estimate: <code, rotated query> / alignment * norm. First the candidates with the best estimates
+    Estimate: <code, rotated unit query> / alignment * norm. First the candidates with the best estimates
     are computed exactly; then all whose estimate plus error bound reaches the last of these.
     """
     size = vectors.shape[1]
@@ -85,24 +89,24 @@ def search_block(
     keys, codes, norm, alignment, vectors = (x[order] for x in (keys, codes, norm, alignment, vectors))
     signs = np.unpackbits(codes, axis=1, count=size).astype(np.float32)
     signs = (2 * signs - 1) / np.float32(np.sqrt(size))
-    spread = np.sqrt(np.maximum(0, 1 - alignment**2)) / alignment / np.sqrt(max(1, size - 1)) * deviations
-    turned = (queries @ rotation(size).T).astype(np.float32)
-    lengths = np.linalg.norm(queries, axis=1)
+    factor = (norm / alignment).astype(np.float64)
+    spread = np.sqrt(np.maximum(0, 1 - alignment**2)) / np.sqrt(max(1, size - 1)) * deviations * factor + 1e-6 * norm
+    unit = queries / _scale(queries)[:, None]
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    turned = (unit @ rotation(size).T).astype(np.float32)
+    own_first, own_last = np.searchsorted(keys, query_keys, "left"), np.searchsorted(keys, query_keys, "right")
     found = []
     for start in range(0, len(queries), QUERY_SLICE):
         raw = turned[start:start + QUERY_SLICE] @ signs.T
         for i, row in enumerate(raw, start):
-            estimate = row / alignment * norm
-            bound = estimate + spread * norm * lengths[i] + 1e-6 * norm * lengths[i]
-            others = keys != query_keys[i]
-            estimate = np.where(others, estimate, -np.inf)
-            n = min(top, int(others.sum()))
+            estimate = row * factor
+            estimate[own_first[i]:own_last[i]] = -np.inf  # rows with the query's own key
+            n = min(top, len(keys) - int(own_last[i] - own_first[i]))
             if n == 0:
                 continue
-            first = np.argpartition(-estimate, n - 1)[:n]
-            exact = _dot(queries[i], vectors[first])
-            chosen = np.flatnonzero(others & (bound >= exact.min()))
-            chosen = np.union1d(chosen, first)
+            first = np.argpartition(estimate, len(keys) - n)[-n:]
+            least = _dot(unit[i], vectors[first]).min()
+            chosen = np.union1d(np.flatnonzero(estimate + spread >= least), first)
             exact = _dot(queries[i], vectors[chosen])
             best = np.lexsort((chosen, -exact))[:top]  # candidates stand in key order
             found.append((np.full(len(best), i), keys[chosen[best]], exact[best]))
