@@ -53,16 +53,17 @@ def replication_rates(docs: DataFrame, weights: DataFrame | None, source: str =
 
 
 def mix(
-    docs: DataFrame, weights: DataFrame | None = None, key: str = "doc_id", source: str = "source", seed: int = 0
+    docs: DataFrame, weights: DataFrame | None = None, key: str = "doc_id", source: str = "source", seed: int = 0,
+    number: str = "copy",
 ) -> DataFrame:
-    """Columns of docs plus copy (from 1), in a global random order fixed by seed.
+    """Columns of docs plus the number of the copy (from 1), in a global random order fixed by seed.
 
     Each row is repeated as often as the inverse Poisson distribution with its source's rate says at a
     number hashed from seed and key, so the counts do not depend on partitioning. Repeated rows (same
     key) get the same count; a NULL key counts as empty text; an empty table stays empty. Further
-    columns are carried; a column named copy is replaced.
+    columns are carried; a column with the name of number is replaced.
     """
-    kept = [c for c in docs.columns if c != "copy"]
+    kept = [c for c in docs.columns if c != number]
     steps = replication_rates(docs, weights, source).select(
         F.col("source").alias("_mix_source"), _poisson_steps(F.col("rate")).alias("_mix_steps")
     )
@@ -73,13 +74,13 @@ def mix(
     )
     count = F.size(F.filter("_mix_steps", lambda step: step <= F.col("_mix_draw")))
     copies = counted.withColumn("_mix_count", count).filter(F.col("_mix_count") > 0).select(
-        *kept, F.explode(F.sequence(F.lit(1), F.col("_mix_count"))).alias("copy")
+        *kept, F.explode(F.sequence(F.lit(1), F.col("_mix_count"))).alias(number)
     )
-    order = F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")), "copy")
+    order = F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")), number)
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return copies.withColumn("_mix_order", order).repartition(shuffles, "_mix_order").sortWithinPartitions(
         "_mix_order"
-    ).select(*kept, "copy")
+    ).select(*kept, number)
 
 
 def temperature_weights(docs: DataFrame, source: str = "source", exponent: float = 0.5) -> DataFrame:
