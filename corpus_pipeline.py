@@ -31,7 +31,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated towards the target weights of their sources, in random order."""
     weights = mixing.temperature_weights(docs, exponent=plans.MIX_EXPONENT)
-    return mixing.mix(docs, weights, seed=plans.MIX_SEED).drop("copy")
+    return mixing.mix(docs, weights, seed=plans.MIX_SEED, number="_copy").select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
