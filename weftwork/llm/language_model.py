@@ -22,7 +22,9 @@ START = "▁"
 #: Words whose scores are sent to every task, and the longest of them in bytes. All others are joined.
 COMMON, COMMON_BYTES = 100_000, 64
 #: Words that a task counts before it passes its counts on, and characters of words in a lattice at once.
-COUNTED, CELLS = 400_000, 400_000
+COUNTED, CELLS = 300_000, 400_000
+#: Times that the scores are re-estimated.
+ROUNDS = 3
 #: Weight of the vocabulary's own order against the training text, in pieces.
 PRIOR = 1000.0
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -207,26 +209,24 @@ def word_counts(docs: DataFrame, key: str, text: str, held_out: int) -> DataFram
     source = docs.select(F.col(text).cast("string").cast("binary").alias("t"), (fold(key) != held_out).alias("train"))
     schema = pa.schema([("word", pa.string()), ("times", pa.int64()), ("trained", pa.int64())])
 
-    def table(every: Counter, train: Counter) -> pa.RecordBatch:
-        words = list(every)
+    def table(counts: Counter, trained: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({
-            "word": [w.decode("utf-8", "replace") for w in words], "times": list(every.values()),
-            "trained": [train.get(w, 0) for w in words],
+            "word": [w.decode("utf-8", "replace") for w in counts], "times": list(counts.values()),
+            "trained": [n if trained else 0 for n in counts.values()],
         }, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, train = Counter(), Counter()
+        counts = {True: Counter(), False: Counter()}
         for batch in batches:
             for i in range(batch.num_rows):
-                words = words_of(batch.column(0)[i].as_py())
-                every.update(words)
-                if batch.column(1)[i].as_py():
-                    train.update(words)
-                if len(every) > COUNTED:
-                    yield table(every, train)
-                    every, train = Counter(), Counter()
-        if every:
-            yield table(every, train)
+                trained = batch.column(1)[i].as_py()
+                counts[trained].update(words_of(batch.column(0)[i].as_py()))
+                if len(counts[trained]) > COUNTED:
+                    yield table(counts[trained], trained)
+                    counts[trained] = Counter()
+        for trained, held in counts.items():
+            if held:
+                yield table(held, trained)
 
     return source.mapInArrow(run, "word string, times long, trained long").groupBy("word").agg(
         F.sum("times").alias("times"), F.sum("trained").alias("trained")
@@ -234,10 +234,16 @@ def word_counts(docs: DataFrame, key: str, text: str, held_out: int) -> DataFram
 
 
 def train(words: DataFrame, texts: int, start: Vocabulary) -> Vocabulary:
-    """Scores re-estimated once from the expected counts of pieces over all training words.
+    """Scores re-estimated from the expected counts of pieces over all training words.
 
-    What reaches the driver is one number for every piece of the vocabulary.
+    What reaches the driver in a round is one number for every piece of the vocabulary.
     """
+    for _ in range(ROUNDS):
+        start = _round(words, texts, start)
+    return start
+
+
+def _round(words: DataFrame, texts: int, start: Vocabulary) -> Vocabulary:
     n = len(start.pieces) + 256
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -301,7 +307,7 @@ def text_scores(
             for word, times in Counter(words).items():
                 found = scores.get(word)
                 if found is None:
-                    rest.append({"word": word.decode("utf-8", "replace"), "n": times})
+                    rest.append((word.decode("utf-8", "replace"), times))
                 else:
                     n_known += times * found[0]
                     sum_base += times * found[1]
