@@ -98,7 +98,7 @@ def test_term_similarities_and_coordinates(spark):
     scores = weights.groupBy("corpus", "term").agg(F.sum("weight").alias("score"))
     rows = {(r["left"], r["right"]): r["cosine"] for r in X.term_similarities(weights, scores, ["corpus"], "doc", 3).collect()}
     assert rows[("a", "b")] == pytest.approx(2 / math.sqrt(10 * 5)) and rows[("a", "z")] == 0
-    points = X.term_coordinates(X.term_similarities(weights, scores, ["corpus"], "doc", 3)).collect()
+    points = X.term_coordinates(X.term_similarities(weights, scores, ["corpus"], "doc", 3), ["corpus"]).collect()
     assert len(points) == 3
     coloured = X.colour_groups(X.highlight_top(scores, ["corpus"], 1), "term").collect()
     assert {r["term"]: (r["highlighted"], r["colour"]) for r in coloured} == {"a": (True, 0), "b": (False, 1), "z": (False, 2)}

@@ -65,7 +65,7 @@ def test_threads(comments):
 def test_circular_replies_are_refused(spark):
     df = spark.createDataFrame([("1", "2", "p"), ("2", "1", "p")], "comment_id string, parent_id string, post_id string")
     with pytest.raises(RuntimeError):
-        G.comment_levels(df, max_rounds=4)
+        G.comment_levels(df)
 
 
 def union_find(edges):

@@ -7,12 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.operators.compare import bounded_names
 from weftwork.operators.ranking import position, top_rows
 from weftwork.session import materialise
 
-MAX_CLASSES = 200
-
 
 def split_order(doc: str, seed: int) -> Column:
     """A shuffled order that depends on the key and the seed only."""
@@ -42,7 +39,6 @@ class NaiveBayes:
 
     classes: DataFrame  # label, log_prior, log_default
     terms: DataFrame    # label, term, log_prob (seen pairs only)
-    labels: list
 
 
 def fit_naive_bayes(weights: DataFrame, labels: DataFrame, doc: str, alpha: float = 1.0) -> NaiveBayes:
@@ -69,40 +65,31 @@ def fit_naive_bayes(weights: DataFrame, labels: DataFrame, doc: str, alpha: floa
         "label", "term", F.log((F.col("_w") + alpha) / F.col("_base")).alias("log_prob")
     )
     classes = totals.select("label", "log_prior", F.log(alpha / F.col("_base")).alias("log_default"))
-    return NaiveBayes(classes, materialise(terms, "model"), bounded_names(labels, "label", MAX_CLASSES))
+    return NaiveBayes(classes, materialise(terms, "model"))
 
 
 def class_scores(model: NaiveBayes, docs: DataFrame, weights: DataFrame, doc: str) -> DataFrame:
     """(doc, label, score): log prior plus the weighted log probabilities of the document's terms.
 
     weights holds terms of the fitted vocabulary only; one that no training document has weighs in
-    with the defaults. Each term seen in training is one row with its gain over the default in
-    every class, so a document's words are joined once and summed into one column per class.
+    with the defaults. Each (term, class) seen in training is one row with its gain over the default,
+    so a document's words meet only the classes that know them; all classes get the defaults.
     """
-    gains = model.terms.join(model.classes, "label").groupBy("term").agg(
-        *[
-            F.coalesce(
-                F.max(F.when(F.col("label") == label, F.col("log_prob") - F.col("log_default"))), F.lit(0.0)
-            ).alias(f"_g{i}")
-            for i, label in enumerate(model.labels)
-        ]
-    )
-    gains = materialise(gains, "gains")
-    sums = weights.join(gains, "term", "left").groupBy(doc).agg(
-        F.sum("weight").alias("_mass"),
-        *[F.sum(F.col("weight") * F.col(f"_g{i}")).alias(f"_s{i}") for i in range(len(model.labels))],
-    )
-    per_class = F.array(
-        *[
-            F.struct(F.lit(label).alias("label"), F.coalesce(F.col(f"_s{i}"), F.lit(0.0)).alias("_gain"))
-            for i, label in enumerate(model.labels)
-        ]
-    )
-    scored = docs.select(doc).join(sums, doc, "left").select(
-        doc, F.coalesce("_mass", F.lit(0.0)).alias("_mass"), F.inline(per_class)
+    gains = materialise(
+        model.terms.join(model.classes, "label").select(
+            "term", "label", (F.col("log_prob") - F.col("log_default")).alias("_gain")
+        ),
+        "gains",
     )
-    return scored.join(model.classes, "label").select(
-        doc, "label", (F.col("log_prior") + F.col("_mass") * F.col("log_default") + F.col("_gain")).alias("score")
+    weights = materialise(weights.select(doc, "term", "weight"), "weights")
+    mass = weights.groupBy(doc).agg(F.sum("weight").alias("_mass"))
+    sums = weights.join(gains, "term").groupBy(doc, "label").agg(F.sum(F.col("weight") * F.col("_gain")).alias("_gain"))
+    every = model.classes.agg(F.collect_list(F.struct("label", "log_prior", "log_default"))).scalar()
+    grid = docs.select(doc).join(mass, doc, "left").select(doc, "_mass", F.inline(every))
+    zero = F.lit(0.0)
+    return grid.join(sums, [doc, "label"], "left").select(
+        doc, "label",
+        (F.col("log_prior") + F.coalesce("_mass", zero) * F.col("log_default") + F.coalesce("_gain", zero)).alias("score"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.operators.ranking import position
-from weftwork.session import materialise
+from weftwork.session import discard, materialise
 
 
 def _with_weight(edges: DataFrame) -> DataFrame:
@@ -42,75 +42,71 @@ def modularity(edges: DataFrame, member: DataFrame, resolution: float = 1.0) ->
     )
 
 
-def _better_places(edges: DataFrame, nodes: DataFrame, resolution: float, m: float, parity: int) -> DataFrame:
-    """nodes(id, k, community) after half of the nodes moved to their best neighbouring community.
+def merge_round(edges: DataFrame, strengths: DataFrame, total: float, resolution: float = 1.0) -> DataFrame:
+    """(id, to): pairs of communities that are each other's best partner, the larger id joins the smaller.
 
-    The halves are drawn by a hash of the id and take turns, which keeps two neighbours from
-    swapping places for ever.
+    edges(a, b, w) and strengths(id, k) are written tables over communities, total is the weight of all
+    edges. The gain of a merge, times total, is w - resolution * k_a * k_b / (2 total), to 9 decimals;
+    equal gains are told apart by the MD5 of "a|b", so that long chains pair up everywhere at once. As
+    no community is in two pairs, the gains of a round add up exactly. Only positive gains count.
     """
-    both = edges.filter(F.col("a") != F.col("b"))
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-    there = nodes.select(F.col("id").alias("b"), F.col("community").alias("to"))
-    links = both.join(there, "b").groupBy(F.col("a").alias("id"), "to").agg(F.sum("w").alias("_in"))
-    totals = nodes.groupBy(F.col("community").alias("to")).agg(F.sum("k").alias("_total"))
-    mine = nodes.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == parity)
-    offers = links.join(mine, "id").join(totals, "to")
-    home = F.col("to") == F.col("community")
-    others = F.col("_total") - F.when(home, F.col("k")).otherwise(0.0)
-    gain = F.round(F.col("_in") - resolution * F.col("k") * others / (2 * m), 9)
-    best = offers.groupBy("id").agg(
-        F.max_by("to", F.struct(gain, F.xxhash64("to"), F.col("to"))).alias("_to"), F.max(gain).alias("_gain"),
-        F.max(F.when(home, gain)).alias("_stay"),
+    left = strengths.select(F.col("id").alias("a"), F.col("k").alias("_ka"))
+    right = strengths.select(F.col("id").alias("b"), F.col("k").alias("_kb"))
+    gain = F.round(F.col("w") - resolution * F.col("_ka") * F.col("_kb") / (2 * total), 9)
+    offers = edges.filter(F.col("a") != F.col("b")).join(left, "a").join(right, "b").select(
+        gain.alias("gain"), F.md5(F.concat_ws("|", F.col("a").cast("string"), F.col("b").cast("string")).cast("binary")).alias("tie"), "a", "b"
+    ).filter(F.col("gain") > 0)
+    offer = F.struct("gain", "tie", "a", "b")
+    best = offers.select(F.explode(F.array("a", "b")).alias("id"), offer.alias("o")).groupBy("id").agg(F.max("o").alias("o"))
+    return best.groupBy("o.a", "o.b").agg(F.count("*").alias("_n")).filter(F.col("_n") == 2).select(
+        F.col("b").alias("id"), F.col("a").alias("to")
     )
-    own = totals.withColumnRenamed("to", "community")
-    moved = nodes.join(best, "id", "left").join(own, "community")
-    alone = -resolution * F.col("k") * (F.col("_total") - F.col("k")) / (2 * m)
-    stay = F.coalesce("_stay", F.round(alone, 9))
-    return moved.select("id", "k", F.when(F.col("_gain") > stay, F.col("_to")).otherwise(F.col("community")).alias("community"))
 
 
-def communities(
-    vertices: DataFrame, edges: DataFrame, resolution: float = 1.0, max_rounds: int = 8, max_levels: int = 6
-) -> DataFrame:
+def start_tables(edges: DataFrame) -> tuple[DataFrame, DataFrame, float]:
+    """(edges(a, b, w), strengths(id, k), total): every vertex with an edge is a community."""
+    summed = materialise(_with_weight(edges).groupBy("a", "b").agg(F.sum("w").alias("w")), "edges")
+    return summed, materialise(_strengths(summed), "strengths"), summed.agg(F.sum("w")).first()[0] or 0.0
+
+
+def communities(vertices: DataFrame, edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """(id, community): communities of high modularity, numbered by size from 0.
 
-    Each level lets nodes move by their gain in modularity while the quality rises, then joins
-    every community into one node and starts again. A round that does not raise the quality is
-    discarded, so the quality never falls.
+    Communities merge in pairs that are each other's best partner until no merge raises the quality,
+    so it rises in every round. Names are resolved from the last round back to the first.
     """
-    level_edges = materialise(_with_weight(edges).groupBy("a", "b").agg(F.sum("w").alias("w")), "edges")
-    total = level_edges.agg(F.sum("w")).first()[0]
-    member = vertices.select("id", F.col("id").alias("community"))
-    for _ in range(max_levels if total else 0):
-        nodes = materialise(_strengths(level_edges).withColumn("community", F.col("id")), "nodes")
-        start = best = _quality(level_edges, nodes.select("id", "community"), resolution).first()[0]
-        idle = 0
-        for r in range(max_rounds):
-            tried = materialise(_better_places(level_edges, nodes, resolution, total, r % 2), "nodes")
-            q = _quality(level_edges, tried.select("id", "community"), resolution).first()[0]
-            if q > best + 1e-9:
-                nodes, best, idle = tried, q, 0
-            else:
-                idle += 1
-                if idle == 2:
-                    break
-        if best <= start + 1e-9:
+    level, strengths, total = start_tables(edges)
+    rounds: list[DataFrame] = []
+    while total:
+        merges = materialise(merge_round(level, strengths, total, resolution), "merges")
+        if merges.isEmpty():
             break
-        step = nodes.select(F.col("id").alias("community"), F.col("community").alias("_next"))
-        member = materialise(
-            member.join(step, "community", "left").select("id", F.coalesce("_next", "community").alias("community")),
-            "members",
+        rounds.append(merges)
+        ends = level
+        for side in ("a", "b"):
+            named = merges.select(F.col("id").alias(side), F.col("to").alias(f"_{side}"))
+            ends = ends.join(named, side, "left")
+        ends = ends.select(F.coalesce("_a", "a").alias("_a"), F.coalesce("_b", "b").alias("_b"), "w")
+        shorter = materialise(
+            ends.groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).agg(F.sum("w").alias("w")), "edges"
         )
-        ca = nodes.select(F.col("id").alias("a"), F.col("community").alias("_a"))
-        cb = nodes.select(F.col("id").alias("b"), F.col("community").alias("_b"))
-        level_edges = materialise(
-            level_edges.join(ca, "a").join(cb, "b").groupBy(
-                F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")
-            ).agg(F.sum("w").alias("w")),
-            "edges",
+        fewer = materialise(
+            strengths.join(merges, "id", "left").groupBy(F.coalesce("to", "id").alias("id")).agg(F.sum("k").alias("k")), "strengths"
         )
+        discard(level, strengths)
+        level, strengths = shorter, fewer
+    names = vertices.select("id", F.col("id").alias("to")).limit(0)
+    while rounds:
+        merges = rounds.pop()
+        later = names.select(F.col("id").alias("to"), F.col("to").alias("_last"))
+        names = materialise(
+            merges.join(later, "to", "left").select("id", F.coalesce("_last", "to").alias("to")).unionByName(names), "names"
+        )
+    member = materialise(
+        vertices.select("id").join(names, "id", "left").select("id", F.coalesce("to", "id").alias("community")), "members"
+    )
     sizes = member.groupBy("community").agg(F.count("*").alias("_n"), F.min("id").alias("_first"))
-    numbers = position(sizes, [], [F.col("_n").desc(), F.col("_first").asc()], "_number")
+    numbers = materialise(position(sizes, [], [F.col("_n").desc(), F.col("_first").asc()], "_number"), "numbers")
     return member.join(numbers.select("community", "_number"), "community").select(
         "id", F.col("_number").alias("community")
     )

@@ -5,60 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftwork.operators.pairs import pairs_within, shared_products
 from weftwork.operators.ranking import running_total, top_rows
 from weftwork.session import materialise
 
-MAX_SETS = 1000
-
-
-def bounded_names(df: DataFrame, column: str, limit: int = MAX_SETS) -> list:
-    """Distinct values of a column that names corpora, classes or sets, at most limit of them."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return sorted(row[0] for row in rows)
-
 
 def membership_patterns(df: DataFrame, owner: str, item: str) -> DataFrame:
     """(owners, n_items): how many items belong to exactly this combination of sets.
 
-    df has distinct rows of a bounded number of sets, so an item's list is no longer than that.
     Items with equal lists are counted together, so later steps work on patterns instead of items.
     """
     lists = df.groupBy(item).agg(F.array_sort(F.collect_list(owner)).alias("owners"))
     return lists.groupBy("owners").agg(F.count("*").alias("n_items"))
 
 
+def all_pairs(sizes: DataFrame, name: str, carry: list[str]) -> DataFrame:
+    """(left, right, left_<carry>, right_<carry>) of all names, which is the result a report asks for."""
+    rows = materialise(sizes.withColumn("_all", F.lit(0)), "names")
+    return pairs_within(rows, "_all", name, carry).drop("_all")
+
+
 def jaccard_report(df: DataFrame, owner: str, item: str) -> DataFrame:
-    """(left, right, shared, jaccard) for all pairs of a bounded number of sets, disjoint ones too."""
+    """(left, right, shared, jaccard) for all pairs of sets, disjoint ones too."""
     distinct = materialise(df.select(owner, item).distinct(), "sets")
-    names = bounded_names(distinct, owner)
-    patterns = materialise(membership_patterns(distinct, owner, item), "patterns")
-    sizes_of = patterns.select(F.explode("owners").alias("name"), "n_items")
-    sizes = sizes_of.groupBy("name").agg(F.sum("n_items").alias("size"))
-    pair = F.flatten(
-        F.transform(
-            "owners",
-            lambda a, i: F.transform(
-                F.slice("owners", i + 2, F.size("owners")),
-                lambda b: F.struct(a.alias("left"), b.alias("right")),
-            ),
-        )
+    patterns = materialise(membership_patterns(distinct, owner, item).withColumn("_pattern", F.xxhash64("owners")), "patterns")
+    members = materialise(patterns.select("_pattern", F.explode("owners").alias("name"), "n_items"), "pattern-members")
+    sizes = members.groupBy("name").agg(F.sum("n_items").alias("size"))
+    shared = pairs_within(members, "_pattern", "name", ["n_items"]).groupBy("left", "right").agg(
+        F.sum("left_n_items").alias("shared")
     )
-    shared = (
-        patterns.select(F.inline(pair), "n_items")
-        .groupBy("left", "right").agg(F.sum("n_items").alias("shared"))
-    )
-    later = F.array(*[F.lit(n) for n in names])
-    grid = (
-        sizes.withColumn("right", F.explode(F.filter(later, lambda x: x > F.col("name"))))
-        .withColumnsRenamed({"name": "left", "size": "_left"})
-    )
-    full = grid.join(
-        sizes.withColumnsRenamed({"name": "right", "size": "_right"}), "right"
-    ).join(shared, ["left", "right"], "left")
+    full = all_pairs(sizes, "name", ["size"]).join(shared, ["left", "right"], "left")
     common = F.coalesce("shared", F.lit(0))
-    union = F.col("_left") + F.col("_right") - common
+    union = F.col("left_size") + F.col("right_size") - common
     return full.select("left", "right", common.alias("shared"), (common / union).alias("jaccard"))
 
 
@@ -68,8 +46,8 @@ def common_terms(df: DataFrame, corpus: str, term: str = "term") -> DataFrame:
 
 
 def _in_all(pairs: DataFrame, corpus: str, term: str) -> DataFrame:
-    k = len(bounded_names(pairs, corpus))
-    return pairs.groupBy(term).agg(F.count("*").alias("_k")).filter(F.col("_k") == k).select(term)
+    k = pairs.agg(F.count_distinct(corpus)).scalar()
+    return pairs.groupBy(term).agg(F.count_if(F.col(corpus).isNotNull()).alias("_k")).filter(F.col("_k") == k).select(term)
 
 
 def unique_terms(df: DataFrame, corpus: str, term: str = "term") -> DataFrame:
@@ -122,34 +100,17 @@ def term_space(scores: DataFrame, corpus: str, first: str, second: str) -> DataF
 def report_distances(scores: DataFrame, corpus: str) -> DataFrame:
     """(left, right, distance, angle) of every pair of corpora, each a sparse vector over its terms.
 
-    Rows of one term are at most one per corpus. Each becomes a list, the list yields its pairs,
-    and they are summed per pair before any shuffle; |a-b|^2 = |a|^2 + |b|^2 - 2 a.b.
+    Corpora meet at the terms that they share; |a-b|^2 = |a|^2 + |b|^2 - 2 a.b.
     """
-    scores = materialise(scores, "scores")
-    names = bounded_names(scores, corpus)
-    norms = scores.groupBy(corpus).agg(F.sum(F.col("score") * F.col("score")).alias("_sq"))
-    lists = scores.groupBy("term").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(corpus).alias("name"), "score"))).alias("_v")
-    )
-    products = F.flatten(
-        F.transform(
-            "_v",
-            lambda a, i: F.transform(
-                F.slice("_v", i + 2, F.size("_v")),
-                lambda b: F.struct(
-                    a["name"].alias("left"), b["name"].alias("right"),
-                    (a["score"] * b["score"]).alias("p"),
-                ),
-            ),
-        )
-    )
-    dots = lists.select(F.inline(products)).groupBy("left", "right").agg(F.sum("p").alias("_dot"))
-    later = F.array(*[F.lit(n) for n in names])
-    grid = norms.select(
-        F.col(corpus).alias("left"), F.col("_sq").alias("_a"),
-        F.explode(F.filter(later, lambda x: x > F.col(corpus))).alias("right"),
+    rows = materialise(
+        scores.filter(F.col(corpus).isNotNull()).select(
+            F.col(corpus).alias("owner"), F.col("term").alias("item"), F.col("score").alias("weight")
+        ),
+        "scores",
     )
-    full = grid.join(norms.select(F.col(corpus).alias("right"), F.col("_sq").alias("_b")), "right")
+    norms = rows.groupBy("owner").agg(F.sum(F.col("weight") * F.col("weight")).alias("sq"))
+    dots = shared_products(rows).select("left", "right", F.col("dot").alias("_dot"))
+    full = all_pairs(norms, "owner", ["sq"]).withColumnsRenamed({"left_sq": "_a", "right_sq": "_b"})
     full = full.join(dots, ["left", "right"], "left").withColumn("_dot", F.coalesce("_dot", F.lit(0.0)))
     cosine = F.try_divide(F.col("_dot"), F.sqrt(F.col("_a") * F.col("_b")))
     return full.select(

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Word2Vec
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, DoubleType, StringType
 
-from weftwork.operators.ranking import top_rows
+from weftwork.operators.ranking import position, top_rows
+from weftwork.session import materialise
 
-MAX_QUERIES = 1000
+#: Query vectors that one scan of a model serves.
+QUERIES_AT_ONCE = 1000
 
 
 class UnknownTokens(KeyError):
@@ -27,19 +30,15 @@ def model_size(model: DataFrame) -> DataFrame:
 
 def lookup(model: DataFrame, tokens: list) -> DataFrame:
     """(token, vec) of the requested tokens; an unknown one is an error."""
-    _bounded(tokens)
-    found = model.filter(F.col("token").isin(list(tokens)))
+    kind = model.schema["token"].dataType
+    wanted = model.sparkSession.createDataFrame([(t,) for t in set(tokens)], StructType([StructField("token", kind)]))
+    found = model.join(wanted, "token", "left_semi")
     known = {row["token"] for row in found.select("token").collect()}
     if missing := sorted(set(tokens) - known):
         raise UnknownTokens(missing)
     return found
 
 
-def _bounded(tokens: list) -> None:
-    if len(tokens) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} tokens at once")
-
-
 def dot(a: Column, b: Column) -> Column:
     """Scalar product of two arrays in double precision."""
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -62,7 +61,6 @@ def pair_similarities(model: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def compare_models(words: list, models: dict[str, DataFrame]) -> DataFrame:
     """(model, word1, word2, similarity): all ordered pairs of a few words in every model."""
-    _bounded(words)
     result = None
     for name, model in models.items():
         found = lookup(model, words).select("token", "vec")
@@ -109,11 +107,17 @@ def nearest(
 ) -> DataFrame:
     """(query, token, similarity, rank) of the n tokens nearest to each of a few query vectors.
 
-    One scan of the model; every batch hands on its own best rows only. Raw query vectors do not
+    One scan of the model per QUERIES_AT_ONCE; every batch hands on its own best rows only. Raw query vectors do not
     leave out their inputs, exclude lists tokens to leave out per query.
     """
-    _bounded(list(queries))
     names = list(queries)
+    if len(names) > QUERIES_AT_ONCE:
+        parts = [names[i:i + QUERIES_AT_ONCE] for i in range(0, len(names), QUERIES_AT_ONCE)]
+        found = [
+            nearest(model, {q: queries[q] for q in part}, n, {q: v for q, v in (exclude or {}).items() if q in set(part)})
+            for part in parts
+        ]
+        return reduce(DataFrame.unionByName, found)
     kind = model.schema["token"].dataType
     schema = StructType(
         [StructField("query", StringType()), StructField("token", kind), StructField("similarity", DoubleType())]
@@ -147,10 +151,53 @@ def vector_arithmetic(model: DataFrame, word1, word2, target, n: int = 50) -> Da
     return nearest(model, queries, n)
 
 
-def train_vectors(df: DataFrame, tokens: str, size: int = 25, min_count: int = 2, seed: int = 42) -> DataFrame:
-    """(token, vec) of a skip-gram model fitted to a column of token arrays."""
-    model = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens, outputCol="_v",
-                     numPartitions=max(1, min(8, df.rdd.getNumPartitions())), maxIter=1).fit(df)
-    from pyspark.ml.functions import vector_to_array
+def cooccurrences(df: DataFrame, tokens: str, window: int = 5, min_count: int = 2) -> DataFrame:
+    """(token, context, n): how often two tokens stand at most window places apart, in both orders.
+
+    Tokens that occur fewer than min_count times are left out of the result, not of the distances.
+    Equal pairs of a row are counted in the row before anything is shuffled.
+    """
+    counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("_n"))
+    kept = materialise(counts.filter(F.col("_n") >= min_count).select("token"), "tokens")
+    placed = F.posexplode(tokens).alias("at", "token")
+    near = df.select(tokens, placed).select(
+        "token", F.explode(F.slice(tokens, F.col("at") + 2, window)).alias("context")
+    )
+    once = near.groupBy(F.least("token", "context").alias("a"), F.greatest("token", "context").alias("b")).agg(F.count("*").alias("n"))
+    once = once.join(kept.withColumnRenamed("token", "a"), "a", "left_semi").join(kept.withColumnRenamed("token", "b"), "b", "left_semi")
+    both = F.array(F.struct(F.col("a").alias("token"), F.col("b").alias("context"), "n"), F.struct(F.col("b").alias("token"), F.col("a").alias("context"), "n"))
+    return once.select(F.inline(both)).groupBy("token", "context").agg(F.sum("n").alias("n"))
+
+
+def association(pairs: DataFrame) -> DataFrame:
+    """(token, context, weight): positive pointwise mutual information of cooccurrences()."""
+    pairs = materialise(pairs, "cooccurrences")
+    sums = materialise(pairs.groupBy("token").agg(F.sum("n").alias("_sum")), "token-sums")
+    total = pairs.agg(F.sum("n")).scalar()
+    context = sums.select(F.col("token").alias("context"), F.col("_sum").alias("_context"))
+    weight = F.log(F.col("n") * total / (F.col("_sum") * F.col("_context")))
+    return pairs.join(sums, "token").join(context, "context").select("token", "context", weight.alias("weight")).filter(F.col("weight") > 0)
+
+
+def train_vectors(
+    df: DataFrame, tokens: str, size: int = 25, min_count: int = 2, seed: int = 42, window: int = 5, rounds: int = 10
+) -> DataFrame:
+    """(token, vec): factors of the association of tokens with their contexts, by alternating least squares.
 
-    return model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("vec"))
+    Counts, association and both factor tables stay distributed, and the result does not depend on
+    the partitions of df. A token without positive association has no vector.
+    """
+    weights = materialise(association(cooccurrences(df, tokens, window, min_count)), "association")
+    numbers = materialise(
+        position(weights.select("token").distinct(), [], [F.col("token").asc()], "number").withColumn("number", F.col("number").cast("int")),
+        "token-numbers",
+    )
+    cells = weights.join(numbers.withColumnRenamed("number", "row"), "token").join(
+        numbers.withColumnsRenamed({"token": "context", "number": "column"}), "context"
+    ).select("row", "column", "weight")
+    model = ALS(
+        rank=size, maxIter=rounds, regParam=0.1, seed=seed, userCol="row", itemCol="column", ratingCol="weight"
+    ).fit(cells)
+    return model.userFactors.withColumnRenamed("id", "number").join(numbers, "number").select(
+        "token", F.col("features").alias("vec")
+    )

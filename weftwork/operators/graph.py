@@ -274,7 +274,7 @@ def edges_inside_groups(vertices: DataFrame, edges: DataFrame, attribute: str) -
 
 # ---------------------------------------------------------------- threads
 
-def comment_levels(comments: DataFrame, max_rounds: int = 40) -> DataFrame:
+def comment_levels(comments: DataFrame) -> DataFrame:
     """(post_id, comment_id, level), top comments at level 1; an orphan starts a thread of its own.
 
     Every round doubles the distance a comment looks up, so a chain of length d takes log2(d)
@@ -288,18 +288,22 @@ def comment_levels(comments: DataFrame, max_rounds: int = 40) -> DataFrame:
         ),
         "levels",
     )
-    for _ in range(max_rounds):
-        if state.filter(F.col("up").isNotNull()).isEmpty():
-            return state.select("post_id", "comment_id", "level")
-        open_rows = state.filter(F.col("up").isNotNull())
+    left = state.filter(F.col("up").isNotNull()).count()
+    while left:
         above = state.select(
             F.col("comment_id").alias("up"), F.col("up").alias("_up2"), F.col("level").alias("_more")
         )
-        moved = open_rows.join(above, "up").select(
+        moved = state.filter(F.col("up").isNotNull()).join(above, "up").select(
             "post_id", "comment_id", F.col("_up2").alias("up"), (F.col("level") + F.col("_more")).alias("level")
         )
-        state = materialise(state.filter(F.col("up").isNull()).unionByName(moved), "levels")
-    raise RuntimeError("replies form a circle")
+        longer = materialise(state.filter(F.col("up").isNull()).unionByName(moved), "levels")
+        discard(state)
+        state, before = longer, left
+        left = state.filter(F.col("up").isNotNull()).count()
+        # A chain holds comments at every distance, so each round resolves some unless all are in circles.
+        if left == before:
+            raise RuntimeError("replies form a circle")
+    return state.select("post_id", "comment_id", "level")
 
 
 def thread_shape(levels: DataFrame) -> DataFrame:

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from weftwork.functions.text import wordnet_class
 
@@ -17,106 +13,84 @@ def drop_listed(rows: DataFrame, word_list: DataFrame, term: str = "term") -> Da
     return rows.join(word_list.select(F.col(word_list.columns[0]).alias(term)), term, "left_anti")
 
 
-def _measure(word: str) -> int:
-    forms = _shape(word)
-    return sum(1 for a, b in zip(forms, forms[1:]) if a == "v" and b == "c")
+# The suffix rules of Porter (1980), steps 2 to 4, as (suffix, replacement).
+STEP2 = (
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("abli", "able"),
+    ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
+    ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"),
+    ("iviti", "ive"), ("biliti", "ble"),
+)
+STEP3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""))
+STEP4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti",
+    "ous", "ive", "ize",
+)
+#: Regular expressions over shapes (V and C per letter): measure above 0, above 1, exactly 1.
+SOME, MANY, ONE = "V+C", "V+C+V+C", "^C*V+C+V*$"
 
 
-def _shape(word: str) -> str:
-    """v or c per letter; y is a vowel after a consonant."""
-    out = ""
-    for i, ch in enumerate(word):
-        vowel = ch in "aeiou" or (ch == "y" and i > 0 and out[-1] == "c")
-        out += "v" if vowel else "c"
-    return out
+def _shape(word: Column) -> Column:
+    """V or C per letter; y is a vowel after a consonant."""
+    marks = F.regexp_replace(F.translate(word, "aeiou", "VVVVV"), "[^Vy]", "C")
+    marks = F.when(marks.startswith("y"), F.concat(F.lit("C"), F.substring(marks, 2, 1 << 30))).otherwise(marks)
+    for _ in range(4):  # each turn settles two letters of a run of y
+        marks = F.replace(F.replace(marks, F.lit("Cy"), F.lit("CV")), F.lit("Vy"), F.lit("VC"))
+    return marks
 
 
-def _ends_cvc(word: str) -> bool:
-    return len(word) > 2 and _shape(word)[-3:] == "cvc" and word[-1] not in "wxy"
+def _without(word: Column, n: int | Column) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - n)
 
 
-# The suffix rules of Porter (1980), steps 2 to 4.
-_STEP2 = (
-    "ational ate, tional tion, enci ence, anci ance, izer ize, abli able, alli al, entli ent, "
-    "eli e, ousli ous, ization ize, ation ate, ator ate, alism al, iveness ive, fulness ful, "
-    "ousness ous, aliti al, iviti ive, biliti ble"
-)
-_STEP3 = "icate ic, ative, alize al, iciti ic, ical ic, ful, ness"
-_STEP4 = (
-    "al, ance, ence, er, ic, able, ible, ant, ement, ment, ent, ion, ou, ism, ate, iti, ous, ive, ize"
-)
+def _short(word: Column) -> Column:
+    """Consonant, vowel, consonant at the end, the last not w, x or y."""
+    return _shape(word).endswith("CVC") & ~word.rlike("[wxy]$")
 
 
-def _rules(text: str) -> list[tuple[str, str]]:
-    pairs = [(r.split() + [""])[:2] for r in text.split(", ")]
-    return sorted(((a, b) for a, b in pairs), key=lambda r: -len(r[0]))
-
-
-_RULES2, _RULES3, _RULES4 = _rules(_STEP2), _rules(_STEP3), _rules(_STEP4)
-
-
-def porter_stem(word: str) -> str:
-    """Stem of one lower-case word by the published algorithm."""
-    if len(word) <= 2:
-        return word
-    if word.endswith("sses") or word.endswith("ies"):
-        word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
-        word = word[:-1]
-
-    if word.endswith("eed"):
-        if _measure(word[:-3]) > 0:
-            word = word[:-1]
-    else:
-        for suffix in ("ed", "ing"):
-            if word.endswith(suffix):
-                stem = word[: -len(suffix)]
-                if "v" in _shape(stem):
-                    word = stem
-                    if word.endswith(("at", "bl", "iz")):
-                        word += "e"
-                    elif word[-2:-1] == word[-1:] and _shape(word)[-1:] == "c" and word[-1] not in "lsz":
-                        word = word[:-1]
-                    elif _measure(word) == 1 and _ends_cvc(word):
-                        word += "e"
-                break
-
-    if word.endswith("y") and "v" in _shape(word[:-1]):
-        word = word[:-1] + "i"
-
-    for rules in (_RULES2, _RULES3):
-        for suffix, new in rules:
-            if word.endswith(suffix):
-                stem = word[: -len(suffix)]
-                if _measure(stem) > 0:
-                    word = stem + new
-                break
-    for suffix, _ in _RULES4:
-        if word.endswith(suffix):
-            stem = word[: -len(suffix)]
-            if _measure(stem) > 1 and (suffix != "ion" or stem.endswith(("s", "t"))):
-                word = stem
-            break
-
-    if word.endswith("e"):
-        stem = word[:-1]
-        if _measure(stem) > 1 or (_measure(stem) == 1 and not _ends_cvc(stem)):
-            word = stem
-    if word.endswith("ll") and _measure(word) > 1:
-        word = word[:-1]
-    return word
-
-
-@F.pandas_udf(StringType())
-def _stem_column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for words in batches:
-        yield words.map(porter_stem)
+def _by_suffix(word: Column, rules: tuple[tuple[str, str], ...], measure: str, extra: Column | None = None) -> Column:
+    """The longest suffix of the rules gives way to its replacement if the stem has the measure."""
+    pattern = "^(.*?)(" + "|".join(a for a, _ in rules) + ")$"
+    suffix, stem = F.regexp_extract(word, pattern, 2), F.regexp_extract(word, pattern, 1)
+    allowed = _shape(stem).rlike(measure)
+    if extra is not None:
+        allowed = allowed & ((suffix != "ion") | stem.rlike("[st]$"))
+    new = F.create_map(*[F.lit(x) for rule in rules for x in rule])
+    return F.when((suffix != "") & allowed, F.concat(stem, F.try_element_at(new, suffix))).otherwise(word)
 
 
 def stem_table(terms: DataFrame, term: str = "term") -> DataFrame:
-    """(term, stem), every distinct word stemmed once however often it occurs."""
+    """(term, stem) by the published suffix rules, in column expressions.
+
+    Every distinct word is stemmed once, however often it occurs. Words are expected in lower case;
+    those of up to two letters stay.
+    """
     words = terms.select(term).filter(F.col(term).isNotNull()).distinct()
-    return words.withColumn("stem", _stem_column(F.col(term)))
+    w = F.col("_w")
+    steps = words.withColumn("_w", F.col(term))
+    steps = steps.withColumn(
+        "_w", F.when(w.rlike("(sses|ies)$"), _without(w, 2)).when(w.rlike("[^s]s$"), _without(w, 1)).otherwise(w)
+    )
+    cut = F.when(w.endswith("ed"), _without(w, 2)).when(w.endswith("ing"), _without(w, 3))
+    steps = steps.withColumn("_cut", F.when(~w.endswith("eed") & _shape(cut).contains("V"), cut))
+    c = F.col("_cut")
+    tidy = (
+        F.when(c.rlike("(at|bl|iz)$"), F.concat(c, F.lit("e")))
+        .when(c.rlike(r"(.)\1$") & _shape(c).endswith("C") & ~c.rlike("[lsz]$"), _without(c, 1))
+        .when(_shape(c).rlike(ONE) & _short(c), F.concat(c, F.lit("e")))
+        .otherwise(c)
+    )
+    eed = F.when(_shape(_without(w, 3)).rlike(SOME), _without(w, 1)).otherwise(w)
+    steps = steps.withColumn("_w", F.when(w.endswith("eed"), eed).when(c.isNotNull(), tidy).otherwise(w))
+    steps = steps.withColumn(
+        "_w", F.when(w.endswith("y") & _shape(_without(w, 1)).contains("V"), F.concat(_without(w, 1), F.lit("i"))).otherwise(w)
+    )
+    steps = steps.withColumn("_w", _by_suffix(w, STEP2, SOME)).withColumn("_w", _by_suffix(w, STEP3, SOME))
+    steps = steps.withColumn("_w", _by_suffix(w, tuple((x, "") for x in STEP4), MANY, F.lit(True)))
+    bare = _without(w, 1)
+    drop_e = w.endswith("e") & (_shape(bare).rlike(MANY) | (_shape(bare).rlike(ONE) & ~_short(bare)))
+    steps = steps.withColumn("_w", F.when(drop_e, bare).otherwise(w))
+    steps = steps.withColumn("_w", F.when(w.endswith("ll") & _shape(w).rlike(MANY), _without(w, 1)).otherwise(w))
+    return steps.select(term, F.when(F.length(term) <= 2, F.col(term)).otherwise(w).alias("stem"))
 
 
 def lemmatise(rows: DataFrame, lexicon: DataFrame, term: str = "term", tag: Column | None = None) -> DataFrame:

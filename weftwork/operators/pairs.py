@@ -74,7 +74,7 @@ def _leading_rows(rows: DataFrame, bound: float) -> DataFrame:
     lower so that the kept part says more; rest is the length of what is dropped. An owner has
     at most a few hundred bands, whatever its number of items.
     """
-    used = rows.groupBy("item").agg(F.count("*").alias("_used"))
+    used = materialise(rows.groupBy("item").agg(F.count("*").alias("_used")), "item-counts")
     banded = rows.join(used, "item").withColumn("_band", F.floor(F.log("_used") * 8).cast("int"))
     mass = banded.groupBy("owner", "_band").agg(F.sum(F.col("weight") * F.col("weight")).alias("_sq"))
     bands = Window.partitionBy("owner")
@@ -114,7 +114,7 @@ def similar_pairs(rows: DataFrame, bound: float | None) -> DataFrame:
         F.max(F.greatest("left_rest", "right_rest")).alias("_rest"),
     ).filter(F.col("_p") + F.col("_rest") >= bound - _SLACK).select("left", "right")
     # The shorter vector of a pair is opened and looked up in the longer one.
-    sizes = rows.groupBy("owner").agg(F.count("*").alias("_n"))
+    sizes = materialise(rows.groupBy("owner").agg(F.count("*").alias("_n")), "owner-counts")
     for side in ("left", "right"):
         named = sizes.select(F.col("owner").alias(side), F.col("_n").alias(f"_n_{side}"))
         candidates = candidates.join(named, side)

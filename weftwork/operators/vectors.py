@@ -16,62 +16,69 @@ from weftwork.operators.ranking import position, top_rows
 from weftwork.operators.similarity import open_classes
 from weftwork.session import materialise
 
-MAX_ITEMS = 2000
+#: Matrix cells that a task holds over all corpora before it passes sums on.
+CELLS = 4_000_000
 
 
 def _partial_products(n: int):
-    """Sum of x'x over the feature rows of a task; each task hands on at most n^2 / 2 numbers."""
+    """Sum of x'x over the feature rows of every corpus in a task, passed on as (corpus, i, j, dot)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n, n))
+        totals: dict = {}
+
+        def sums() -> Iterator[pd.DataFrame]:
+            for corpus, total in totals.items():
+                i, j = np.nonzero(np.triu(total))
+                yield pd.DataFrame({"corpus": corpus, "i": i, "j": j, "dot": total[i, j]})
+            totals.clear()
+
         for batch in batches:
-            sizes = batch["at"].map(len).to_numpy()
-            if not sizes.sum():
-                continue
-            row = np.repeat(np.arange(len(batch)), sizes)
-            at = np.concatenate(batch["at"].to_numpy())
-            w = np.concatenate(batch["w"].to_numpy())
-            block = np.zeros((len(batch), n))
-            np.add.at(block, (row, at), w)
-            total += block.T @ block
-        i, j = np.nonzero(np.triu(total))
-        yield pd.DataFrame({"i": i, "j": j, "dot": total[i, j]})
+            for corpus, rows in batch.groupby("corpus", dropna=False):
+                sizes = rows["at"].map(len).to_numpy()
+                row = np.repeat(np.arange(len(rows)), sizes)
+                block = np.zeros((len(rows), n))
+                np.add.at(block, (row, np.concatenate(rows["at"].to_numpy())), np.concatenate(rows["w"].to_numpy()))
+                if corpus not in totals and (len(totals) + 1) * n * n > CELLS:
+                    yield from sums()
+                totals[corpus] = totals.get(corpus, 0) + block.T @ block
+        yield from sums()
 
     return run
 
 
 def term_similarities(
-    weights: DataFrame, scores: DataFrame, corpus: list[str], doc: str, n_terms: int = 10,
-    max_items: int = MAX_ITEMS,
+    weights: DataFrame, scores: DataFrame, corpus: list[str], doc: str, n_terms: int = 10
 ) -> DataFrame:
     """(corpus, left, right, cosine, distance) for the n_terms best-scored terms of each corpus.
 
-    The chosen terms are few, so their products are summed inside the tasks as one small matrix
-    per task, and only those matrices are shuffled. Term pairs are not written out per document.
+    Terms are numbered inside their corpus, and products are summed inside the tasks as one matrix
+    of n_terms^2 cells per corpus; only those are shuffled. Term pairs are not written out per
+    document.
     """
-    chosen = materialise(top_rows(scores, n_terms, corpus, [F.col("score").desc(), F.col("term").asc()]), "terms")
-    n = chosen.count()
-    if n > max_items:
-        raise ValueError(f"{n} terms over all corpora; at most {max_items}")
-    # At most max_items rows.
-    numbered = chosen.select(
-        *corpus, "term", (F.row_number().over(Window.orderBy(*corpus, "term")) - 1).alias("at")
+    order = [F.col("score").desc(), F.col("term").asc()]
+    chosen = top_rows(scores, n_terms, corpus, order, "_place") if corpus else top_rows(scores, n_terms, [], order).withColumn(
+        "_place", F.row_number().over(Window.orderBy(*order))
+    )
+    name = F.struct(*corpus) if corpus else F.struct(F.lit(0).alias("all"))
+    numbered = materialise(
+        chosen.select(*corpus, "term", (F.col("_place") - 1).alias("at"), F.to_json(name).alias("corpus")), "numbered"
     )
-    numbered = materialise(numbered, "numbered")
-    lists = weights.join(numbered, [*corpus, "term"]).groupBy(*corpus, doc).agg(
+    lists = weights.join(numbered, [*corpus, "term"]).groupBy("corpus", doc).agg(
         F.collect_list(F.struct("at", "weight")).alias("_v")
     )
-    parts = lists.select(F.col("_v.at").alias("at"), F.col("_v.weight").alias("w")).mapInPandas(
-        _partial_products(n), "i int, j int, dot double"
+    parts = lists.select("corpus", F.col("_v.at").alias("at"), F.col("_v.weight").alias("w")).mapInPandas(
+        _partial_products(n_terms), "corpus string, i int, j int, dot double"
     )
-    dots = materialise(parts.groupBy("i", "j").agg(F.sum("dot").alias("dot")), "dots")
+    dots = materialise(parts.groupBy("corpus", "i", "j").agg(F.sum("dot").alias("dot")), "dots")
     square = dots.filter(F.col("i") == F.col("j"))
-    left = numbered.select(*corpus, F.col("term").alias("left"), F.col("at").alias("i"))
-    right = numbered.select(*corpus, F.col("term").alias("right"), F.col("at").alias("j"))
-    pairs = left.join(right, corpus).filter(F.col("i") < F.col("j"))
+    left = numbered.select("corpus", *corpus, F.col("term").alias("left"), F.col("at").alias("_l"))
+    right = numbered.select("corpus", F.col("term").alias("right"), F.col("at").alias("_r"))
+    pairs = left.join(right, "corpus").filter(F.col("left") < F.col("right")).withColumns(
+        {"i": F.least("_l", "_r"), "j": F.greatest("_l", "_r")}
+    )
     pairs = (
-        pairs.join(dots, ["i", "j"], "left")
-        .join(square.select("i", F.col("dot").alias("_a")), "i", "left")
-        .join(square.select("j", F.col("dot").alias("_b")), "j", "left")
+        pairs.join(dots, ["corpus", "i", "j"], "left")
+        .join(square.select("corpus", "i", F.col("dot").alias("_a")), ["corpus", "i"], "left")
+        .join(square.select("corpus", "j", F.col("dot").alias("_b")), ["corpus", "j"], "left")
     )
     cosine = F.coalesce(F.try_divide(F.col("dot"), F.sqrt(F.col("_a") * F.col("_b"))), F.lit(0.0))
     return pairs.select(*corpus, "left", "right", cosine.alias("cosine")).withColumn(
@@ -111,37 +118,52 @@ def plane_coordinates(df: DataFrame, label: str, vector: str) -> DataFrame:
     return points.select(label, *[(F.get("_xy", F.lit(k)) * signs[k]).alias("xy"[k]) for k in range(2)])
 
 
-def dense_rows(weights: DataFrame, doc: str, terms: list[str]) -> DataFrame:
-    """(doc, vector): the cells of the listed terms as an array, in their order."""
+def dense_rows(docs: DataFrame, weights: DataFrame, doc: str, terms: list[str]) -> DataFrame:
+    """(doc, vector) of every row of docs: the cells of the listed terms as an array, in their order.
+
+    A document without any of them has a vector of zeros.
+    """
     listed = F.array(*[F.lit(t) for t in terms])
     found = weights.filter(F.col("term").isin(terms)).groupBy(doc).agg(
         F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("_m")
     )
-    return found.select(
-        doc, F.transform(listed, lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(0.0))).alias("vector")
-    )
+    zero = F.lit(0.0)
+    vector = F.transform(listed, lambda t: F.coalesce(F.try_element_at("_m", t), zero))
+    return docs.select(doc).join(found, doc, "left").select(doc, vector.alias("vector"))
+
+
+def _scaled(corpus: list[str]):
+    """Classical scaling of one corpus: the leading two axes of the centred squared distances."""
+    def run(pairs: pd.DataFrame) -> pd.DataFrame:
+        terms = sorted(set(pairs["left"]) | set(pairs["right"]))
+        at = {t: i for i, t in enumerate(terms)}
+        d = np.zeros((len(terms), len(terms)))
+        i, j = pairs["left"].map(at).to_numpy(), pairs["right"].map(at).to_numpy()
+        d[i, j] = d[j, i] = pairs["distance"].to_numpy()
+        centre = np.eye(len(terms)) - 1.0 / len(terms)
+        values, axes = np.linalg.eigh(-0.5 * centre @ (d * d) @ centre)
+        axes = axes[:, ::-1][:, :2] * np.sqrt(np.maximum(values[::-1][:2], 0.0))
+        for k in range(axes.shape[1]):
+            if axes[np.abs(axes[:, k]).argmax(), k] < 0:
+                axes[:, k] *= -1
+        out = pd.DataFrame({"term": terms, "x": axes[:, 0], "y": axes[:, 1]})
+        for c in corpus:
+            out[c] = pairs[c].iloc[0]
+        return out[[*corpus, "term", "x", "y"]]
 
+    return run
 
-def term_coordinates(similarities: DataFrame) -> DataFrame:
-    """(term, x, y) from the similarities of a few chosen terms of one corpus.
 
-    Classical scaling of the distances 1 - cosine: the table holds the pairs of at most MAX_ITEMS
-    chosen terms and is the only thing that leaves Spark.
+def term_coordinates(similarities: DataFrame, corpus: list[str]) -> DataFrame:
+    """(corpus, term, x, y) from term_similarities, whose chosen terms per corpus are n_terms.
+
+    Classical scaling of the distances 1 - cosine, one task per corpus on its n_terms^2 / 2 pairs.
     """
-    pairs = similarities.select("left", "right", "distance").limit(MAX_ITEMS * MAX_ITEMS // 2).toPandas()
-    terms = sorted(set(pairs["left"]) | set(pairs["right"]))
-    at = {t: i for i, t in enumerate(terms)}
-    d = np.zeros((len(terms), len(terms)))
-    for a, b, value in pairs.itertuples(index=False):
-        d[at[a], at[b]] = d[at[b], at[a]] = value
-    centre = np.eye(len(terms)) - 1.0 / max(len(terms), 1)
-    values, axes = np.linalg.eigh(-0.5 * centre @ (d * d) @ centre)
-    axes = axes[:, ::-1][:, :2] * np.sqrt(np.maximum(values[::-1][:2], 0.0))
-    for k in range(axes.shape[1]):
-        if axes[np.abs(axes[:, k]).argmax(), k] < 0:
-            axes[:, k] *= -1
-    rows = [(t, float(axes[i, 0]), float(axes[i, 1])) for i, t in enumerate(terms)]
-    return similarities.sparkSession.createDataFrame(rows, "term string, x double, y double")
+    kept = similarities.select(*corpus, "left", "right", "distance")
+    kinds = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in corpus)
+    return kept.groupBy(*corpus).applyInPandas(
+        _scaled(corpus), f"{kinds + ', ' if kinds else ''}term string, x double, y double"
+    )
 
 
 def highlight_top(scores: DataFrame, group: list[str], n: int = 5) -> DataFrame:

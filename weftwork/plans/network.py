@@ -11,9 +11,11 @@ from weftwork.operators import twomode as K
 from weftwork.operators.classify import classification_report, confusion_matrix
 from weftwork.operators.cluster import label_clusters
 from weftwork.operators.similarity import find_similar_users
+from weftwork.plans import snippets as Q
 from weftwork.plans.registry import Registry
 from weftwork.plans.terms import rounded
 from weftwork.plans.text import documents
+from weftwork.session import materialise
 from weftwork.sources.tables import read_table
 
 QUERIES = Registry()
@@ -181,11 +183,13 @@ COMPONENTS = f"""WITH RECURSIVE {LINES},
 
 
 def line_graph(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Written once: vertices, links and counts are all derived from the links."""
     lines = documents(spark, folder).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     edges = lines.filter(F.trim("line") != "").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("src"), F.concat(F.lit("l"), F.md5("line")).alias("dst")
     ).distinct()
-    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), edges
+    edges = materialise(edges, "line-edges")
+    return materialise(edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "line-vertices"), edges
 
 
 @QUERIES.add("J11_network_stats", f"""{COMPONENTS}
@@ -228,10 +232,42 @@ def edges_inside(spark, folder):
     return G.edges_inside_groups(clubs(vertices), edges, "club")
 
 
-@QUERIES.add("J15_communities")
+RESOLUTION = 0.8
+
+
+def merge_sql(rounds: int) -> str:
+    """CTEs: e0, k0 and, after each round, m<r>(id, community); rounds after the last merge change nothing."""
+    parts = [f"""{LINES}, e0 AS MATERIALIZED (SELECT src AS a, dst AS b, 1.0::DOUBLE AS w FROM ed),
+        k0 AS MATERIALIZED (SELECT id, sum(w) AS k FROM (SELECT a AS id, w FROM e0 UNION ALL SELECT b, w FROM e0) GROUP BY id),
+        total AS (SELECT sum(w) AS t FROM e0), m0 AS (SELECT id, id AS community FROM vx)"""]
+    for r in range(rounds):
+        parts.append(f"""o{r} AS MATERIALIZED (SELECT a, b, round(w - {RESOLUTION} * x.k * y.k / (2 * t), 9) AS gain, md5(a || '|' || b) AS tie
+            FROM e{r} JOIN k{r} x ON x.id = a JOIN k{r} y ON y.id = b, total WHERE a <> b AND gain > 0),
+        x{r} AS (SELECT id, a, b FROM (SELECT a AS id, * FROM o{r} UNION ALL SELECT b AS id, * FROM o{r})
+            QUALIFY row_number() OVER (PARTITION BY id ORDER BY gain DESC, tie DESC, a DESC, b DESC) = 1),
+        g{r} AS MATERIALIZED (SELECT b AS id, a AS dst FROM x{r} GROUP BY a, b HAVING count(*) = 2),
+        e{r + 1} AS MATERIALIZED (SELECT least(coalesce(x.dst, a), coalesce(y.dst, b)) AS a, greatest(coalesce(x.dst, a), coalesce(y.dst, b)) AS b, sum(w) AS w
+            FROM e{r} LEFT JOIN g{r} x ON x.id = a LEFT JOIN g{r} y ON y.id = b GROUP BY 1, 2),
+        k{r + 1} AS MATERIALIZED (SELECT coalesce(dst, k.id) AS id, sum(k) AS k FROM k{r} k LEFT JOIN g{r} g ON g.id = k.id GROUP BY 1),
+        m{r + 1} AS MATERIALIZED (SELECT m.id, coalesce(dst, community) AS community FROM m{r} m LEFT JOIN g{r} g ON g.id = community)""")
+    return "WITH " + ", ".join(parts)
+
+
+ROUNDS = 30
+COMMUNITIES = f"""{merge_sql(ROUNDS)}, sizes AS (SELECT community, row_number() OVER (ORDER BY count(*) DESC, min(id)) - 1 AS number FROM m{ROUNDS} GROUP BY community),
+    co AS (SELECT id, number AS community FROM m{ROUNDS} JOIN sizes USING (community))"""
+
+
+@QUERIES.add("J15_merge_round", f"{merge_sql(1)} SELECT id, dst AS \"to\" FROM g0")
+def merge_round(spark, folder):
+    edges, strengths, total = M.start_tables(line_graph(spark, folder)[1])
+    return M.merge_round(edges, strengths, total, RESOLUTION)
+
+
+@QUERIES.add("J15_communities", f"{COMMUNITIES} SELECT id, community FROM co")
 def communities(spark, folder):
     vertices, edges = line_graph(spark, folder)
-    return M.communities(vertices, edges, resolution=0.8)
+    return M.communities(vertices, edges, RESOLUTION)
 
 
 @QUERIES.add("J16_modularity", f"""{PAIRS}, {CLUBS}, {DEGREES},
@@ -245,16 +281,17 @@ def modularity(spark, folder):
     return rounded(M.modularity(edges, member, 0.8), "modularity")
 
 
-@QUERIES.add("J17_communities_against_truth", f"""{COMPONENTS},
-    x AS (SELECT component, lang FROM documents JOIN cc ON id = 'd' || doc_id),
-    k AS (SELECT component, lang, count(*) AS n FROM x GROUP BY ALL),
-    best AS (SELECT component, lang AS predicted FROM k QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC, lang) = 1)
-    SELECT lang AS truth, predicted, count(*) AS n FROM x JOIN best USING (component) GROUP BY ALL
-""")
+TRUTH = f"""{COMMUNITIES}, x AS (SELECT community, lang FROM documents JOIN co ON id = 'd' || doc_id),
+    k AS (SELECT community, lang, count(*) AS n FROM x GROUP BY ALL),
+    best AS (SELECT community, lang AS predicted FROM k QUALIFY row_number() OVER (PARTITION BY community ORDER BY n DESC, lang) = 1),
+    pred AS (SELECT lang AS truth, predicted FROM x JOIN best USING (community))"""
+
+
+@QUERIES.add("J17_communities_against_truth", f"{TRUTH} SELECT truth, predicted, count(*) AS n FROM pred GROUP BY ALL")
 def communities_against_truth(spark, folder):
-    parts = G.connected_components(*line_graph(spark, folder))
     truth = read_table(spark, folder, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "lang")
-    return confusion_matrix(label_clusters(parts.join(truth, "id"), "component", "lang"), "lang", "predicted")
+    marked = communities(spark, folder).join(truth, "id")
+    return confusion_matrix(label_clusters(materialise(marked, "marked"), "community", "lang"), "lang", "predicted")
 
 
 # ---------------------------------------------------------------- similar users
@@ -262,6 +299,13 @@ def communities_against_truth(spark, folder):
 NEIGHBOURS = f"""{PAIRS}, nb AS (SELECT src AS o, dst AS i FROM e UNION SELECT dst, src FROM e), s AS (SELECT o, count(*) AS d FROM nb GROUP BY o),
     x AS (SELECT a.o AS user1, b.o AS user2, count(*) AS c FROM nb a JOIN nb b ON a.i = b.i AND a.o < b.o GROUP BY ALL),
     m AS (SELECT user1, user2, c, a.d AS d1, b.d AS d2 FROM x JOIN s a ON a.o = user1 JOIN s b ON b.o = user2)"""
+# Every pair of users, with a common neighbour or not.
+ALL_PAIRS = """, every AS (SELECT a.o AS user1, b.o AS user2, coalesce(c, 0) AS c, a.d AS d1, b.d AS d2
+    FROM s a JOIN s b ON a.o < b.o LEFT JOIN x ON x.user1 = a.o AND x.user2 = b.o)"""
+# Customers and their nations: one star per nation.
+STARS = """WITH nb AS (SELECT 'c' || c_custkey AS o, 'n' || c_nationkey AS i FROM customer UNION SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer),
+    s AS (SELECT o, count(*) AS d FROM nb GROUP BY o),
+    x AS (SELECT a.o AS user1, b.o AS user2, count(*) AS c FROM nb a JOIN nb b ON a.i = b.i AND a.o < b.o GROUP BY ALL)"""
 
 
 def user_edges(spark, folder) -> DataFrame:
@@ -287,13 +331,36 @@ def jaccard_users(spark, folder):
     return rounded(find_similar_users(user_edges(spark, folder), top_n=50, metric="jaccard"), "similarity")
 
 
-@QUERIES.add("J20_euclidean_users", f"""{NEIGHBOURS}, r AS (SELECT user1, user2, round(sqrt(d1 + d2 - 2 * c), 12) AS v FROM m)
+@QUERIES.add("J18_zero_pairs", f"{NEIGHBOURS}{ALL_PAIRS} SELECT user1, user2, round(c / sqrt(d1 * d2), 6) AS similarity FROM every")
+def zero_pairs(spark, folder):
+    return rounded(find_similar_users(user_edges(spark, folder), giant_component=False, include_zero=True), "similarity")
+
+
+@QUERIES.add("J20_euclidean_users", f"""{NEIGHBOURS}{ALL_PAIRS}, r AS (SELECT user1, user2, round(sqrt(d1 + d2 - 2 * c), 12) AS v FROM every)
     SELECT user1, user2, round(v, 6) AS similarity FROM r ORDER BY v, user1, user2 LIMIT 50
 """)
 def euclidean_users(spark, folder):
     return rounded(find_similar_users(user_edges(spark, folder), top_n=50, metric="euclidean"), "similarity")
 
 
+@QUERIES.add("J20_farthest_users", f"""{NEIGHBOURS}{ALL_PAIRS}, r AS (SELECT user1, user2, round(sqrt(d1 + d2 - 2 * c), 12) AS v FROM every)
+    SELECT user1, user2, round(v, 6) AS similarity FROM r ORDER BY v DESC, user1, user2 LIMIT 50
+""")
+def farthest_users(spark, folder):
+    return rounded(find_similar_users(user_edges(spark, folder), top_n=50, metric="euclidean", ascending=False), "similarity")
+
+
+@QUERIES.add("J20_farthest_stars", f"""{STARS}{ALL_PAIRS}, r AS (SELECT user1, user2, round(sqrt(d1 + d2 - 2 * c), 12) AS v FROM every)
+    SELECT user1, user2, round(v, 6) AS similarity FROM r ORDER BY v DESC, user1, user2 LIMIT 500
+""")
+def farthest_stars(spark, folder):
+    stars = read_table(spark, folder, "customer").select(
+        F.concat(F.lit("c"), "c_custkey").alias("src"), F.concat(F.lit("n"), "c_nationkey").alias("dst")
+    )
+    found = find_similar_users(stars, giant_component=False, top_n=500, metric="euclidean", ascending=False)
+    return rounded(found, "similarity")
+
+
 @QUERIES.add("J21_thread_shape", f"""{THREADS},
     up AS (SELECT comment_id, post_id, CASE WHEN parent_id IN (SELECT comment_id FROM cm) THEN parent_id END AS parent FROM cm),
     lv(comment_id, post_id, level) AS (SELECT comment_id, post_id, 1 FROM up WHERE parent IS NULL
@@ -366,8 +433,6 @@ def relabelled_projection(spark, folder):
     SELECT l AS "left", r AS "right", weight, round(weight / (SELECT max(weight) FROM pr) * 3, 6) AS width FROM pr
 """)
 def scaled_weights(spark, folder):
-    from weftwork.session import materialise
-
     return rounded(K.scaled_weights(materialise(K.project(cells(spark, folder)), "projection")), "width")
 
 
@@ -382,6 +447,6 @@ def weighted_projection(spark, folder):
     return K.project(amounts, weight=F.col("w")).withColumn("weight", F.round("weight", 2))
 
 
-@QUERIES.add("J17_report")
+@QUERIES.add("J17_report", f"{TRUTH}, {Q.REPORT_SQL.format(source='pred')}")
 def community_report(spark, folder):
-    return classification_report(communities_against_truth(spark, folder))
+    return rounded(classification_report(communities_against_truth(spark, folder)), "precision", "recall", "f1")

@@ -303,7 +303,60 @@ def drop_listed(spark, folder):
     return L.drop_listed(_token_counts(documents(spark, folder), T.vectoriser_tokens("text")), listed)
 
 
-@QUERIES.add("B8_stems")
+def _shape(word: str) -> str:
+    """V or C per letter as SQL; see lexicon.py for the rules."""
+    marks = f"regexp_replace(translate({word}, 'aeiou', 'VVVVV'), '[^Vy]', 'C', 'g')"
+    marks = f"regexp_replace({marks}, '^y', 'C')"
+    for _ in range(4):
+        marks = f"replace(replace({marks}, 'Cy', 'CV'), 'Vy', 'VC')"
+    return marks
+
+
+def _has(word: str, pattern: str) -> str:
+    return f"regexp_matches({_shape(word)}, '{pattern}')"
+
+
+def _short(word: str) -> str:
+    return f"({_has(word, 'CVC$')} AND NOT regexp_matches({word}, '[wxy]$'))"
+
+
+def _by_suffix(rules, measure: str, extra: str = "true") -> str:
+    pattern = "^(.*?)(" + "|".join(a for a, _ in rules) + ")$"
+    new = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in rules)
+    stem, suffix = f"regexp_extract(w, '{pattern}', 1)", f"regexp_extract(w, '{pattern}', 2)"
+    extra = extra.format(stem=stem, suffix=suffix)
+    return f"CASE WHEN {suffix} <> '' AND {_has(stem, measure)} AND {extra} THEN {stem} || CASE {suffix} {new} END ELSE w END"
+
+
+def _stem_sql() -> str:
+    """CTEs w0 to w9(term, n, w) from words(term, n)."""
+    cut = lambda n: f"left(w, length(w) - {n})"
+    steps = [
+        f"CASE WHEN regexp_matches(term, '(sses|ies)$') THEN left(term, length(term) - 2) WHEN regexp_matches(term, '[^s]s$') THEN left(term, length(term) - 1) ELSE term END",
+        None,
+        f"CASE WHEN w LIKE '%y' AND {_has(cut(1), 'V')} THEN {cut(1)} || 'i' ELSE w END",
+        _by_suffix(L.STEP2, L.SOME), _by_suffix(L.STEP3, L.SOME),
+        _by_suffix([(x, "") for x in L.STEP4], L.MANY, "({suffix} <> 'ion' OR regexp_matches({stem}, '[st]$'))"),
+        f"CASE WHEN w LIKE '%e' AND ({_has(cut(1), L.MANY)} OR ({_has(cut(1), L.ONE)} AND NOT {_short(cut(1))})) THEN {cut(1)} ELSE w END",
+        f"CASE WHEN w LIKE '%ll' AND {_has('w', L.MANY)} THEN {cut(1)} ELSE w END",
+    ]
+    parts = [f"w0 AS (SELECT term, n, {steps[0]} AS w FROM words)"]
+    parts.append(f"""c1 AS (SELECT *, CASE WHEN w LIKE '%eed' THEN NULL WHEN w LIKE '%ed' AND {_has(cut(2), 'V')} THEN {cut(2)}
+        WHEN w LIKE '%ing' AND {_has(cut(3), 'V')} THEN {cut(3)} END AS c FROM w0)""")
+    parts.append(f"""w1 AS (SELECT term, n, CASE WHEN w LIKE '%eed' THEN CASE WHEN {_has(cut(3), L.SOME)} THEN {cut(1)} ELSE w END
+        WHEN c IS NULL THEN w WHEN regexp_matches(c, '(at|bl|iz)$') THEN c || 'e'
+        WHEN length(c) > 1 AND right(c, 1) = left(right(c, 2), 1) AND {_has('c', 'C$')} AND NOT regexp_matches(c, '[lsz]$') THEN left(c, length(c) - 1)
+        WHEN {_has('c', L.ONE)} AND {_short('c')} THEN c || 'e' ELSE c END AS w FROM c1)""")
+    for i, step in enumerate(steps[2:], 2):
+        parts.append(f"w{i} AS (SELECT term, n, {step} AS w FROM w{i - 1})")
+    return ", ".join(parts)
+
+
+@QUERIES.add("B8_stems", f"""
+    WITH tok AS (SELECT unnest({Q.vectoriser_tokens('text')}) AS term FROM documents),
+    words AS (SELECT term, count(*) AS n FROM tok GROUP BY term), {_stem_sql()}
+    SELECT term, n, CASE WHEN length(term) <= 2 THEN term ELSE w END AS stem FROM w7
+""")
 def stems(spark, folder):
     counts = _token_counts(documents(spark, folder), T.vectoriser_tokens("text"))
     return counts.join(L.stem_table(counts), "term")

@@ -14,7 +14,7 @@ from weftwork.operators import vectors as X
 from weftwork.plans import snippets as Q
 from weftwork.plans.registry import Registry
 from weftwork.plans.terms import MEANS, POOLED, content_words, matrix, matrix_sql, rounded
-from weftwork.plans.text import documents
+from weftwork.plans.text import STOP, documents
 from weftwork.session import materialise
 from weftwork.sources.tables import read_table, spread
 
@@ -77,14 +77,13 @@ def document_similarities(spark, folder):
 def document_coordinates(spark, folder):
     weighted = pooled_matrix(spark, folder, max_terms=100, min_doc_freq=2)
     terms = sorted(r["term"] for r in weighted.vocabulary.select("term").collect())
-    points = X.plane_coordinates(X.dense_rows(weighted.weights, "doc_id", terms), "doc_id", "vector")
-    return rounded(points, "x", "y")
+    rows = X.dense_rows(documents(spark, folder), weighted.weights, "doc_id", terms)
+    return rounded(X.plane_coordinates(rows, "doc_id", "vector"), "x", "y")
 
 
 @QUERIES.add("H4_term_coordinates")
 def term_coordinates(spark, folder):
-    pairs = term_pairs(spark, folder).filter(F.col("lang") == "en")
-    return rounded(X.term_coordinates(pairs), "x", "y")
+    return rounded(X.term_coordinates(term_pairs(spark, folder), ["lang"]), "x", "y")
 
 
 @QUERIES.add("H5_highlight_top", f"""{MEANS},
@@ -114,12 +113,8 @@ BAYES = f"""WITH {LABELLED}, {matrix_sql('corpus', 1000000000, 1, '', 'docs')},
               LEFT JOIN model ON model.label = base.label AND model.term = w.term WHERE is_test),
     score AS (SELECT doc_id, base.label, any_value(log_prior) + coalesce(sum(weight * lp), 0) AS s FROM split CROSS JOIN base
               LEFT JOIN pairs USING (doc_id, label) WHERE is_test GROUP BY ALL),
-    pred AS (SELECT doc_id, label AS predicted, lab.label AS truth FROM (SELECT doc_id, label FROM score
-             QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 9) DESC, label) = 1) JOIN (SELECT doc_id AS i, label FROM lab) lab ON lab.i = doc_id)"""
-BAYES = BAYES.replace(
-    "pred AS (SELECT doc_id, label AS predicted, lab.label AS truth FROM (SELECT doc_id, label FROM score",
-    "pred AS (SELECT doc_id, q.label AS predicted, lab.label AS truth FROM (SELECT doc_id, label FROM score",
-).replace("label) = 1) JOIN", "label) = 1) q JOIN")
+    pred AS (SELECT doc_id, q.label AS predicted, lab.label AS truth FROM (SELECT doc_id, label FROM score
+             QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 9) DESC, label) = 1) q JOIN (SELECT doc_id AS i, label FROM lab) lab ON lab.i = doc_id)"""
 
 
 def labelled(spark, folder) -> DataFrame:
@@ -169,22 +164,7 @@ def naive_bayes_predictions(spark, folder):
     return predictions(spark, folder)
 
 
-REPORT_SQL = """cf AS (SELECT truth, predicted, count(*) AS n FROM {source} GROUP BY ALL),
-    lb AS (SELECT truth AS label FROM cf UNION SELECT predicted FROM cf),
-    rt AS (SELECT label, coalesce((SELECT sum(n) FROM cf WHERE truth = label AND predicted = label), 0) AS hit,
-                  coalesce((SELECT sum(n) FROM cf WHERE predicted = label), 0) AS claimed,
-                  coalesce((SELECT sum(n) FROM cf WHERE truth = label), 0) AS support FROM lb),
-    rr AS (SELECT label, coalesce(hit / nullif(claimed, 0), 0) AS precision, coalesce(hit / nullif(support, 0), 0) AS recall,
-                  coalesce(2 * hit / nullif(claimed + support, 0), 0) AS f1, support, hit FROM rt),
-    al AS (SELECT label, precision, recall, f1, support FROM rr
-           UNION ALL SELECT 'accuracy', sum(hit) / sum(support), sum(hit) / sum(support), sum(hit) / sum(support), sum(support) FROM rr
-           UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM rr
-           UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-                            sum(f1 * support) / sum(support), sum(support) FROM rr)
-    SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM al"""
-
-
-@QUERIES.add("I4_classification_report", f"{BAYES}, {REPORT_SQL.format(source='pred')}")
+@QUERIES.add("I4_classification_report", f"{BAYES}, {Q.REPORT_SQL.format(source='pred')}")
 def classification_report(spark, folder):
     confusion = N.confusion_matrix(predictions(spark, folder), "truth", "predicted")
     return rounded(N.classification_report(confusion), "precision", "recall", "f1")
@@ -301,8 +281,8 @@ WORDS = [1, 22, 333, 44, 55]
 @QUERIES.add("L3_compare_models", f"""WITH {MODEL},
     mm AS (SELECT 'full' AS model, token, v FROM e UNION ALL SELECT 'half', token, v[1:32] FROM e)
     SELECT a.model, a.token AS word1, b.token AS word2, round(list_cosine_similarity(a.v, b.v), 6) AS similarity
-    FROM mm a JOIN mm b ON a.model = b.model WHERE a.token IN ({Q.quoted(WORDS)}) AND b.token IN ({Q.quoted(WORDS)})
-""".replace("'1', '22', '333', '44', '55'", "1, 22, 333, 44, 55"))
+    FROM mm a JOIN mm b ON a.model = b.model WHERE a.token IN ({', '.join(map(str, WORDS))}) AND b.token IN ({', '.join(map(str, WORDS))})
+""")
 def compare_models(spark, folder):
     full = model(spark, folder)
     half = full.select("token", F.slice("vec", 1, 32).alias("vec"))
@@ -342,7 +322,20 @@ def vector_arithmetic(spark, folder):
     return rounded(E.vector_arithmetic(model(spark, folder), 5, 6, 9), "similarity")
 
 
+@QUERIES.add("L6_cooccurrences", f"""
+    WITH t AS (SELECT doc_id, list_filter({Q.vectoriser_tokens('text')}, lambda w: w NOT IN ({STOP})) AS w FROM documents),
+    o AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS at FROM t),
+    k AS (SELECT token FROM o GROUP BY token HAVING count(*) >= 2),
+    p AS (SELECT a.token AS token, b.token AS context FROM o a JOIN o b ON a.doc_id = b.doc_id AND b.at <> a.at AND abs(b.at - a.at) <= 5)
+    SELECT token, context, count(*) AS n FROM p SEMI JOIN k USING (token)
+    WHERE context IN (SELECT token FROM k) GROUP BY ALL
+""")
+def cooccurrences(spark, folder):
+    words = documents(spark, folder).select(content_words().alias("w"))
+    return E.cooccurrences(words, "w")
+
+
 @QUERIES.add("L6_train_vectors")
 def train_vectors(spark, folder):
     words = documents(spark, folder).select(content_words().alias("w"))
-    return E.train_vectors(words, "w", size=16).select("token", F.size("vec").alias("dimension"))
+    return E.train_vectors(words, "w", size=16)

@@ -9,8 +9,7 @@ from weftwork.session import materialise
 
 
 def parse_comments(
-    threads: DataFrame, post_id: str, json: str, drop_stubs: bool = False, max_depth: int = 1000,
-    response: bool = False,
+    threads: DataFrame, post_id: str, json: str, drop_stubs: bool = False, response: bool = False,
 ) -> DataFrame:
     """(comment_id, parent_id, post_id, author, body, path) from a JSON array of children.
 
@@ -26,7 +25,7 @@ def parse_comments(
         F.array().cast("array<int>").alias("_above"), start.alias("children"),
     )
     parts = []
-    for _ in range(max_depth):
+    while True:
         # A comment's children are a variant array; exploding it yields (pos, key, value).
         child = level.sparkSession.tvf.variant_explode(F.col("children").outer())
         rows = level.lateralJoin(child).withColumn(
@@ -47,8 +46,6 @@ def parse_comments(
         level = deeper.select(
             "post_id", F.col("comment_id").alias("parent_id"), F.col("path").alias("_above"), "children"
         )
-    else:
-        raise RuntimeError(f"threads deeper than {max_depth}")
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
