@@ -61,7 +61,7 @@ if __name__ == "__main__":
     folder = f"/root/testdata/sf{sf}"
     spark = get_spark(master="local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.weftwork.inputPartitions": "8",
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

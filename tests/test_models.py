@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftwork.operators import classify as N
 from weftwork.operators import cluster as C
+from weftwork.operators import compare as K
 from weftwork.operators import embeddings as E
 from weftwork.operators import vectors as X
 
@@ -81,10 +82,10 @@ def test_kmeans_costs(spark):
     draw = random.Random(3)
     rows = [(i, [10.0 * (i % 3) + draw.random(), draw.random()]) for i in range(90)]
     df = spark.createDataFrame(rows, "id int, v array<double>")
-    found = C.fit_kmeans(df, "v", 3)
+    found = C.fit_kmeans(df, "v", 3, "id")
     total = C.inertia_from(found.assignments, "v").agg(F.sum("inertia")).first()[0]
     assert total == pytest.approx(found.cost, rel=1e-6)
-    sweep = {r["k"]: r["inertia"] for r in C.inertia_sweep({"d": df}, "v", [1, 3]).collect()}
+    sweep = {r["k"]: r["inertia"] for r in C.inertia_sweep({"d": df}, "v", [1, 3], "id").collect()}
     assert sweep[3] < sweep[1]
     truth = found.assignments.withColumn("truth", F.col("id") % 3)
     assert C.label_clusters(truth, "cluster", "truth").filter("predicted <> truth").count() == 0
@@ -108,3 +109,50 @@ def test_principal_components_are_uncorrelated(spark, model):
     rows = X.plane_coordinates(model, "token", "vec").collect()
     xy = np.array([(r["x"], r["y"]) for r in rows])
     assert abs(np.corrcoef(xy.T)[0, 1]) < 1e-6 and xy[:, 0].var() >= xy[:, 1].var()
+
+
+def test_kmeans_does_not_depend_on_partitions(spark):
+    draw = random.Random(9)
+    df = spark.createDataFrame([(i, [draw.gauss(i % 5, 1.0), draw.random()]) for i in range(300)], "id int, v array<double>")
+    one = {r["id"]: r["cluster"] for r in C.fit_kmeans(df.coalesce(1), "v", 5, "id").assignments.collect()}
+    many = {r["id"]: r["cluster"] for r in C.fit_kmeans(df.repartition(7), "v", 5, "id").assignments.collect()}
+    assert one == many
+
+
+def test_more_sets_classes_and_queries_than_a_short_list(spark):
+    sets = spark.range(1200).select(F.concat(F.lit("s"), "id").alias("owner"), (F.col("id") % 3).alias("item"))
+    report = K.jaccard_report(sets, "owner", "item")
+    assert report.count() == 1200 * 1199 // 2 and report.filter("jaccard = 1").count() == 3 * 400 * 399 // 2
+    docs = spark.range(500).select(F.col("id").alias("doc"), F.concat(F.lit("l"), F.col("id") % 250).alias("label"))
+    weights = docs.select("doc", F.concat(F.lit("t"), F.col("doc") % 250).alias("term"), F.lit(1.0).alias("weight"))
+    model = N.fit_naive_bayes(weights, docs, "doc")
+    scores = N.class_scores(model, docs, weights, "doc")
+    assert scores.count() == 500 * 250
+    assert N.predict(scores, "doc").join(docs, "doc").filter("label <> predicted").count() == 0
+    words = spark.range(1100).select(F.concat(F.lit("w"), "id").alias("token"), F.array(F.col("id") + 1.0, F.lit(1.0)).alias("vec"))
+    found = E.nearest(words, {f"q{i}": [i + 1.0, 1.0] for i in range(1100)}, 1)
+    assert found.count() == 1100
+
+
+def test_documents_without_kept_terms_have_coordinates(spark):
+    docs = spark.range(5).withColumnRenamed("id", "doc")
+    weights = spark.createDataFrame([(0, "a", 1.0), (1, "b", 0.5), (2, "a", 0.2)], "doc long, term string, weight double")
+    rows = {r["doc"]: r["vector"] for r in X.dense_rows(docs, weights, "doc", ["a", "b"]).collect()}
+    assert len(rows) == 5 and rows[4] == [0.0, 0.0] and rows[1] == [0.0, 0.5]
+    assert X.plane_coordinates(X.dense_rows(docs, weights, "doc", ["a", "b"]), "doc", "vector").count() == 5
+
+
+def test_vectors_do_not_depend_on_partitions(spark):
+    rows = [(i, [f"w{(i * j) % 12}" for j in range(8)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, w array<string>")
+    one = {r["token"]: r["vec"] for r in E.train_vectors(df.coalesce(1), "w", size=4).collect()}
+    many = {r["token"]: r["vec"] for r in E.train_vectors(df.repartition(5), "w", size=4).collect()}
+    assert set(one) == set(many) and all(one[t] == pytest.approx(many[t], abs=1e-3) for t in one)
+    n = {(r["token"], r["context"]): r["n"] for r in E.cooccurrences(df, "w", window=2).collect()}
+    want = {}
+    for _, words in rows:
+        for i, a in enumerate(words):
+            for b in words[i + 1:i + 3]:
+                for pair in ((a, b), (b, a)):
+                    want[pair] = want.get(pair, 0) + 1
+    assert n == want

@@ -204,10 +204,14 @@ def test_similar_users(spark, metric, few, monkeypatch):
     edges |= {("hub", f"v{i:02}") for i in range(14)} | {("hub", "u01")}
     table = edge_table(spark, sorted(edges))
     want = brute_users(edges, metric)
+    # A list of distances also holds pairs without a common neighbour.
+    listed = want
+    if metric == "euclidean":
+        listed = sorted(all_pairs_by_brute_force(edges, metric), key=lambda r: (round(r[2], 12), r[0], r[1]))
     for n in (5, 120):
         got = [tuple(r) for r in U.find_similar_users(table, giant_component=False, top_n=n, metric=metric).collect()]
-        assert [g[:2] for g in got] == [w[:2] for w in want[:n]]
-        assert [g[2] for g in got] == pytest.approx([w[2] for w in want[:n]])
+        assert [g[:2] for g in got] == [w[:2] for w in listed[:n]]
+        assert [g[2] for g in got] == pytest.approx([w[2] for w in listed[:n]])
     everything = U.find_similar_users(table, giant_component=False, metric=metric).collect()
     assert {(r["user1"], r["user2"]) for r in everything} == {w[:2] for w in want}
     if metric != "euclidean":
@@ -233,3 +237,67 @@ def test_choices(spark):
     assert widths == {1: 1.5, 2: 3.0}
     row = K.incidence_matrix(cells, ["econ", "nets"]).filter("row_item = 'bob'").first()
     assert (row["econ"], row["nets"]) == (1, 0)
+
+
+# ---------------------------------------------------------------- communities with known optima
+
+def test_communities_of_a_path(spark):
+    edges = spark.range(400).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    found = materialise(M.communities(spark.range(401), edges, 0.8))
+    assert M.modularity(edges, found, 0.8).first()[0] > 0.90
+
+
+def test_communities_of_two_cliques(spark):
+    rows = [(a + x, a + y) for a in (0, 10) for x in range(6) for y in range(x)] + [(0, 10)]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    vertices = spark.createDataFrame([(i,) for a in (0, 10) for i in range(a, a + 6)] + [(99,)], "id long")
+    found = {r["id"]: r["community"] for r in M.communities(vertices, edges).collect()}
+    assert len({found[i] for i in range(6)}) == len({found[i] for i in range(10, 16)}) == 1
+    assert len(set(found.values())) == 3
+
+
+def test_quality_rises_every_round(spark):
+    rows = [(i, (i * i + 7 * i) % 60) for i in range(60)] + [(0, i) for i in range(1, 40)]
+    edges, strengths, total = M.start_tables(spark.createDataFrame(rows, "src long, dst long"))
+    merges = {r["id"]: r["to"] for r in M.merge_round(edges, strengths, total).collect()}
+    assert merges and not set(merges) & set(merges.values())
+    ids = {x for r in rows for x in r}
+    quality = []
+    for names in ({}, merges):
+        member = spark.createDataFrame([(i, names.get(i, i)) for i in ids], "id long, community long")
+        quality.append(M.modularity(spark.createDataFrame(rows, "src long, dst long"), member).first()[0])
+    assert quality[1] > quality[0]
+
+
+# ---------------------------------------------------------------- lists over all pairs
+
+def all_pairs_by_brute_force(links, metric):
+    sets = {}
+    for a, b in links:
+        sets.setdefault(a, set()).add(b)
+        sets.setdefault(b, set()).add(a)
+    out = []
+    for u in sorted(sets):
+        for v in sorted(sets):
+            if u < v:
+                c, d = len(sets[u] & sets[v]), len(sets[u]) + len(sets[v])
+                out.append((u, v, {"euclidean": (d - 2 * c) ** 0.5, "cosine": c / (len(sets[u]) * len(sets[v])) ** 0.5, "jaccard": c / (d - c)}[metric]))
+    return out
+
+
+@pytest.mark.parametrize("metric,ascending", [("euclidean", None), ("euclidean", False), ("cosine", None), ("cosine", True), ("jaccard", None)])
+def test_lists_hold_pairs_without_a_common_neighbour(spark, metric, ascending):
+    draw = random.Random(5)
+    shapes = {
+        "path": [("a", "b"), ("b", "c"), ("c", "d")],
+        "parts": [(f"x{i}", f"y{i % 4}") for i in range(20)] + [(f"p{i}", f"q{i}") for i in range(10)],
+        "random": sorted({(f"u{draw.randrange(25)}", f"v{draw.randrange(12)}") for _ in range(60)}),
+    }
+    up = metric == "euclidean" if ascending is None else ascending
+    for links in shapes.values():
+        edges = spark.createDataFrame(links, "src string, dst string")
+        for n in (3, 40):
+            got = U.find_similar_users(edges, False, n, metric, ascending=ascending, include_zero=True).collect()
+            want = sorted(all_pairs_by_brute_force(links, metric), key=lambda r: (r[2] if up else -r[2], r[0], r[1]))[:n]
+            assert [r["similarity"] for r in got] == pytest.approx([w[2] for w in want], abs=1e-9)
+            assert [(r["user1"], r["user2"]) for r in got] == [w[:2] for w in want]

@@ -9,9 +9,12 @@ from weftwork.operators import timeseries as D
 from weftwork.operators import vocabulary as V
 from weftwork.operators.ranking import position, running_total
 
-# Four sentences with known weights.
+# Golden input whose weights are known.
 SENTENCES = [
-    "the cat sat on the mat", "the dog chased the cat", "the mat was on the floor", "a dog and a cat are friends",
+    "the cat sat on the mat",
+    "the dog chased the cat",
+    "the mat was on the floor",
+    "a dog and a cat played together",
 ]
 
 

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from weftwork.operators.embeddings import dot
 from weftwork.operators.ranking import top_rows
 
 
+#: Rows per cluster from which the starts are chosen.
+SAMPLE = 20
+
+
 @dataclass
 class Clustering:
     assignments: DataFrame  # the input rows with cluster
@@ -20,22 +26,55 @@ class Clustering:
     cost: float
 
 
-def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int = 42, max_iter: int = 20) -> Clustering:
+def _assign(centres: np.ndarray, vector: str, schema: StructType):
+    """Adds cluster, the nearest centre (the smaller number in a tie), and its squared distance."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = np.stack(batch[vector].to_numpy()).astype(np.float64)
+            apart = (x * x).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2 * (x @ centres.T)
+            apart = np.round(np.maximum(apart, 0.0), 9)
+            nearest = apart.argmin(axis=1)
+            batch["cluster"] = nearest.astype(np.int32)
+            batch["_apart"] = apart[np.arange(len(x)), nearest]
+            yield batch[schema.names]
+
+    return run
+
+
+def _starts(sample: np.ndarray, k: int) -> np.ndarray:
+    """k rows of the sample: its first, then each time the one farthest from those chosen, the earlier in a tie."""
+    chosen = sample[:1]
+    while len(chosen) < min(k, len(sample)):
+        apart = ((sample[:, None, :] - chosen[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+        chosen = np.vstack([chosen, sample[np.round(apart, 9).argmax()]])
+    return chosen
+
+
+def fit_kmeans(df: DataFrame, vector: str, k: int, key: str, max_iter: int = 20) -> Clustering:
+    """k-means from fixed starts: rows far from each other among the SAMPLE * k whose key has the smallest MD5.
+
+    Assignment and means alternate until the centres stand still, max_iter times at most. Only the
+    centres reach the driver. A centre that loses all rows stays where it was. The result does not
+    depend on the partitions of df.
+    """
     spark = df.sparkSession
-    if k == 1:
-        # MLlib starts at two clusters; a single one is the mean.
-        whole = df.withColumn("cluster", F.lit(0))
-        mean = centres_from(whole, vector).orderBy("i").collect()
-        centre = spark.createDataFrame([(0, [r["value"] for r in mean])], "cluster int, centre array<double>")
-        return Clustering(whole, centre, float(inertia_from(whole, vector).first()["inertia"]))
-    rows = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol="cluster").fit(rows)
-    # k centres: the model, not the data.
-    centres = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, centre array<double>",
-    )
-    return Clustering(model.transform(rows).drop("_v"), centres, float(model.summary.trainingCost))
+    start = df.orderBy(F.md5(F.col(key).cast("string").cast("binary")), key).select(vector).limit(SAMPLE * k).collect()
+    centres = _starts(np.array([r[0] for r in start], np.float64), k)
+    schema = StructType([*df.schema.fields, StructField("cluster", IntegerType()), StructField("_apart", DoubleType())])
+    for _ in range(max_iter):
+        means = centres_from(df.mapInPandas(_assign(centres, vector, schema), schema), vector).toPandas()
+        moved = centres.copy()
+        moved[means["cluster"], means["i"]] = means["value"]
+        settled = np.allclose(moved, centres, rtol=0, atol=1e-12)
+        centres = moved
+        if settled:
+            break
+    assigned = df.mapInPandas(_assign(centres, vector, schema), schema)
+    cost = float(assigned.agg(F.coalesce(F.sum("_apart"), F.lit(0.0))).first()[0])
+    table = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "cluster int, centre array<double>")
+    return Clustering(assigned.drop("_apart"), table, cost)
 
 
 def squared_distance(a, b):
@@ -63,11 +102,11 @@ def inertia_from(assignments: DataFrame, vector: str) -> DataFrame:
     return per.groupBy("cluster").agg(F.max("n").alias("n"), F.sum("_ss").alias("inertia"))
 
 
-def inertia_sweep(data: dict[str, DataFrame], vector: str, ks: list[int], seed: int = 42) -> DataFrame:
+def inertia_sweep(data: dict[str, DataFrame], vector: str, ks: list[int], key: str) -> DataFrame:
     """(data, k, inertia) for several tables and numbers of clusters."""
     spark = next(iter(data.values())).sparkSession
     rows = [
-        (name, k, fit_kmeans(df, vector, k, seed).cost)
+        (name, k, fit_kmeans(df, vector, k, key).cost)
         for name, df in data.items() for k in ks
     ]
     return spark.createDataFrame(rows, "data string, k int, inertia double")

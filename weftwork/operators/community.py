@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.operators.ranking import position
-from weftwork.session import discard, materialise
+from weftwork.operators.ranking import position, running_total
+from weftwork.session import materialise
 
 
 def _with_weight(edges: DataFrame) -> DataFrame:
@@ -21,6 +21,7 @@ def _strengths(edges: DataFrame) -> DataFrame:
 
 def _quality(edges: DataFrame, member: DataFrame, resolution: float) -> DataFrame:
     """One row q = sum over communities of inside / m - resolution * (strength / 2m)^2."""
+    member = materialise(member.select("id", "community"), "members")
     ca = member.select(F.col("id").alias("a"), F.col("community").alias("_ca"))
     cb = member.select(F.col("id").alias("b"), F.col("community").alias("_cb"))
     inside = edges.join(ca, "a").join(cb, "b").agg(
@@ -43,24 +44,44 @@ def modularity(edges: DataFrame, member: DataFrame, resolution: float = 1.0) ->
 
 
 def merge_round(edges: DataFrame, strengths: DataFrame, total: float, resolution: float = 1.0) -> DataFrame:
-    """(id, to): pairs of communities that are each other's best partner, the larger id joins the smaller.
+    """(id, to): communities that join a centre this round.
 
     edges(a, b, w) and strengths(id, k) are written tables over communities, total is the weight of all
     edges. The gain of a merge, times total, is w - resolution * k_a * k_b / (2 total), to 9 decimals;
-    equal gains are told apart by the MD5 of "a|b", so that long chains pair up everywhere at once. As
-    no community is in two pairs, the gains of a round add up exactly. Only positive gains count.
+    equal gains are told apart by the MD5 of "a|b", so that long chains pair up everywhere at once.
+    Of two communities that are each other's best partner the stronger is a centre. All whose best
+    partner it is may join it, best first, each if its gain stays positive with all before it in the
+    centre. Links among those that join can only add to that, so the quality rises every round. The
+    order of a centre's suitors is a running sum that is not confined to one task.
     """
-    left = strengths.select(F.col("id").alias("a"), F.col("k").alias("_ka"))
-    right = strengths.select(F.col("id").alias("b"), F.col("k").alias("_kb"))
-    gain = F.round(F.col("w") - resolution * F.col("_ka") * F.col("_kb") / (2 * total), 9)
+    left = strengths.select(F.col("id").alias("a"), F.col("k").alias("ka"))
+    right = strengths.select(F.col("id").alias("b"), F.col("k").alias("kb"))
+    gain = F.round(F.col("w") - resolution * F.col("ka") * F.col("kb") / (2 * total), 9)
+    tie = F.md5(F.concat_ws("|", F.col("a").cast("string"), F.col("b").cast("string")).cast("binary"))
     offers = edges.filter(F.col("a") != F.col("b")).join(left, "a").join(right, "b").select(
-        gain.alias("gain"), F.md5(F.concat_ws("|", F.col("a").cast("string"), F.col("b").cast("string")).cast("binary")).alias("tie"), "a", "b"
+        gain.alias("gain"), tie.alias("tie"), "a", "b", "w", "ka", "kb"
     ).filter(F.col("gain") > 0)
-    offer = F.struct("gain", "tie", "a", "b")
-    best = offers.select(F.explode(F.array("a", "b")).alias("id"), offer.alias("o")).groupBy("id").agg(F.max("o").alias("o"))
-    return best.groupBy("o.a", "o.b").agg(F.count("*").alias("_n")).filter(F.col("_n") == 2).select(
-        F.col("b").alias("id"), F.col("a").alias("to")
+    offer = F.struct("gain", "tie", "a", "b", "w", "ka", "kb")
+    best = materialise(
+        offers.select(F.explode(F.array("a", "b")).alias("id"), offer.alias("o")).groupBy("id").agg(F.max("o").alias("o")).select("id", "o.*"),
+        "best",
     )
+    first = F.col("ka") >= F.col("kb")
+    centres = materialise(
+        best.groupBy("a", "b", "ka", "kb").agg(F.count("*").alias("_n")).filter(F.col("_n") == 2).select(
+            F.when(first, F.col("a")).otherwise(F.col("b")).alias("to"), F.greatest("ka", "kb").alias("kc")
+        ),
+        "centres",
+    )
+    mine = F.col("id") == F.col("a")
+    suitors = best.select(
+        "id", F.when(mine, F.col("b")).otherwise(F.col("a")).alias("to"), "gain", "tie", "w",
+        F.when(mine, F.col("ka")).otherwise(F.col("kb")).alias("k"),
+    ).join(centres, "to")
+    order = [F.col("gain").desc(), F.col("tie").desc(), F.col("id").asc()]
+    lined = running_total(suitors, ["to"], order, F.col("k"), "_upto")
+    after = F.round(F.col("w") - resolution * F.col("k") * (F.col("kc") + (F.col("_upto") - F.col("k"))) / (2 * total), 9)
+    return lined.filter(after > 0).select("id", "to")
 
 
 def start_tables(edges: DataFrame) -> tuple[DataFrame, DataFrame, float]:
@@ -72,8 +93,7 @@ def start_tables(edges: DataFrame) -> tuple[DataFrame, DataFrame, float]:
 def communities(vertices: DataFrame, edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """(id, community): communities of high modularity, numbered by size from 0.
 
-    Communities merge in pairs that are each other's best partner until no merge raises the quality,
-    so it rises in every round. Names are resolved from the last round back to the first.
+    Communities merge (see merge_round) until no merge raises the quality. Names are resolved from the last round back to the first.
     """
     level, strengths, total = start_tables(edges)
     rounds: list[DataFrame] = []
@@ -93,7 +113,6 @@ def communities(vertices: DataFrame, edges: DataFrame, resolution: float = 1.0)
         fewer = materialise(
             strengths.join(merges, "id", "left").groupBy(F.coalesce("to", "id").alias("id")).agg(F.sum("k").alias("k")), "strengths"
         )
-        discard(level, strengths)
         level, strengths = shorter, fewer
     names = vertices.select("id", F.col("id").alias("to")).limit(0)
     while rounds:

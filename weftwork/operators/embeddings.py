@@ -155,15 +155,18 @@ def cooccurrences(df: DataFrame, tokens: str, window: int = 5, min_count: int =
     """(token, context, n): how often two tokens stand at most window places apart, in both orders.
 
     Tokens that occur fewer than min_count times are left out of the result, not of the distances.
-    Equal pairs of a row are counted in the row before anything is shuffled.
+    Pairs are counted in every map task before they are shuffled.
     """
     counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("_n"))
     kept = materialise(counts.filter(F.col("_n") >= min_count).select("token"), "tokens")
-    placed = F.posexplode(tokens).alias("at", "token")
-    near = df.select(tokens, placed).select(
-        "token", F.explode(F.slice(tokens, F.col("at") + 2, window)).alias("context")
-    )
-    once = near.groupBy(F.least("token", "context").alias("a"), F.greatest("token", "context").alias("b")).agg(F.count("*").alias("n"))
+    beside = F.flatten(F.transform(
+        tokens,
+        lambda x, i: F.transform(
+            F.slice(tokens, i + 2, window), lambda y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+        ),
+    ))
+    near = df.select(F.inline(beside))
+    once = near.groupBy("a", "b").agg(F.count("*").alias("n"))
     once = once.join(kept.withColumnRenamed("token", "a"), "a", "left_semi").join(kept.withColumnRenamed("token", "b"), "b", "left_semi")
     both = F.array(F.struct(F.col("a").alias("token"), F.col("b").alias("context"), "n"), F.struct(F.col("b").alias("token"), F.col("a").alias("context"), "n"))
     return once.select(F.inline(both)).groupBy("token", "context").agg(F.sum("n").alias("n"))

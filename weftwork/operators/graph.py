@@ -265,6 +265,7 @@ def group_sizes(vertices: DataFrame, attribute: str) -> DataFrame:
 
 def edges_inside_groups(vertices: DataFrame, edges: DataFrame, attribute: str) -> DataFrame:
     """Edges whose ends have the same attribute value, with that value."""
+    vertices = materialise(vertices.select("id", attribute), "vertices")
     here = vertices.select(F.col("id").alias("src"), F.col(attribute))
     there = vertices.select(F.col("id").alias("dst"), F.col(attribute).alias("_other"))
     return edges.join(here, "src").join(there, "dst").filter(

@@ -26,7 +26,7 @@ def plain_idf(counts: DataFrame, n_docs: DataFrame, corpus: list[str]) -> DataFr
 
 def tfidf_plain(df: DataFrame, corpus: list[str], doc: str, tokens: Column) -> DataFrame:
     """Relative frequency times plain_idf, not normalised."""
-    counts = V.term_counts(df, [*corpus, doc], tokens)
+    counts = materialise(V.term_counts(df, [*corpus, doc], tokens), "counts")
     idf = materialise(plain_idf(counts, V.document_counts(df, corpus), corpus), "idf")
     return relative_frequencies(counts).join(idf, [*corpus, "term"]).select(
         *corpus, doc, "term", (F.col("tf_ratio") * F.col("idf")).alias("weight")
@@ -46,7 +46,7 @@ def _fit(
     df: DataFrame, corpus: list[str], doc: str, tokens: Column, max_terms: int | None,
     min_doc_freq: int,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    counts = V.term_counts(df, [*corpus, doc], tokens)
+    counts = materialise(V.term_counts(df, [*corpus, doc], tokens), "counts")
     terms = V.pruned_vocabulary(counts, corpus, min_doc_freq, max_terms)
     n_docs = materialise(V.document_counts(df, corpus), "documents")
     # Written with all that idf needs: the weights then join one table of known size.
@@ -79,7 +79,7 @@ def tfidf_matrix(
 
 def tfidf_transform(fitted: Weighted, df: DataFrame, corpus: list[str], doc: str, tokens: Column) -> DataFrame:
     """(corpus, doc, term, weight) of other documents, by the vocabulary and idf of a fitted matrix."""
-    counts = V.term_counts(df, [*corpus, doc], tokens)
+    counts = materialise(V.term_counts(df, [*corpus, doc], tokens), "counts")
     return _weigh(counts, fitted.vocabulary, corpus, doc)
 
 

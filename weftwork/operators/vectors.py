@@ -28,11 +28,11 @@ def _partial_products(n: int):
         def sums() -> Iterator[pd.DataFrame]:
             for corpus, total in totals.items():
                 i, j = np.nonzero(np.triu(total))
-                yield pd.DataFrame({"corpus": corpus, "i": i, "j": j, "dot": total[i, j]})
+                yield pd.DataFrame({"_group": corpus, "i": i, "j": j, "dot": total[i, j]})
             totals.clear()
 
         for batch in batches:
-            for corpus, rows in batch.groupby("corpus", dropna=False):
+            for corpus, rows in batch.groupby("_group"):
                 sizes = rows["at"].map(len).to_numpy()
                 row = np.repeat(np.arange(len(rows)), sizes)
                 block = np.zeros((len(rows), n))
@@ -60,25 +60,25 @@ def term_similarities(
     )
     name = F.struct(*corpus) if corpus else F.struct(F.lit(0).alias("all"))
     numbered = materialise(
-        chosen.select(*corpus, "term", (F.col("_place") - 1).alias("at"), F.to_json(name).alias("corpus")), "numbered"
+        chosen.select(*corpus, "term", (F.col("_place") - 1).alias("at"), F.to_json(name).alias("_group")), "numbered"
     )
-    lists = weights.join(numbered, [*corpus, "term"]).groupBy("corpus", doc).agg(
+    lists = weights.join(numbered, [*corpus, "term"]).groupBy("_group", doc).agg(
         F.collect_list(F.struct("at", "weight")).alias("_v")
     )
-    parts = lists.select("corpus", F.col("_v.at").alias("at"), F.col("_v.weight").alias("w")).mapInPandas(
-        _partial_products(n_terms), "corpus string, i int, j int, dot double"
+    parts = lists.select("_group", F.col("_v.at").alias("at"), F.col("_v.weight").alias("w")).mapInPandas(
+        _partial_products(n_terms), "_group string, i int, j int, dot double"
     )
-    dots = materialise(parts.groupBy("corpus", "i", "j").agg(F.sum("dot").alias("dot")), "dots")
+    dots = materialise(parts.groupBy("_group", "i", "j").agg(F.sum("dot").alias("dot")), "dots")
     square = dots.filter(F.col("i") == F.col("j"))
-    left = numbered.select("corpus", *corpus, F.col("term").alias("left"), F.col("at").alias("_l"))
-    right = numbered.select("corpus", F.col("term").alias("right"), F.col("at").alias("_r"))
-    pairs = left.join(right, "corpus").filter(F.col("left") < F.col("right")).withColumns(
+    left = numbered.select("_group", *corpus, F.col("term").alias("left"), F.col("at").alias("_l"))
+    right = numbered.select("_group", F.col("term").alias("right"), F.col("at").alias("_r"))
+    pairs = left.join(right, "_group").filter(F.col("left") < F.col("right")).withColumns(
         {"i": F.least("_l", "_r"), "j": F.greatest("_l", "_r")}
     )
     pairs = (
-        pairs.join(dots, ["corpus", "i", "j"], "left")
-        .join(square.select("corpus", "i", F.col("dot").alias("_a")), ["corpus", "i"], "left")
-        .join(square.select("corpus", "j", F.col("dot").alias("_b")), ["corpus", "j"], "left")
+        pairs.join(dots, ["_group", "i", "j"], "left")
+        .join(square.select("_group", "i", F.col("dot").alias("_a")), ["_group", "i"], "left")
+        .join(square.select("_group", "j", F.col("dot").alias("_b")), ["_group", "j"], "left")
     )
     cosine = F.coalesce(F.try_divide(F.col("dot"), F.sqrt(F.col("_a") * F.col("_b"))), F.lit(0.0))
     return pairs.select(*corpus, "left", "right", cosine.alias("cosine")).withColumn(

@@ -241,11 +241,13 @@ def merge_sql(rounds: int) -> str:
         k0 AS MATERIALIZED (SELECT id, sum(w) AS k FROM (SELECT a AS id, w FROM e0 UNION ALL SELECT b, w FROM e0) GROUP BY id),
         total AS (SELECT sum(w) AS t FROM e0), m0 AS (SELECT id, id AS community FROM vx)"""]
     for r in range(rounds):
-        parts.append(f"""o{r} AS MATERIALIZED (SELECT a, b, round(w - {RESOLUTION} * x.k * y.k / (2 * t), 9) AS gain, md5(a || '|' || b) AS tie
+        parts.append(f"""o{r} AS MATERIALIZED (SELECT round(w - {RESOLUTION} * x.k * y.k / (2 * t), 9) AS gain, md5(a || '|' || b) AS tie, a, b, w, x.k AS ka, y.k AS kb
             FROM e{r} JOIN k{r} x ON x.id = a JOIN k{r} y ON y.id = b, total WHERE a <> b AND gain > 0),
-        x{r} AS (SELECT id, a, b FROM (SELECT a AS id, * FROM o{r} UNION ALL SELECT b AS id, * FROM o{r})
+        x{r} AS MATERIALIZED (SELECT * FROM (SELECT a AS id, b AS dst, ka AS k, * FROM o{r} UNION ALL SELECT b AS id, a AS dst, kb AS k, * FROM o{r})
             QUALIFY row_number() OVER (PARTITION BY id ORDER BY gain DESC, tie DESC, a DESC, b DESC) = 1),
-        g{r} AS MATERIALIZED (SELECT b AS id, a AS dst FROM x{r} GROUP BY a, b HAVING count(*) = 2),
+        c{r} AS (SELECT CASE WHEN ka >= kb THEN a ELSE b END AS dst, greatest(ka, kb) AS kc FROM x{r} GROUP BY a, b, ka, kb HAVING count(*) = 2),
+        g{r} AS MATERIALIZED (SELECT id, dst FROM (SELECT id, dst, w, k, kc, sum(k) OVER (PARTITION BY dst ORDER BY gain DESC, tie DESC, id ROWS UNBOUNDED PRECEDING) - k AS before
+            FROM x{r} JOIN c{r} USING (dst)), total WHERE round(w - {RESOLUTION} * k * (kc + before) / (2 * t), 9) > 0),
         e{r + 1} AS MATERIALIZED (SELECT least(coalesce(x.dst, a), coalesce(y.dst, b)) AS a, greatest(coalesce(x.dst, a), coalesce(y.dst, b)) AS b, sum(w) AS w
             FROM e{r} LEFT JOIN g{r} x ON x.id = a LEFT JOIN g{r} y ON y.id = b GROUP BY 1, 2),
         k{r + 1} AS MATERIALIZED (SELECT coalesce(dst, k.id) AS id, sum(k) AS k FROM k{r} k LEFT JOIN g{r} g ON g.id = k.id GROUP BY 1),
@@ -253,7 +255,7 @@ def merge_sql(rounds: int) -> str:
     return "WITH " + ", ".join(parts)
 
 
-ROUNDS = 30
+ROUNDS = 12
 COMMUNITIES = f"""{merge_sql(ROUNDS)}, sizes AS (SELECT community, row_number() OVER (ORDER BY count(*) DESC, min(id)) - 1 AS number FROM m{ROUNDS} GROUP BY community),
     co AS (SELECT id, number AS community FROM m{ROUNDS} JOIN sizes USING (community))"""
 

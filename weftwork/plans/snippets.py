@@ -40,7 +40,7 @@ def counts(keys: str, source: str = "documents", text: str = "text", stop: str =
         f"tok0 AS (SELECT {keys}, unnest({vectoriser_tokens(text)}) AS term FROM {source}), "
         f"tok AS (SELECT * FROM tok0{where}), "
         f"c0 AS (SELECT {keys}, term, count(*) AS tf FROM tok GROUP BY ALL), "
-        f"c AS (SELECT *, sum(tf) OVER (PARTITION BY {keys}) AS n_tokens FROM c0)"
+        f"c AS MATERIALIZED (SELECT *, sum(tf) OVER (PARTITION BY {keys}) AS n_tokens FROM c0)"
     )
 
 

@@ -189,9 +189,44 @@ def vectors(spark, folder) -> DataFrame:
     return spread(read_table(spark, folder, "embeddings"))
 
 
-@QUERIES.add("I7_kmeans")
+ITERATIONS = 20
+
+
+def lloyd_sql(k: int, name: str) -> str:
+    """CTEs of k-means from fixed starts: {name}a(vec_id, label, cluster, apart) and {name}c(cluster, centre)."""
+    parts = [f"""{name}s AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) AS place, embedding::DOUBLE[] AS e
+        FROM embeddings QUALIFY place <= {C.SAMPLE * k}), {name}f1 AS MATERIALIZED (SELECT 0 AS cluster, e AS centre FROM {name}s WHERE place = 1)"""]
+    for i in range(1, k):
+        parts.append(f"""{name}f{i + 1} AS MATERIALIZED (SELECT * FROM {name}f{i} UNION ALL SELECT {i}, arg_min(e, (-apart, place)) FROM (
+            SELECT place, any_value(e) AS e, round(min(pow(list_distance(e, centre), 2)), 9) AS apart FROM {name}s, {name}f{i} GROUP BY place))""")
+    parts.append(f"{name}c0 AS (SELECT CAST(cluster AS INTEGER) AS cluster, centre FROM {name}f{k})")
+    assign = """(SELECT vec_id, label, e, cluster, greatest(round(list_inner_product(e, e) + list_inner_product(centre, centre) - 2 * list_inner_product(e, centre), 9), 0) AS apart
+        FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), {c} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY apart, cluster) = 1)"""
+    for r in range(ITERATIONS):
+        parts.append(f"""{name}a{r} AS MATERIALIZED {assign.format(c=f'{name}c{r}')},
+        {name}m{r} AS (SELECT cluster, i, avg(x) AS v FROM (SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM {name}a{r}) GROUP BY cluster, i),
+        {name}c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(n.centre, c.centre) AS centre FROM {name}c{r} c
+            LEFT JOIN (SELECT cluster, list(v ORDER BY i) AS centre FROM {name}m{r} GROUP BY cluster) n USING (cluster))""")
+    return ", ".join(parts) + f", {name}c AS (SELECT * FROM {name}c{ITERATIONS}), {name}a AS MATERIALIZED {assign.format(c=f'{name}c')}"
+
+
+@QUERIES.add("I7_kmeans", f"WITH {lloyd_sql(10, 'x')} SELECT vec_id, label, cluster FROM xa")
 def kmeans(spark, folder):
-    return C.fit_kmeans(vectors(spark, folder), "embedding", 10).assignments.select("vec_id", "label", "cluster")
+    return fitted(spark, folder).assignments.select("vec_id", "label", "cluster")
+
+
+def fitted(spark, folder) -> C.Clustering:
+    return C.fit_kmeans(vectors(spark, folder), "embedding", 10, "vec_id", ITERATIONS)
+
+
+@QUERIES.add("I8_fitted_centres", f"""WITH {lloyd_sql(10, 'x')}, s AS (SELECT cluster, unnest(centre) AS value, generate_subscripts(centre, 1) - 1 AS i FROM xc)
+    SELECT cluster, CAST(i AS INTEGER) AS i, round(value, 6) AS value, (SELECT round(sum(apart), 4) FROM xa) AS inertia FROM s
+""")
+def fitted_centres(spark, folder):
+    found = fitted(spark, folder)
+    return rounded(found.centres.select("cluster", F.posexplode("centre").alias("i", "value")), "value").withColumn(
+        "inertia", F.round(F.lit(found.cost), 4)
+    )
 
 
 CELLS_SQL = """cl AS (SELECT vec_id, label AS cluster, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
@@ -213,10 +248,16 @@ def inertia(spark, folder):
     return C.inertia_from(rows, "embedding").withColumn("inertia", F.round("inertia", 5))
 
 
-@QUERIES.add("I9_inertia_sweep")
+SWEEP = (2, 5, 10)
+
+
+@QUERIES.add("I9_inertia_sweep", f"""WITH {', '.join(lloyd_sql(k, f'k{k}_') for k in SWEEP)}
+    {' UNION ALL '.join(f"SELECT 'embeddings' AS data, {k} AS k, round(sum(apart), 4) AS inertia FROM k{k}_a" for k in SWEEP)}
+""")
 def inertia_sweep(spark, folder):
-    rows = materialise(vectors(spark, folder).select("embedding"), "vectors")
-    return C.inertia_sweep({"embeddings": rows}, "embedding", [2, 5, 10])
+    rows = materialise(vectors(spark, folder).select("vec_id", "embedding"), "vectors")
+    sweep = C.inertia_sweep({"embeddings": rows}, "embedding", list(SWEEP), "vec_id")
+    return sweep.withColumn("inertia", F.round("inertia", 4))
 
 
 @QUERIES.add("I10_majority_labels", """

@@ -9,13 +9,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Session setting for tables that are stored in fewer splits than the session has cores.
+INPUT_PARTITIONS = "spark.weftwork.inputPartitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share when a scan has fewer partitions than the session has cores.
+    """Deal rows out to as many partitions as the session setting says; without it df stays as read.
 
-    A large input has many splits per core, so this never shuffles one.
+    Meant for small files on one machine; a cluster leaves the setting out and reads splits as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def save_results(results: dict[str, DataFrame], folder: str, corpus: str = "corpus") -> None:
