@@ -49,15 +49,16 @@ def directory(sizes: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
             F.explode(F.sequence(F.lit(shallow), F.lit(bits))).alias("depth"), "prefix", "bytes"
         ).select("depth", F.expr(f"shiftright(prefix, {bits} - depth)").alias("bucket"), "bytes")
         buckets = materialise(buckets.groupBy("depth", "bucket").agg(F.sum("bytes").alias("bytes")), "buckets")
-        # Sizes fall with depth: the shard of a prefix is its first bucket that fits.
+        # Sizes fall with depth: the shard of a prefix is its first bucket that fits. These tables grow
+        # with the number of shards and take far more memory than their files, so they are merged.
         fits = buckets.filter((F.col("bytes") <= limit) | (F.col("depth") == TOP))
         of_prefix = fine.select("prefix", F.explode(F.sequence(F.lit(shallow), F.lit(bits))).alias("depth")).select(
             "prefix", "depth", F.expr(f"shiftright(prefix, {bits} - depth)").alias("bucket")
-        ).join(fits, ["depth", "bucket"])
+        ).join(fits.hint("merge"), ["depth", "bucket"])
         shards = of_prefix.groupBy("prefix").agg(F.min(F.struct("depth", "bytes")).alias("_s")).select(
             "prefix", F.col("_s.depth").alias("depth"), F.col("_s.bytes").alias("bytes")
         )
-        table = materialise(fine.select("prefix").join(shards, "prefix", "left"), "directory")
+        table = materialise(fine.select("prefix").join(shards.hint("merge"), "prefix", "left"), "directory")
         levels.append((bits, table))
         over = table.filter(F.col("depth").isNull())
         if bits == TOP or over.isEmpty():
