@@ -226,6 +226,32 @@ def test_co_purchases(spark):
     assert {tuple(r) for r in K.project(cells, onto="col_item").collect()} == {("a", "b", 2)}
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_bounded_projections(spark, monkeypatch, weighted):
+    draw = random.Random(5)
+    held = {(f"h{h}", f"i{int(60 * draw.random() ** 2)}"): draw.randint(-2, 6) for h in range(40) for _ in range(12)}
+    held |= {("hub", f"i{i}"): 1 for i in range(60)}
+    table = spark.createDataFrame([(*k, w) for k, w in held.items()], "row_item string, col_item string, w long")
+    want = {}
+    for a, b in itertools.combinations(sorted({h for h, _ in held}), 2):
+        both = [(held[a, i], held[b, i]) for i in {i for _, i in held} if (a, i) in held and (b, i) in held]
+        if both:
+            want[a, b] = sum(x * y for x, y in both) if weighted else len(both)
+    ranked = sorted(((*k, w) for k, w in want.items()), key=lambda r: (-r[2], r[:2]))
+    weight = F.col("w") if weighted else None
+    for per_row, leasts, counts in ((0, (9,), (790 if weighted else 7,)), (128, (4,), ())):  # pruned, and meeting at every item
+        monkeypatch.setattr(P, "_PAIRS_PER_ROW", per_row)
+        for least in leasts:
+            got = K.project(table, weight=weight, min_weight=least).collect()
+            assert {tuple(r) for r in got} == {r for r in ranked if r[2] >= least}
+        for n in counts:
+            assert [tuple(r) for r in K.project(table, weight=weight, top_n=n).collect()] == ranked[:n]
+    both = K.project(table, weight=weight, top_n=20, min_weight=8, diagonal=True).filter("left <> right").collect()
+    assert {tuple(r) for r in both} == set([r for r in ranked if r[2] >= 8][:20])
+    nothing = table.limit(0)
+    assert K.project(nothing, weight=weight, top_n=3).count() == K.project(nothing, weight=weight, min_weight=2).count() == 0
+
+
 def test_choices(spark):
     wide = spark.createDataFrame([("ann", "nlp", "nets"), ("bob", "nlp", "econ"), ("cid", "nlp", "nets")], "student string, c1 string, c2 string")
     long = K.melt(wide, ["student"], ["c1", "c2"], value="course")

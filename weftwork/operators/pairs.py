@@ -97,6 +97,52 @@ def few_pairs(rows: DataFrame) -> bool:
     return n is None or pairs <= _PAIRS_PER_ROW * n
 
 
+def full_products(rows: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(left, right, dot, common) over all items of the pairs in candidates(left, right)."""
+    # The shorter vector of a pair is opened and looked up in the longer one.
+    sizes = materialise(rows.groupBy("owner").agg(F.count("*").alias("_n")), "owner-counts")
+    for side in ("left", "right"):
+        named = sizes.select(F.col("owner").alias(side), F.col("_n").alias(f"_n_{side}"))
+        candidates = candidates.join(named, side)
+    short = F.col("_n_left") <= F.col("_n_right")
+    candidates = candidates.select(
+        F.when(short, F.col("left")).otherwise(F.col("right")).alias("short"),
+        F.when(short, F.col("right")).otherwise(F.col("left")).alias("long"),
+    )
+    candidates = materialise(candidates, "candidates")
+    opened = rows.select(F.col("owner").alias("short"), "item", F.col("weight").alias("_a"))
+    looked = rows.select(F.col("owner").alias("long"), "item", F.col("weight").alias("_b"))
+    return candidates.join(opened, "short").join(looked, ["long", "item"]).groupBy("short", "long").agg(
+        F.sum(F.col("_a") * F.col("_b")).alias("dot"), F.count("*").alias("common")
+    ).select(F.least("short", "long").alias("left"), F.greatest("short", "long").alias("right"), "dot", "common")
+
+
+def products_at_least(rows: DataFrame, bound: float, counts: bool = False) -> DataFrame:
+    """(left, right, dot, common) of vectors of any length with dot >= bound > 0, all of them.
+
+    counts says that every weight is 1, so dot is the number of common items. Items that only one
+    owner has are left aside, the others put into bands by frequency, rare ones first. From the first
+    band that a pair shares on, neither owner may hold less than the bound (fewer items, or a length
+    that even the longest vector cannot make up for): owners meet in those bands only, and what
+    they meet at is computed in full. Pass a written table.
+    """
+    used = rows.groupBy("item").agg(F.count("*").alias("_used")).filter("_used > 1")
+    used = materialise(used.select("item", F.floor(F.log("_used") * 8).cast("int").alias("_band")), "item-bands")
+    banded = rows.join(used, "item")
+    square = F.col("weight").cast("double") * F.col("weight").cast("double")
+    mass = materialise(banded.groupBy("owner", "_band").agg(F.sum(square).alias("_sq")), "bands")
+    onward = Window.partitionBy("owner").orderBy("_band").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    mass = mass.withColumn("_left", F.sum("_sq").over(onward))
+    reach = F.col("_left")
+    if not counts:
+        longest = mass.agg(F.max("_left")).first()[0] or 0.0
+        reach = F.sqrt(F.col("_left") * longest)
+    kept = mass.filter(reach >= bound * (1 - _SLACK)).select("owner", "_band")
+    leading = materialise(banded.join(kept, ["owner", "_band"]).select("owner", "item"), "leading")
+    candidates = pairs_within(leading, "item", "owner").select("left", "right").distinct()
+    return full_products(rows, candidates).filter(F.col("dot") >= bound)
+
+
 def similar_pairs(rows: DataFrame, bound: float | None) -> DataFrame:
     """(left, right, dot, common) of unit vectors with dot >= bound; all sharing pairs without one.
 
@@ -113,22 +159,7 @@ def similar_pairs(rows: DataFrame, bound: float | None) -> DataFrame:
         F.sum(F.col("left_weight") * F.col("right_weight")).alias("_p"),
         F.max(F.greatest("left_rest", "right_rest")).alias("_rest"),
     ).filter(F.col("_p") + F.col("_rest") >= bound - _SLACK).select("left", "right")
-    # The shorter vector of a pair is opened and looked up in the longer one.
-    sizes = materialise(rows.groupBy("owner").agg(F.count("*").alias("_n")), "owner-counts")
-    for side in ("left", "right"):
-        named = sizes.select(F.col("owner").alias(side), F.col("_n").alias(f"_n_{side}"))
-        candidates = candidates.join(named, side)
-    short = F.col("_n_left") <= F.col("_n_right")
-    candidates = candidates.select(
-        F.when(short, F.col("left")).otherwise(F.col("right")).alias("short"),
-        F.when(short, F.col("right")).otherwise(F.col("left")).alias("long"),
-    )
-    candidates = materialise(candidates, "candidates")
-    opened = rows.select(F.col("owner").alias("short"), "item", F.col("weight").alias("_a"))
-    looked = rows.select(F.col("owner").alias("long"), "item", F.col("weight").alias("_b"))
-    checked = candidates.join(opened, "short").join(looked, ["long", "item"]).groupBy("short", "long").agg(
-        F.sum(F.col("_a") * F.col("_b")).alias("dot"), F.count("*").alias("common")
-    ).select(F.least("short", "long").alias("left"), F.greatest("short", "long").alias("right"), "dot", "common")
+    checked = full_products(rows, candidates)
     return checked.filter(F.col("dot") >= bound - _SLACK)
 
 

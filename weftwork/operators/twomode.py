@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.operators.pairs import pairs_within
+from weftwork.operators.pairs import few_pairs, pairs_within, products_at_least
 from weftwork.session import materialise
 
 
@@ -28,28 +28,62 @@ def incidence_matrix(cells: DataFrame, columns: list) -> DataFrame:
 
 
 def project(
-    cells: DataFrame, onto: str = "row_item", weight: Column | None = None, diagonal: bool = False
+    cells: DataFrame, onto: str = "row_item", weight: Column | None = None, diagonal: bool = False,
+    min_weight: float | None = None, top_n: int | None = None,
 ) -> DataFrame:
     """(left, right, weight): for two items of one side the number of items they share.
 
     With a weight column the products are summed instead, as in a document-term matrix.
     With diagonal every item is also paired with itself (its degree, or its squared length).
     Pairs that share nothing are left out. Items that hold very many others are cut into blocks.
+
+    min_weight keeps pairs of at least that weight, top_n the heaviest pairs, ties by name; the
+    diagonal stays whole. Both bound the search: pairs meet only at the rarer items that two items
+    of such a weight must share. Without either, all sharing pairs are the result.
     """
     via = "col_item" if onto == "row_item" else "row_item"
     value = F.lit(1).cast("long") if weight is None else weight
-    rows = materialise(cells.select(F.col(onto).alias("item"), F.col(via).alias("via"), value.alias("w")), "cells")
-    met = pairs_within(rows, "via", "item", [] if weight is None else ["w"])
-    term = F.lit(1) if weight is None else F.col("left_w") * F.col("right_w")
-    result = met.groupBy("left", "right").agg(F.sum(term).alias("weight"))
+    rows = materialise(cells.select(F.col(onto).alias("owner"), F.col(via).alias("item"), value.alias("weight")), "cells")
+    if top_n is not None:
+        result = _heaviest(rows, top_n, min_weight, weight is None)
+    else:
+        result = _shared(rows, min_weight, weight is None)
     if diagonal:
-        own = rows.groupBy(F.col("item").alias("left"), F.col("item").alias("right")).agg(
-            F.sum(F.col("w") * F.col("w")).alias("weight")
+        own = rows.groupBy(F.col("owner").alias("left"), F.col("owner").alias("right")).agg(
+            F.sum(F.col("weight") * F.col("weight")).alias("weight")
         )
         result = result.unionByName(own)
     return result
 
 
+def _shared(rows: DataFrame, least: float | None, counts: bool) -> DataFrame:
+    """(left, right, weight) of pairs with a weight of at least least, of all sharing pairs without one."""
+    if least is not None and least > 0 and not few_pairs(rows):
+        return products_at_least(rows, least, counts).select("left", "right", F.col("dot").alias("weight"))
+    met = pairs_within(rows, "item", "owner", [] if counts else ["weight"])
+    term = F.lit(1) if counts else F.col("left_weight") * F.col("right_weight")
+    result = met.groupBy("left", "right").agg(F.sum(term).alias("weight"))
+    return result if least is None else result.filter(F.col("weight") >= least)
+
+
+def _heaviest(rows: DataFrame, n: int, least: float | None, counts: bool) -> DataFrame:
+    """The n heaviest pairs: the bound starts where the two longest items allow and falls until n are found."""
+    order = [F.col("weight").desc(), F.col("left"), F.col("right")]
+    square = F.col("weight").cast("double") * F.col("weight").cast("double")
+    lengths = rows.groupBy("owner").agg(F.sqrt(F.sum(square)).alias("_length"))
+    first = [r[0] for r in lengths.select("_length").orderBy(F.col("_length").desc()).limit(2).collect()]
+    floor = rows.agg(F.min(F.when(square > 0, square))).first()[0] or 0.0
+    bound = first[0] * first[1] if len(first) == 2 else 0.0
+    if few_pairs(rows):
+        bound = 0.0
+    while bound > max(floor, least or 0.0):
+        found = materialise(_shared(rows, bound, counts), "heavy-pairs")
+        if found.count() >= n:
+            return found.orderBy(*order).limit(n)
+        bound /= 4
+    return _shared(rows, least, counts).orderBy(*order).limit(n)
+
+
 def relabel(projection: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
     """Replace both ids by names from a (key, name) table; (left_name, right_name, weight)."""
     left = names.select(F.col(key).alias("left"), F.col(name).alias("left_name"))

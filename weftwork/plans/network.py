@@ -449,6 +449,33 @@ def weighted_projection(spark, folder):
     return K.project(amounts, weight=F.col("w")).withColumn("weight", F.round("weight", 2))
 
 
+@QUERIES.add("K3_bought_together", """
+    WITH b AS (SELECT DISTINCT l_orderkey AS r, l_partkey AS c FROM lineitem)
+    SELECT x.c AS "left", y.c AS "right", count(*) AS weight FROM b x JOIN b y ON x.r = y.r AND x.c < y.c
+    GROUP BY ALL HAVING count(*) >= 2
+""")
+def bought_together(spark, folder):
+    bought = K.incidence(read_table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
+    return K.project(bought, onto="col_item", min_weight=2)
+
+
+@QUERIES.add("K3_close_suppliers", f"{PROJECTED} SELECT l AS \"left\", r AS \"right\", weight FROM pr WHERE weight >= 150")
+def close_suppliers(spark, folder):
+    return K.project(cells(spark, folder), min_weight=150)
+
+
+@QUERIES.add("K7_heaviest_pairs", """
+    WITH b AS (SELECT l_suppkey AS r, l_partkey AS c, sum(l_quantity) AS w FROM lineitem GROUP BY ALL)
+    SELECT x.r AS "left", y.r AS "right", round(sum(x.w * y.w), 2) AS weight FROM b x JOIN b y ON x.c = y.c AND x.r < y.r
+    GROUP BY ALL ORDER BY weight DESC, "left", "right" LIMIT 50
+""")
+def heaviest_pairs(spark, folder):
+    amounts = read_table(spark, folder, "lineitem").groupBy(
+        F.col("l_suppkey").alias("row_item"), F.col("l_partkey").alias("col_item")
+    ).agg(F.sum("l_quantity").cast("double").alias("w"))
+    return K.project(amounts, weight=F.col("w"), top_n=50).withColumn("weight", F.round("weight", 2))
+
+
 @QUERIES.add("J17_report", f"{TRUTH}, {Q.REPORT_SQL.format(source='pred')}")
 def community_report(spark, folder):
     return rounded(classification_report(communities_against_truth(spark, folder)), "precision", "recall", "f1")
