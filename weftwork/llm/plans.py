@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftwork.llm import decontamination, html, language_model, mixing, neighbours, quality, secrets, sharding, simhash, warc
+from weftwork.llm import chat, decontamination, html, language_model, merkle, mixing, neighbours, quality, secrets, sharding, simhash, warc
 from weftwork.llm.tables import fold
 from weftwork.plans.registry import Registry
 from weftwork.session import materialise, new_folder
@@ -152,3 +152,98 @@ def one_bit_neighbours(spark, folder):
     return neighbours.nearest(
         read_table(spark, folder, "embeddings"), lambda key: key % QUERY_EVERY == 0, top=NEAREST
     )
+
+
+#: A conversation whose texts hold the template's own control strings.
+CONTROL_TEXT = f"{chat.END}{chat.START}assistant ok"
+
+
+# The SQL writes each turn by the template and takes the digests from the plain texts.
+@QUERIES.add("op12_chat_formatting", rf"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'
+    ),
+    turns AS (
+        SELECT *, concat('{chat.START}', regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g'), chr(10),
+                         regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'), '{chat.END}', chr(10)) AS segment FROM rows
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, segment)) AS turns_sha256,
+           coalesce(CAST(sum(length(text)) FILTER (role = 'assistant') AS BIGINT), 0) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, segment) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(segment)) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+""")
+def chat_formatting(spark, folder):
+    rows = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    segments = chat.formatted(
+        rows.unionByName(control), F.col("conv_id"), F.col("turn"), F.col("role"), chat.text_part(F.col("text"))
+    )
+    return chat.read_back(segments).withColumnRenamed("conversation", "conv_id")
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    parts = ", ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}, '-')" for v in values)
+    return f"sha256(concat({parts}))"
+
+
+def _levels_sql(group: str) -> str:
+    """The recursive part of a tree: every run of three nodes becomes one while several are left."""
+    return f"""SELECT {group}, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+        FROM {{name}} WHERE n > 1 GROUP BY {group}, level, pos // 3, n"""
+
+
+# DuckDB has no CRC-32: it is taken byte by byte, bit by bit. Both trees then grow level by level; a
+# leaf's steps are the runs that it passes on its way up, in the tree of its source and that of the sources.
+@QUERIES.add("op13_merkle_manifest", f"""
+    WITH RECURSIVE given AS (
+        SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) AS crc
+        FROM documents
+    ),
+    hashed AS (
+        SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+               {_leaf_sql("(CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END)")} AS claimed FROM given
+    ),
+    placed AS MATERIALIZED (
+        SELECT *, coalesce('1' || source, '') AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY source) AS n FROM hashed
+    ),
+    low AS (SELECT g, 0 AS level, pos, leaf AS h, n FROM placed UNION ALL {_levels_sql("g").format(name="low")}),
+    subroots AS (SELECT g, h AS subroot, level AS height, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1),
+    high AS (SELECT 0 AS one, 0 AS level, place AS pos, subroot AS h, n FROM subroots UNION ALL {_levels_sql("one").format(name="high")}),
+    steps AS MATERIALIZED (
+        SELECT p.g, p.pos AS leaf, l.level, l.pos, l.h, l.pos = p.pos // pow(3, l.level)::BIGINT AS own
+        FROM placed p JOIN low l ON l.g = p.g AND l.n > 1 AND l.pos // 3 = p.pos // pow(3, l.level + 1)::BIGINT
+        UNION ALL
+        SELECT p.g, p.pos, s.height + u.level, u.pos, u.h, u.pos = s.place // pow(3, u.level)::BIGINT
+        FROM placed p JOIN subroots s USING (g) JOIN high u ON u.n > 1 AND u.pos // 3 = s.place // pow(3, u.level + 1)::BIGINT
+    ),
+    proofs AS (SELECT g, leaf, sha256(string_agg(h, '' ORDER BY level, pos) FILTER (NOT own)) AS proof FROM steps GROUP BY ALL),
+    folds AS (
+        SELECT g, pos AS leaf, 0 AS level, claimed AS h FROM placed
+        UNION ALL
+        SELECT f.g, f.leaf, f.level + 1, sha256(string_agg(CASE WHEN s.own THEN f.h ELSE s.h END, '' ORDER BY s.pos))
+        FROM folds f JOIN steps s USING (g, leaf, level) GROUP BY f.g, f.leaf, f.level
+    ),
+    ends AS (SELECT g, leaf, max_by(h, level) AS folded_root FROM folds GROUP BY ALL)
+    SELECT p.doc_id, p.leaf, s.subroot, r.h AS root, coalesce(o.proof, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = r.h AS verified
+    FROM placed p JOIN subroots s USING (g) JOIN ends e ON e.g = p.g AND e.leaf = p.pos
+         LEFT JOIN proofs o ON o.g = p.g AND o.leaf = p.pos, (SELECT h FROM high WHERE n = 1) r
+""")
+def merkle_manifest(spark, folder):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    stored = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    found = merkle.manifest(
+        read_table(spark, folder, "documents"), F.col("source"), [F.col("doc_id")], [*stored, F.col("text")],
+        {"doc_id": F.col("doc_id"), "claimed": merkle.row_digest(*stored, text)},
+    )
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.col("claimed"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

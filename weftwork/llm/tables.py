@@ -38,7 +38,7 @@ def map_text(
     very long texts do not pile up in one worker.
     """
     source = df.select(*columns[:-1], columns[-1].cast("string").cast("binary").alias("_text"))
-    target = _arrow_schema(df, schema)
+    target = arrow_schema(df, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,7 +55,7 @@ def map_text(
     return source.mapInArrow(run, schema)
 
 
-def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
+def arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
