@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftwork.llm import chat, decontamination, html, language_model, merkle, mixing, neighbours, quality, secrets, sharding, simhash, warc
+from weftwork.llm import alignment, chat, decontamination, html, language_model, merkle, mixing, neighbours, quality, secrets, sharding, simhash, warc
 from weftwork.llm.tables import fold
 from weftwork.plans.registry import Registry
 from weftwork.session import materialise, new_folder
@@ -154,6 +154,20 @@ def one_bit_neighbours(spark, folder):
     )
 
 
+#: Tokeniser files that op11 aligns.
+TOKENISER_A, TOKENISER_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@QUERIES.add("op11_tokenizer_alignment")
+def tokenizer_alignment(spark, folder):
+    aligned = alignment.alignments(read_table(spark, folder, "documents"), "doc_id", "text", TOKENISER_A, TOKENISER_B)
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256))
+    aligned = materialise(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    scores = alignment.link_scores(aligned, materialise(alignment.pair_counts(aligned), "pairs"))
+    sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_links", "n_best", "count_sum")]
+    return aligned.drop("links").join(scores, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", *sums, "groups_sha256")
+
+
 #: A conversation whose texts hold the template's own control strings.
 CONTROL_TEXT = f"{chat.END}{chat.START}assistant ok"
 
