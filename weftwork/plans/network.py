@@ -338,6 +338,24 @@ def zero_pairs(spark, folder):
     return rounded(find_similar_users(user_edges(spark, folder), giant_component=False, include_zero=True), "similarity")
 
 
+@QUERIES.add("J18_least_similar_users", f"""{NEIGHBOURS}{ALL_PAIRS}, r AS (SELECT user1, user2, round(c / sqrt(d1 * d2), 12) AS v FROM every)
+    SELECT user1, user2, round(v, 6) AS similarity FROM r ORDER BY v, user1, user2 LIMIT 50
+""")
+def least_similar_users(spark, folder):
+    found = find_similar_users(user_edges(spark, folder), giant_component=False, top_n=50, ascending=True, include_zero=True)
+    return rounded(found, "similarity")
+
+
+@QUERIES.add("J19_least_similar_users", f"""{NEIGHBOURS}{ALL_PAIRS}, r AS (SELECT user1, user2, round(c / (d1 + d2 - c), 12) AS v FROM every)
+    SELECT user1, user2, round(v, 6) AS similarity FROM r ORDER BY v, user1, user2 LIMIT 50
+""")
+def least_similar_users_by_jaccard(spark, folder):
+    found = find_similar_users(
+        user_edges(spark, folder), giant_component=False, top_n=50, metric="jaccard", ascending=True, include_zero=True
+    )
+    return rounded(found, "similarity")
+
+
 @QUERIES.add("J20_euclidean_users", f"""{NEIGHBOURS}{ALL_PAIRS}, r AS (SELECT user1, user2, round(sqrt(d1 + d2 - 2 * c), 12) AS v FROM every)
     SELECT user1, user2, round(v, 6) AS similarity FROM r ORDER BY v, user1, user2 LIMIT 50
 """)
