@@ -5,8 +5,8 @@ import random
 from collections import Counter, defaultdict
 from itertools import accumulate
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tests.llm import odd
 from tokenizers import Tokenizer
@@ -90,23 +90,35 @@ def test_texts_are_aligned_as_in_one_piece(spark, coders, size, monkeypatch):
         assert rows[i] == whole(text, coders), repr(text[:60])
 
 
+class Sizes:
+    """Tokenisers whose token n has n bytes."""
+
+    size_a = size_b = np.arange(9)
+    names = alignment.id_names(9)
+
+
 def test_fragments_compose_associatively():
     draw = random.Random(1)
     for _ in range(200):
-        a, b = [], []
-        for part in (a, b):
-            left = 40
+        sides = []
+        for _ in range(2):
+            ids, left = [], 40
             while left:
-                size = draw.randint(1, min(5, left))
-                part.append([draw.randrange(9), size])
-                left -= size
-        pieces = alignment.cut_tokens(a, b, 0, [*range(3, 40, 3), 40])
-        whole = alignment.cut_tokens(a, b, 0, [40])[0]
+                ids.append(draw.randint(1, min(5, left)))
+                left -= ids[-1]
+            sides.append(np.array(ids))
+        aligned = alignment.Aligned(Sizes, *sides)
+        bounds = sorted(draw.sample(range(1, 40), 12))
+        pieces = [aligned.fragment(i, j) for i, j in zip([0, *bounds], [*bounds, 40])]
+        whole = aligned.fragment(0, 40)
         while len(pieces) > 1:
             i = draw.randrange(len(pieces) - 1)
             pieces[i:i + 2] = [alignment.Fragment.of_json((pieces[i] + pieces[i + 1]).to_json())]
         got, want = (alignment.START + f + alignment.START for f in (pieces[0], whole))
-        assert got == want and want.groups == alignment.close(alignment.Span(a, b))[0]
+        assert ";".join(got.groups) == ";".join(want.groups) == aligned.groups(0, 40)[0]
+        assert (got.links, got.n_a, got.n_b, got.n_groups) == (want.links, want.n_a, want.n_b, want.n_groups)
+        groups, links = alignment.close(aligned.open(0, 40))
+        assert ";".join(groups) == aligned.groups(0, 40)[0] and links == aligned.links(0, 40).tolist()
 
 
 def test_counts_and_odd_rows(spark, coders):

@@ -1,6 +1,7 @@
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 from tests.llm import odd
 
 from weftwork.llm import decontamination as D
@@ -17,6 +18,8 @@ def by_brute_force(docs, items):
         for item, other in items:
             b = D.tokens(other)
             if len(b) < D.SHORTEST:
+                if b and any(a[i:i + len(b)] == b for i in range(len(a) - len(b) + 1)):
+                    found.add((doc, item))
                 continue
             equal = {}
             for j, t in enumerate(b):
@@ -82,3 +85,24 @@ def test_substitutions_and_odd_rows(spark):
     assert D.contaminated(odd.empty(spark), items).collect() == []
     assert D.contaminated(docs, items.filter("false")).collect() == []
     assert D.clean_documents(docs, items.filter("false")).count() == docs.count()
+
+
+def test_items_below_the_window_are_found_whole(spark):
+    docs = [(1, "a b c d e f g"), (2, "a b c d x e"), (3, "A, b! c d e - a b c d e"), (4, None), (5, "e"), (6, "b c d e f g h i j a"), (7, "g f")]
+    items = [(1, "a b c d e"), (2, "E"), (3, "c d"), (4, "f g h i j a b"), (5, "b c d e f g h"), (6, ""), (7, "Q"), (8, "C D")]
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    # Items 3 and 8 have the same tokens and count as item 3.
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {p for p in by_brute_force(docs, items) if p[1] != 8}
+    third = next(r for r in got if (r["doc_id"], r["item_id"]) == (3, 1))
+    assert (third["doc_start"], third["item_start"], third["n_tokens"], third["n_same"], third["share"]) == (0, 0, 5, 5, 1.0)
+
+
+def test_the_filter_grows_with_the_seeds(spark):
+    few, many = (spark.range(n).select(F.xxhash64("id").alias("seed")) for n in (10, 200_000))
+    for seeds, least in ((few, D.FILTER_LEAST), (many, 16 * 200_000)):
+        packed, size = D._filter(seeds)
+        assert size >= least and len(packed) * 32 == size
+        held = np.array([r["seed"] for r in seeds.limit(1000).collect()]).view(np.uint64)
+        other = np.random.default_rng(1).integers(0, 2**63, 20_000).astype(np.uint64)
+        known = [np.all([(packed[p >> 5] >> (p & 31).astype(np.uint32)) & 1 for p in D._probes(x, size)], axis=0) for x in (held, other)]
+        assert known[0].all() and known[1].mean() < 0.01

@@ -66,3 +66,14 @@ def test_given_pages_keep_all_shown_words(spark):
     for r in pages.join(H.extract_text(pages), "page_id").collect():
         assert "track(" not in r["text"] and "{margin" not in r["text"] and "<p>" not in r["text"]
         assert r["text"].startswith("- ") and "©" in r["text"]
+
+
+def test_deep_nesting_and_wide_spans_keep_their_layout():
+    deep = "<ul><li>" * 400 + "end" + "</li></ul>" * 400
+    assert H.visible_text(deep) == "- " * 400 + "end"
+    page = "<table><tr><td colspan=500>a</td><td>z</td></tr><tr>" + "<td>b</td>" * 500 + "<td>y</td></tr></table>"
+    first, second = H.visible_text(page).split("\n")
+    assert first.index("z") == second.index("y") == 1500
+    tall = "<table><tr><td rowspan=400>a</td><td>0</td></tr>" + "".join(f"<tr><td>{i}</td></tr>" for i in range(1, 400)) + "</table>"
+    assert [line.index(str(i)) for i, line in enumerate(H.visible_text(tall).split("\n"))] == [3] * 400
+    assert "text" in H.visible_text("<div>" * 5000 + "text")

@@ -48,7 +48,7 @@ def test_expected_counts_are_derivatives_of_the_likelihood():
         for step in (-1e-5, 1e-5):
             logs = v.log_piece.copy()
             logs[i] += step
-            moved = L.Vocabulary(v.pieces, logs, v.log_byte, v.log_end, v.keys, v.piece_at, v.probes)
+            moved = L.Vocabulary(v.pieces, logs, v.log_byte, v.log_end, v.keys, v.piece_at, v.probes, v.slot_bits)
             likelihood.append((L.word_scores(moved, words) * times).sum())
         assert got[i] == pytest.approx((likelihood[1] - likelihood[0]) / 2e-5, abs=1e-4)
 
@@ -91,3 +91,14 @@ def test_joined_words_score_like_looked_up_ones(spark):
     two = sorted((r["doc_id"], round(r["score"], 5), r["n_known"]) for r in L.text_scores(docs, common=50).collect())
     assert one == two
     check(L.text_scores(docs, common=50).collect(), docs.select("doc_id", "text").collect())
+
+
+def test_large_vocabularies():
+    alphabet = "abcdefghijklmnop"
+    pieces = ["▁" + "".join(alphabet[(i >> 4 * k) & 15] for k in range(5)) + "q" * (i % 2) for i in range(400_000)]
+    v = L.vocabulary(pieces)
+    assert (v.piece_at >= -1).sum() > 600_000
+    log = dict(zip(v.pieces, v.log_piece))
+    for i in (0, 1, 77_777, 399_999):
+        word = pieces[i][1:]
+        assert L.word_scores(v, [word])[0] == pytest.approx(math.log(segmentations("▁" + word, log, v.log_byte)))

@@ -149,13 +149,26 @@ def test_bounds_hold():
     draw = np.random.default_rng(2)
     vectors, query = draw.normal(size=(5000, 64)), draw.normal(size=64)
     code, norm, alignment = neighbours.encode(vectors, neighbours.rotation(64))
-    signs = (2.0 * np.unpackbits(code, axis=1, count=64) - 1) / 8
+    signs = (2.0 * np.unpackbits(code.view(np.uint8), axis=1, count=64) - 1) / 8
     estimate = signs @ (neighbours.rotation(64) @ query) / alignment * norm
     spread = np.sqrt(1 - alignment**2) / alignment / np.sqrt(63) * norm * np.linalg.norm(query)
     error = np.abs(vectors @ query - estimate) / spread
     assert error.max() < neighbours.DEVIATIONS + 0.5 and 0.8 < np.sqrt((error**2).mean()) < 1.2
 
 
+@pytest.mark.parametrize("size", [5, 64, 100])
+def test_packed_products_are_those_of_the_rounded_query(size):
+    draw = np.random.default_rng(size)
+    signs, query = draw.normal(size=(300, size)) >= 0, draw.normal(size=(1, size))
+    planes, low, step = neighbours.quantise(query)
+    rounded = low + step * np.rint((query - low) / step)
+    assert np.abs(rounded - query).max() <= step[0] / 2 + 1e-12
+    codes = neighbours.pack(signs)
+    ones = signs.sum(axis=1).astype(np.float32)
+    got = neighbours.code_products(codes, ones, planes[0], low[0], step[0], rounded.sum(), size)
+    assert np.allclose(got, (2.0 * signs - 1) @ rounded[0] / np.sqrt(size), atol=1e-5)
+
+
 # ---------------------------------------------------------------- secrets
 
 def findings_of(spark, n=240):

@@ -1,4 +1,7 @@
+import base64
 import gzip
+import random
+import subprocess
 import zlib
 from pathlib import Path
 
@@ -36,8 +39,12 @@ def test_round_trip(spark):
     kinds = {k: (r["record_type"], r["refers_to"]) for k, r in rows.items()}
     revisit = lambda n: ("revisit", warc.record_id(n))
     assert kinds[warc.record_id(5)] == kinds[warc.record_id(9)] == revisit(3)
-    assert kinds[warc.record_id(4)] == revisit(2) and kinds[warc.record_id(2)] == kinds[warc.record_id(10)] == ("response", None)
-    assert warc.read_records(spark, folder).count() == table.count()
+    assert kinds[warc.record_id(4)] == revisit(2) and kinds[warc.record_id(2)] == ("response", None)
+    records = warc.read_records(spark, folder)
+    assert records.count() == table.count()
+    # Of the rows that repeat a key one is the response, the other revisits it.
+    again = records.filter(records["record_id"] == warc.record_id(10)).collect()
+    assert sorted((r["record_type"], r["refers_to"]) for r in again) == [("response", None), revisit(10)]
 
 
 def test_archives_are_plain_gzip_with_one_member_per_record(spark):
@@ -98,3 +105,31 @@ def test_empty_table_and_missing_keys(spark):
     warc.write_archives(spark.createDataFrame([(None, None, None, None, None, None), (None, "u", "abc", "", "", "")], SCHEMA), folder)
     rows = warc.resolved(warc.read_records(spark, folder)).collect()
     assert sorted(r["payload_bytes"] for r in rows) == [0, 3] and {r["record_type"] for r in rows} == {"response"}
+
+
+def test_records_beyond_16_mib_and_skewed_sizes(spark):
+    draw = random.Random(4)
+    noise = lambda n: base64.b64encode(draw.randbytes(n)).decode()
+    bodies = ["small one", noise(15 << 20), "small two", *(noise(1 << 20) for _ in range(6)), *(f"tiny {i}" for i in range(500))]
+    table = spark.createDataFrame([(i, "u", b) for i, b in enumerate(bodies)], "page_id long, url string, html string").coalesce(1).sortWithinPartitions("page_id")
+    folder = new_folder(spark, "warc")
+    warc.write_archives(table, folder, archive_bytes=2 << 20)
+    files = files_of(folder)
+    # An archive ends once it holds two MiB, so it is larger by less than its last record.
+    assert 3 <= len(files) <= 8 and not (Path(folder.removeprefix("file:")) / "_temporary").exists()
+    for f in files:
+        subprocess.run(["gzip", "-t", str(f)], check=True, capture_output=True)
+    assert sum(gzip.decompress(f.read_bytes()).count(b"WARC/1.1\r\nWARC-Type: ") for f in files) == len(bodies)
+    rows = {r["record_id"]: r for r in warc.read_records(spark, folder).collect()}
+    assert all(bytes(rows[warc.record_id(i)]["payload"]) == b.encode() for i, b in enumerate(bodies))
+
+
+def test_rows_that_repeat_the_smallest_key(spark):
+    rows = [(3, "b", "x"), (3, "a", "x"), (3, "a", "x"), (3, None, "x"), (5, "c", "x"), (4, "d", "y"), (None, "e", "x")]
+    folder = new_folder(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    got = warc.read_records(spark, folder, with_payload=False).filter("record_id LIKE '<urn:page:%'").collect()
+    of = lambda page: sorted(((r["record_type"], r["url"], r["refers_to"]) for r in got if r["record_id"] == warc.record_id(page)), key=str)
+    third = warc.record_id(3)
+    assert of(3) == [("response", "about:blank", None), *[("revisit", u, third) for u in ("a", "a", "b")]]
+    assert of(5) == [("revisit", "c", third)] and of(4) == [("response", "d", None)]

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from weftwork.llm.tables import arrow_schema, as_bytes, map_text
 from weftwork.session import materialise
 
-#: Bytes of a range, fragments that one task composes in a round, and bytes of text that a task of the long texts receives.
-RANGE, FAN, TASK_BYTES = 32 << 10, 8, 4 << 20
-#: Words whose alignment a task remembers, and the longest of them; others are aligned again.
-REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
+#: Bytes of a range, fragments that one task composes in a round, bytes of text that a task of the long texts
+#: receives, and bytes of text that a task aligns at once.
+RANGE, FAN, TASK_BYTES, AT_ONCE = 32 << 10, 8, 4 << 20, 2 << 20
+#: Words whose tokens a task remembers, the longest of them, and characters that are tokenised in one go.
+REMEMBERED, REMEMBERED_LENGTH, IN_ONE_GO = 250_000, 64, 32 << 10
 #: A single space between two characters that are no white space. Both tokenisers begin a token there
 #: and neither lets what stands before it influence what follows, so texts are tokenised word by word.
 CUT = re.compile(r" (?<=\S )(?=\S)")
@@ -40,6 +41,11 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def id_names(n: int) -> np.ndarray:
+    """Ids below n as text, each followed by ',' (first row), '|' or ';'."""
+    return np.array([[f"{i}{mark}" for i in range(n)] for mark in ",|;"], object)
+
+
 class Tokenisers:
     """Both tokenisers, with the bytes of every token. A takes a text behind a space, B adds its own."""
 
@@ -50,24 +56,93 @@ class Tokenisers:
 
         self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
         self.a.encode_special_tokens = True
-        alphabet = byte_alphabet()
-        self.bytes_a = {i: bytes(alphabet[c] for c in piece) for piece, i in self.a.get_vocab(with_added_tokens=False).items()}
+        alphabet, vocabulary = byte_alphabet(), self.a.get_vocab(with_added_tokens=False)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for piece, i in vocabulary.items():
+            self.bytes_a[i] = bytes(alphabet[c] for c in piece)
         self.bytes_b = [
             bytes([int(self.b.id_to_piece(i)[1:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
+        self.size_a, self.size_b = (np.array([len(x) for x in held], np.int64) for held in (self.bytes_a, self.bytes_b))
+        self.names = id_names(max(len(self.bytes_a), len(self.bytes_b)))
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Tokens of A and of B of every text behind a space; none if either does not give the bytes back."""
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        for text, a, b in zip(texts, ids_a, self.b.encode(texts, out_type=int, num_threads=1)):
+            data = (" " + text).encode()
+            same = b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b])
+            yield np.array(a if same else [], np.int32), np.array(b if same else [], np.int32)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[int], list[int]]]:
-        """Bytes, tokens of A and tokens of B of every text behind a space; no tokens if either does not give the bytes back."""
-        spaced = [" " + t for t in texts]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        for text, a, b in zip(spaced, ids_a, self.b.encode(texts, out_type=int, num_threads=1)):
-            data = text.encode()
-            same = b"".join([self.bytes_a.get(i, b"") for i in a]) == data == b"".join([self.bytes_b[i] for i in b])
-            yield (data, a, b) if same else (data, [], [])
 
-    def lengths(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        return [len(self.bytes_a[i]) for i in a], [len(self.bytes_b[i]) for i in b]
+class Words:
+    """Words by number with their tokens: word n has a[starts_a[n]:starts_a[n + 1]], and b alike.
+
+    A word without tokens is one that a tokeniser does not give back.
+    """
+
+    def __init__(self, tokenisers: Tokenisers):
+        self.tokenisers = tokenisers
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.a, self.b = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.starts_a, self.starts_b = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of the words, which hold until the next call. What is remembered is dropped beyond a bound."""
+        if len(self.number) > REMEMBERED:
+            self.forget()
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        if new:
+            self.learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        for long in [w for w in new if len(w) > REMEMBERED_LENGTH]:
+            del self.number[long]
+        return numbers
+
+    def learn(self, new: list[str]) -> None:
+        """Words that neither begin nor end with white space are tokenised many at a time, joined by spaces."""
+        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
+        odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        bounds = np.cumsum([len(w) + 1 for w in plain]) // IN_ONE_GO if plain else np.empty(0, np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(bounds)) + 1).tolist(), len(plain)]
+        groups = [plain[i:j] for i, j in zip(cuts, cuts[1:]) if j > i]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        names: list[str] = []
+        for group, (a, b) in zip(groups, self.tokenisers.encode([" ".join(g) for g in groups])):
+            ends = np.cumsum([len(w.encode()) + 1 for w in group])
+            ends_a, ends_b = np.cumsum(self.tokenisers.size_a[a]), np.cumsum(self.tokenisers.size_b[b])
+            if np.isin(ends, ends_a).all() and np.isin(ends, ends_b).all():
+                names += group
+                found.append((a, b, np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1))
+            else:
+                odd += group
+        for start in range(0, len(odd), 1000):
+            for word, (a, b) in zip(odd[start:start + 1000], self.tokenisers.encode(odd[start:start + 1000])):
+                names.append(word)
+                found.append((a, b, np.array([len(a)]), np.array([len(b)])))
+        first = len(self.starts_a) - 1
+        self.number.update((word, first + i) for i, word in enumerate(names))
+        self.append(found)
+
+    def append(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        for tokens, starts, ids, cuts in (("a", "starts_a", 0, 2), ("b", "starts_b", 1, 3)):
+            first = len(getattr(self, tokens))
+            before = np.cumsum([0, *[len(f[ids]) for f in found]])
+            setattr(self, tokens, np.concatenate([getattr(self, tokens), *[f[ids] for f in found]]))
+            setattr(self, starts, np.concatenate([getattr(self, starts), *[f[cuts] + n + first for f, n in zip(found, before)]]))
+
+    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of A and of B of the words in turn, and how many of each every word has."""
+        out = []
+        for flat, starts in ((self.a, self.starts_a), (self.b, self.starts_b)):
+            sizes = starts[numbers + 1] - starts[numbers]
+            shift = np.repeat(starts[numbers] - np.cumsum(sizes) + sizes, sizes)
+            out += [flat[shift + np.arange(len(shift))], sizes]
+        return out[0], out[2], out[1], out[3]
 
 
 @dataclass
@@ -144,119 +219,139 @@ class Fragment:
 START = Fragment(tail=Span())
 
 
-def cut_tokens(a: list[list[int]], b: list[list[int]], at: int, bounds: list[int]) -> list[Fragment]:
-    """Fragments of tokens that start at byte `at`, one per range; a token belongs to the range it ends in.
+_POWERS = 10 ** np.arange(1, 10)
+
+
+class Aligned:
+    """Tokens of A and B that cover the same bytes, laid out from byte 0: their groups and links.
 
-    bounds are the ends of the ranges; the last one is where the tokens end.
+    Every byte at which a token of either side ends closes the overlap of one token of A with one of B.
     """
-    ends_a, ends_b = (np.cumsum([t[1] for t in part]) + at for part in (a, b))
-    common = set(ends_a.tolist()) & set(ends_b.tolist())
-    out, i, j = [], 0, 0
-    for bound in bounds:
-        to_a, to_b = int(np.searchsorted(ends_a, bound, "right")), int(np.searchsorted(ends_b, bound, "right"))
-        inside = [e for e in ends_a[i:to_a].tolist() if e in common]
-        made = Fragment(Span(a[i:to_a], b[j:to_b]), n_a=to_a - i, n_b=to_b - j)
-        if inside:
-            marks = [
-                (int(np.searchsorted(ends_a, e, "right")), int(np.searchsorted(ends_b, e, "right"))) for e in (inside[0], inside[-1])
-            ]
-            (head_a, head_b), (tail_a, tail_b) = marks
-            groups, links = close(Span(a[head_a:tail_a], b[head_b:tail_b]))
-            made = Fragment(
-                Span(a[i:head_a], b[j:head_b]), groups, len(groups), Counter(links), Span(a[tail_a:to_a], b[tail_b:to_b]), to_a - i, to_b - j
-            )
-        out.append(made)
-        i, j = to_a, to_b
-    return out
+
+    def __init__(self, tokenisers: Tokenisers, a: np.ndarray, b: np.ndarray):
+        self.a, self.b = a, b
+        self.sizes_a, self.sizes_b = tokenisers.size_a[a], tokenisers.size_b[b]
+        self.ends_a, self.ends_b = np.cumsum(self.sizes_a), np.cumsum(self.sizes_b)
+        mark = np.zeros(int(self.ends_a[-1]) + 1 if len(a) else 1, np.uint8)
+        mark[self.ends_a] = 1
+        mark[self.ends_b] += 2
+        self.ends = np.flatnonzero(mark)
+        sides = mark[self.ends]
+        # The token that covers an end is the one after all that end before it.
+        at_a, at_b = (np.cumsum(sides & side > 0) - (sides & side > 0) for side in (1, 2))
+        self.codes = a[at_a].astype(np.int64) << 32 | b[at_b]
+        self.common = self.ends[sides == 3]
+        self.write_groups(tokenisers.names)
+
+    def write_groups(self, names: np.ndarray) -> None:
+        """text holds all groups, each behind it ';'; group g begins at spots[g]."""
+        up_a, up_b = np.searchsorted(self.ends_a, self.common) + 1, np.searchsorted(self.ends_b, self.common) + 1
+        kinds, ids = np.zeros(len(self.a) + len(self.b), np.int64), np.zeros(len(self.a) + len(self.b), np.int64)
+        # Of every group first the tokens of A, then those of B.
+        group_a = np.repeat(np.arange(len(up_a)), np.diff(up_a, prepend=0))
+        group_b = np.repeat(np.arange(len(up_b)), np.diff(up_b, prepend=0))
+        place_a = np.arange(len(group_a)) + np.concatenate([[0], up_b])[group_a]
+        place_b = np.arange(len(group_b)) + up_a[group_b]
+        ids[place_a], ids[place_b] = self.a, self.b
+        kinds[up_a + up_b - 1] = 2
+        kinds[up_a - 1 + np.concatenate([[0], up_b[:-1]])] = 1
+        self.text = "".join(names[kinds, ids].tolist())
+        sizes = np.cumsum(np.searchsorted(_POWERS, ids, "right") + 2)
+        self.spots = np.concatenate([[0], sizes[up_a + up_b - 1]]).astype(np.int64)
+
+    def groups(self, after: int, to: int) -> tuple[str, int]:
+        """The groups that end behind byte `after`, up to byte `to`, and their number."""
+        i, j = np.searchsorted(self.common, [after, to], "right")
+        return self.text[self.spots[i]:max(self.spots[i], self.spots[j] - 1)], int(j - i)
+
+    def links(self, after: int, to: int) -> np.ndarray:
+        i, j = np.searchsorted(self.ends, [after, to], "right")
+        return self.codes[i:j]
+
+    def open(self, after: int, to: int) -> Span:
+        """The tokens that end behind byte `after`, up to byte `to`."""
+        parts = []
+        for ids, sizes, ends in ((self.a, self.sizes_a, self.ends_a), (self.b, self.sizes_b, self.ends_b)):
+            i, j = np.searchsorted(ends, [after, to], "right")
+            parts.append([list(t) for t in zip(ids[i:j].tolist(), sizes[i:j].tolist())])
+        return Span(*parts)
+
+    def count(self, after: int, to: int) -> tuple[int, int]:
+        """Tokens of A and of B that end there."""
+        return tuple(int(np.diff(np.searchsorted(ends, [after, to], "right"))[0]) for ends in (self.ends_a, self.ends_b))
+
+    def fragment(self, after: int, to: int, whole: bool = True) -> Fragment:
+        """The fragment of a byte range; a token belongs to the range it ends in."""
+        n_a, n_b = self.count(after, to)
+        i, j = np.searchsorted(self.common, [after, to], "right")
+        if i == j:
+            return Fragment(self.open(after, to), n_a=n_a, n_b=n_b, whole=whole)
+        first, last = int(self.common[i]), int(self.common[j - 1])
+        text, n_groups = self.groups(first, last)
+        codes, times = np.unique(self.links(first, last), return_counts=True)
+        links = Counter(dict(zip(codes.tolist(), times.tolist())))
+        return Fragment(self.open(after, first), [text] if text else [], n_groups, links, self.open(last, to), n_a, n_b, whole)
 
 
 class Aligner:
-    """Aligns texts word by word and remembers frequent words."""
+    """Aligns texts, many at once."""
 
     def __init__(self, path_a: str, path_b: str):
         self.tokenisers = Tokenisers(path_a, path_b)
-        self.known: dict[str, tuple] = {}
-
-    def aligned(self, data: bytes, a: list[int], b: list[int]) -> tuple:
-        """(bytes, groups, number of groups, links as 64-bit codes, n_a, n_b, (a, b) or None if not whole)."""
-        if not a:
-            return len(data), "", 0, b"", 0, 0, None
-        groups, links = close(self.span(a, b))
-        return len(data), ";".join(groups), len(groups), np.array(links, np.int64).tobytes(), len(a), len(b), (a, b)
-
-    def span(self, a: list[int], b: list[int]) -> Span:
-        return Span(*([list(t) for t in zip(ids, lengths)] for ids, lengths in zip((a, b), self.tokenisers.lengths(a, b))))
-
-    def learn(self, words: set[str]) -> None:
-        """All given words are known afterwards; what is remembered from before is dropped beyond the bound."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        for kept in [w for w in self.known if len(w) > REMEMBERED_LENGTH]:
-            del self.known[kept]
-        new = [w for w in words if w not in self.known]
-        for word, found in zip(new, self.tokenisers.encode(new)):
-            self.known[word] = self.aligned(*found)
-
-    def texts(self, texts: list[str]) -> Iterator[tuple | None]:
-        """(groups, n_groups, codes, n_a, n_b) per text; None where a tokeniser does not give the bytes back."""
+        self.words = Words(self.tokenisers)
+
+    def laid_out(self, texts: list[str]) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        """All texts behind each other, the byte at which each ends, and whether its bytes came back."""
         split = [CUT.split(t) for t in texts]
-        self.learn({w for words in split for w in words})
-        for words in split:
-            parts = [self.known[w] for w in words]
-            if any([p[6] is None for p in parts]):
-                yield None
-            else:
-                _, groups, n_groups, codes, n_a, n_b, _ = zip(*parts)
-                yield ";".join(groups), sum(n_groups), np.frombuffer(b"".join(codes), np.int64), sum(n_a), sum(n_b)
+        numbers = self.words.numbers([w for words in split for w in words])
+        a, b, sizes_a, _ = self.words.tokens(numbers)
+        cuts = np.cumsum([len(words) for words in split])
+        aligned = Aligned(self.tokenisers, a, b)
+        tokens_to = np.cumsum(sizes_a)[cuts - 1]
+        ends = np.concatenate([[0], aligned.ends_a])[tokens_to]
+        lost = np.concatenate([[0], np.cumsum(sizes_a == 0)])
+        return aligned, ends, lost[cuts] == lost[np.concatenate([[0], cuts[:-1]])]
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[str, int, np.ndarray, int, int] | None]:
+        """(groups, n_groups, link codes, n_a, n_b) per text; None where a tokeniser does not give the bytes back."""
+        start, held = 0, 0
+        for stop, text in enumerate(texts, 1):
+            held += len(text)
+            if held >= AT_ONCE or stop == len(texts):
+                aligned, ends, whole = self.laid_out(texts[start:stop])
+                before = 0
+                for end, kept in zip(ends.tolist(), whole.tolist()):
+                    yield (*aligned.groups(before, end), aligned.links(before, end), *aligned.count(before, end)) if kept else None
+                    before = end
+                start, held = stop, 0
 
     def fragments(self, at: int, text: str) -> Iterator[tuple[int, Fragment]]:
         """(start, fragment) for every byte range that the part of a text from byte `at` reaches into."""
-        words = CUT.split(text)
-        self.learn(set(words))
-        found = [self.known[w] for w in words]
-        ends = np.cumsum([f[0] for f in found]) + at
-        start, made, i = at, Fragment(tail=Span()), 0
-        while i < len(found):
-            # Words that end in the range close their groups inside it.
-            bound = (at // RANGE + 1) * RANGE
-            inside = int(np.searchsorted(ends, bound, "right"))
-            if inside > i:
-                made = made + closed_words(found[i:inside])
-                at, i = int(ends[inside - 1]), inside
-            # A word that reaches beyond is cut at the ends of the ranges.
-            if i < len(found) and at < bound:
-                size, *_, ids = found[i]
-                bounds = [*range(bound, at + size, RANGE), at + size]
-                span = self.span(*ids) if ids else Span()
-                pieces = cut_tokens(span.a, span.b, at, bounds) if ids else [Fragment(whole=False) for _ in bounds]
-                made = made + pieces[0]
-                for bound, piece in zip(bounds, pieces[1:]):
-                    yield start, made
-                    start, made = bound, piece
-                at, i = at + size, i + 1
-            elif i < len(found):
-                yield start, made
-                start, made = at, Fragment(tail=Span())
-        yield start, made
-
-
-def closed_words(found: list[tuple]) -> Fragment:
-    """The fragment of whole words: it starts and ends at common ends."""
-    _, groups, n_groups, codes, n_a, n_b, ids = zip(*found)
-    links = Counter(np.frombuffer(b"".join(codes), np.int64).tolist())
-    return Fragment(Span(), [g for g in groups if g], sum(n_groups), links, Span(), sum(n_a), sum(n_b), all(i is not None for i in ids))
-
-
-def link_rows(counts: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
-    """One list of (a, b, times) per text, from its distinct codes and how often each occurs."""
-    codes, times = zip(*counts)
-    offsets = np.concatenate([[0], np.cumsum([len(c) for c in codes])]).astype(np.int32)
-    flat, often = np.concatenate(codes), np.concatenate(times)
+        aligned, ends, whole = self.laid_out([text])
+        last = int(ends[-1])
+        bounds = [*range(RANGE - at % RANGE, last, RANGE), last]
+        for after, to in zip([0, *bounds], bounds):
+            made = aligned.fragment(after, to, bool(whole[0]))
+            yield at + after, Fragment(tail=Span()) + made if after == 0 else made
+
+
+def link_rows(codes: list[np.ndarray]) -> pa.Array:
+    """One list of (a, b, times) per text, from the codes of its links."""
+    sizes = np.array([len(c) for c in codes])
+    text = np.repeat(np.arange(len(codes)), sizes)
+    flat = np.concatenate([*codes, np.empty(0, np.int64)])
+    # The ids are packed as tightly as they allow, so that one sort tells the distinct links of all texts.
+    low = int((flat & 0xFFFFFFFF).max(initial=1)).bit_length()
+    high = int((flat >> 32).max(initial=1)).bit_length()
+    packed = (text << high | flat >> 32) << low | flat & 0xFFFFFFFF
+    packed, times = np.unique(packed, return_counts=True)
+    offsets = np.searchsorted(packed >> (high + low), np.arange(len(codes) + 1))
     pairs = pa.StructArray.from_arrays(
-        [pa.array((flat >> 32).astype(np.int32)), pa.array((flat & 0xFFFFFFFF).astype(np.int32)), pa.array(often.astype(np.int32))],
+        [pa.array((packed >> low & (1 << high) - 1).astype(np.int32)), pa.array((packed & (1 << low) - 1).astype(np.int32)),
+         pa.array(times.astype(np.int32))],
         names=["a", "b", "times"],
     )
-    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pairs)
 
 
 _NOTHING = ("", 0, np.empty(0, np.int64), 0, 0)
@@ -275,10 +370,10 @@ def short_alignments(docs: DataFrame, schema: str, path_a: str, path_b: str) ->
         groups, n_groups, codes, n_a, n_b = zip(*found)
         return {
             "row": rows, "_key": keys, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "groups": groups,
-            "links": link_rows(np.unique(c, return_counts=True) for c in codes),
+            "links": link_rows(list(codes)),
         }
 
-    return map_text(docs, [F.col("row"), F.col("_key"), F.col("_text")], work, schema)
+    return map_text(docs, [F.col("row"), F.col("_key"), F.col("_text")], work, schema, AT_ONCE)
 
 
 def decoded(data: bytes | None) -> str | None:

@@ -16,10 +16,12 @@ from weftwork.session import materialise
 #: Token positions that a seed looks at; the positions between them are ignored. Together the three
 #: find every run of 13 tokens with up to 2 substitutions (and of 10 to 12 with 2, 8 or 9 with 1).
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
-#: Tokens that an overlap is judged on, the least that a whole item may have, and the share that must agree.
+#: Tokens that an overlap is judged on, the least that tolerates substitutions, and the share that must agree.
+#: Shorter items are found where all their tokens stand unchanged.
 WINDOW, SHORTEST, AGREE = 13, 8, 0.8
-#: Bits of the filter that keeps documents without any seed out of the join; its size is fixed.
-FILTER_BITS, FILTER_PROBES = 1 << 22, 3
+#: The filter that keeps documents without any seed out of the join: bits a seed, probes, least and most bits.
+#: Beyond the most it lets more documents through to the join, which is exact.
+SEED_BITS, FILTER_PROBES, FILTER_LEAST, FILTER_MOST = 16, 3, 1 << 16, 1 << 28
 
 _WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -48,14 +50,19 @@ def _seeds(hashes: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarray
     """The seed of every start position from which the mask fits."""
     n = len(hashes) - mask[-1]
     seed = np.full(max(0, n), number + 1, np.uint64)
-    for place, odd in zip(mask, _ODD):
-        seed = (seed ^ hashes[place:place + n]) * odd if n > 0 else seed
+    for i, place in enumerate(mask):
+        seed = (seed ^ hashes[place:place + n]) * _ODD[i % len(_ODD)] if n > 0 else seed
         seed ^= seed >> np.uint64(29)
     return seed
 
 
-def _probes(seed: np.ndarray) -> list[np.ndarray]:
-    return [((seed >> np.uint64(21 * i)) % np.uint64(FILTER_BITS)).astype(np.int64) for i in range(FILTER_PROBES)]
+def _whole(length: int) -> tuple[tuple[int, ...], int]:
+    """Mask and number of the seeds that hold all tokens of a short item."""
+    return tuple(range(length)), len(MASKS) + length
+
+
+def _probes(seed: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [((seed >> np.uint64(21 * i)) % np.uint64(bits)).astype(np.int64) for i in range(FILTER_PROBES)]
 
 
 def benchmark_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
@@ -66,10 +73,11 @@ def benchmark_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
         known, out = _TokenHashes(), {"item": [], "item_tokens": [], "seeds": []}
         for item, body in zip(*columns):
             hashes = _hashes([tokens(body)], known)
-            if len(hashes) < SHORTEST:
+            if not len(hashes):
                 continue
             seeds = []
-            for number, mask in enumerate(MASKS):
+            masks = zip(MASKS, range(len(MASKS))) if len(hashes) >= SHORTEST else [_whole(len(hashes))]
+            for mask, number in masks:
                 seeds += [
                     {"seed": s, "place": i} for i, s in enumerate(_seeds(hashes, mask, number).view(np.int64).tolist())
                 ]
@@ -85,22 +93,26 @@ def benchmark_items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     return rows.groupBy("item_tokens").agg(F.min("item").alias("item"), F.first("seeds").alias("seeds"))
 
 
-def _filter(seeds: DataFrame) -> np.ndarray:
-    """A Bloom filter over all seeds; what reaches the driver has a fixed greatest size."""
+def _filter(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """(words, bits) of a Bloom filter over all seeds; what reaches the driver is bounded by FILTER_MOST bits."""
+    wanted = SEED_BITS * seeds.select("seed").distinct().count()
+    size = min(FILTER_MOST, max(FILTER_LEAST, 1 << wanted.bit_length()))
     value = F.col("seed")
-    bits = F.array(*[
-        F.pmod(F.shiftrightunsigned(value, 21 * i), F.lit(FILTER_BITS)) for i in range(FILTER_PROBES)
-    ])
+    bits = F.array(*[F.pmod(F.shiftrightunsigned(value, 21 * i), F.lit(size)) for i in range(FILTER_PROBES)])
     words = seeds.select(F.explode(bits).alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(bit % 32 AS INT))")).alias("bits")
     ).toPandas()
-    packed = np.zeros(FILTER_BITS // 32, np.uint32)
+    packed = np.zeros(size // 32, np.uint32)
     packed[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return packed
+    return packed, size
 
 
-def _candidates(docs: DataFrame, key: str, text: str, packed: np.ndarray) -> DataFrame:
-    """(key, doc_tokens, hits(seed, at)) of documents with a seed that the filter knows."""
+def _candidates(
+    docs: DataFrame, key: str, text: str, packed: np.ndarray, size: int, lengths: list[int]
+) -> DataFrame:
+    """(key, doc_tokens, hits(seed, at, whole)) of documents with a seed that the filter knows; lengths are those of
+    short items. A seed that holds a whole short item is told once a document, at its first place."""
+    masks = [(mask, number, False) for number, mask in enumerate(MASKS)] + [(*_whole(n), True) for n in lengths]
     kind = docs.select(key).schema[0].dataType.simpleString()
 
     def work(columns: list[list]) -> dict[str, list]:
@@ -117,27 +129,32 @@ def _candidates(docs: DataFrame, key: str, text: str, packed: np.ndarray) -> Dat
             hashes = _hashes(lists, known)
             first = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
             doc_of = np.repeat(np.arange(len(lists)), np.diff(first))
-            at, seeds = [], []
-            for number, mask in enumerate(MASKS):
+            at, seeds, wholes = [], [], []
+            for mask, number, whole in masks:
                 seed = _seeds(hashes, mask, number)
                 if not len(seed):
                     continue
                 hit = np.ones(len(seed), bool)
-                for probe in _probes(seed):
+                for probe in _probes(seed, size):
                     hit &= (packed[probe >> 5] >> (probe & 31).astype(np.uint32)) & 1 == 1
                 places = np.flatnonzero(hit)
                 places = places[doc_of[places] == doc_of[places + mask[-1]]]
+                if whole and len(places):
+                    owners = np.rec.fromarrays([doc_of[places], seed[places]])
+                    places = places[np.unique(owners, return_index=True)[1]]
                 at.append(places)
                 seeds.append(seed[places].view(np.int64))
-            at, seeds = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, seeds))
+                wholes.append(np.full(len(places), whole))
+            at, seeds, wholes = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, seeds, wholes))
             order = np.argsort(at, kind="stable")
-            at, seeds = at[order], seeds[order]
+            at, seeds, wholes = at[order], seeds[order], wholes[order].astype(bool)
             for d in np.unique(doc_of[at]).tolist():
                 a, b = np.searchsorted(at, [first[d], first[d + 1]])
                 out[key].append(keys[start + d])
-                out["doc_tokens"].append(hashes[first[d]:first[d + 1]].view(np.int64))
+                out["doc_tokens"].append(hashes[first[d]:first[d + 1]].view(np.int64) if not wholes[a:b].all() else [])
                 out["hits"].append([
-                    {"seed": s, "at": p} for s, p in zip(seeds[a:b].tolist(), (at[a:b] - first[d]).tolist())
+                    {"seed": s, "at": p, "whole": w}
+                    for s, p, w in zip(seeds[a:b].tolist(), (at[a:b] - first[d]).tolist(), wholes[a:b].tolist())
                 ])
             start = end
         return out
@@ -145,7 +162,7 @@ def _candidates(docs: DataFrame, key: str, text: str, packed: np.ndarray) -> Dat
     _state: dict = {}
     return map_text(
         docs, [F.col(key), F.col(text)], work,
-        f"`{key}` {kind}, doc_tokens array<bigint>, hits array<struct<seed:bigint,at:int>>",
+        f"`{key}` {kind}, doc_tokens array<bigint>, hits array<struct<seed:bigint,at:int,whole:boolean>>",
     )
 
 
@@ -185,12 +202,17 @@ def contaminated(
     """
     items = materialise(benchmark_items(benchmark, item_key, item_text), "items")
     seeds = materialise(items.select("item", F.inline("seeds")).distinct(), "seeds")
-    found = _candidates(docs, key, text, _filter(seeds))
+    sizes = items.select(F.size("item_tokens").alias("n")).filter(F.col("n") < SHORTEST).distinct().collect()
+    found = _candidates(docs, key, text, *_filter(seeds), sorted(r["n"] for r in sizes))
     found = materialise(found.withColumn("row", F.monotonically_increasing_id()), "candidates")
-    hits = found.select("row", F.inline("hits")).join(seeds, "seed").select(
-        "row", "item", (F.col("at") - F.col("place")).alias("shift")
-    ).distinct()
+    met = found.select("row", F.col(key).alias("_key"), F.inline("hits")).join(seeds, "seed")
+    hits = met.filter(~F.col("whole")).select("row", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
     hits = materialise(hits, "hits")
+    # The seed of a short item holds all its tokens: nothing is left to check.
+    short = met.filter("whole").join(items.select("item", F.size("item_tokens").alias("n")), "item").select(
+        "_key", "item", F.col("at").alias("doc_start"), F.lit(0).alias("item_start"), F.col("n").alias("n_tokens"),
+        F.col("n").alias("n_same"), F.lit(1.0).alias("share"),
+    )
     lined = hits.join(found.select("row", F.col(key).alias("_key"), "doc_tokens"), "row").join(
         items.select("item", "item_tokens"), "item"
     )
@@ -221,7 +243,7 @@ def contaminated(
     best = F.max(F.struct(
         "n_same", "share", (-F.col("doc_start")).alias("_d"), (-F.col("item_start")).alias("_i"), "n_tokens"
     )).alias("best")
-    return checked.groupBy("_key", "item").agg(best).select(
+    return checked.unionByName(short).groupBy("_key", "item").agg(best).select(
         F.col("_key").alias(key), F.col("item").alias(item_key), (-F.col("best._d")).alias("doc_start"),
         (-F.col("best._i")).alias("item_start"), "best.n_tokens", "best.n_same", "best.share",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,11 @@ from pyspark.sql import functions as F
 from weftwork.llm.tables import as_bytes, map_text
 
 #: Elements nested deeper than this become siblings, as in browsers; their text stays.
-DEPTH = 150
+DEPTH = 512
+#: The widest and tallest cell that HTML knows.
+COLUMNS, ROWS = 1000, 65534
+#: Python frames that the layout of the deepest tree takes.
+FRAMES = 20 * DEPTH
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -269,7 +274,7 @@ def _cells(one: Element, visible: bool) -> tuple[list[list[tuple]], list[str]]:
             for cell in child.children:
                 seen = shown(cell, own) if isinstance(cell, Element) else None
                 if isinstance(cell, Element) and cell.tag in ("td", "th") and seen is not None:
-                    row.append((_inner(cell, seen), _span(cell, "colspan"), _span(cell, "rowspan")))
+                    row.append((_inner(cell, seen), _span(cell, "colspan", COLUMNS), _span(cell, "rowspan", ROWS)))
                 elif isinstance(cell, str) or seen is not None:
                     loose.children = [cell]
                     outside += _inner(loose, own)
@@ -281,9 +286,9 @@ def _cells(one: Element, visible: bool) -> tuple[list[list[tuple]], list[str]]:
     return rows, outside
 
 
-def _span(cell: Element, name: str) -> int:
-    value = cell.attribute(name) or ""
-    return min(100, max(1, int(value))) if re.fullmatch(r"\d{1,6}", value) else 1
+def _span(cell: Element, name: str, most: int) -> int:
+    found = re.match(r"[ \t\r\n\f]*\+?(\d+)", cell.attribute(name) or "")
+    return min(most, max(1, int(found[1][:9]))) if found else 1
 
 
 def _table(one: Element, visible: bool) -> list[str]:
@@ -328,6 +333,8 @@ def visible_text(page: str | bytes | None) -> str:
     turns it on again) visibility: hidden in their own attributes, closed dialogs and details. Style
     sheets are not applied.
     """
+    if sys.getrecursionlimit() < FRAMES:
+        sys.setrecursionlimit(FRAMES)
     text = as_bytes(page).decode("utf-8", "replace").replace("\0", "")
     root = build_tree(text)
     visible = shown(root, True)

@@ -28,7 +28,7 @@ ROUNDS = 3
 #: Weight of the vocabulary's own order against the training text, in pieces.
 PRIOR = 1000.0
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_SLOT_BITS = 19
+_EMPTY = 0xCBF29CE484222325
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:
@@ -49,6 +49,7 @@ class Vocabulary:
     keys: np.ndarray
     piece_at: np.ndarray  # -2 empty, -1 only a prefix
     probes: int
+    slot_bits: int
 
     def with_scores(self, counts: np.ndarray, ends: float, prior: float = PRIOR) -> Vocabulary:
         """Scores from expected counts of pieces and bytes and the number of texts, mixed with the present ones."""
@@ -57,14 +58,12 @@ class Vocabulary:
         ends = ends + prior * math.exp(self.log_end)
         logs = np.log(mixed) - math.log(mixed.sum() + ends)
         n = len(self.pieces)
-        return Vocabulary(self.pieces, logs[:n], logs[n:], math.log(ends / (mixed.sum() + ends)), self.keys, self.piece_at, self.probes)
+        return Vocabulary(self.pieces, logs[:n], logs[n:], math.log(ends / (mixed.sum() + ends)), self.keys, self.piece_at, self.probes, self.slot_bits)
 
 
-def _key(text: str) -> int:
-    key = 0xCBF29CE484222325
-    for c in text:
-        key = ((key ^ ord(c)) * int(_PRIME)) & (2**64 - 1)
-    return key
+def _longer(key: int, c: str) -> int:
+    """The key of a prefix that goes on with c."""
+    return ((key ^ ord(c)) * int(_PRIME)) & (2**64 - 1)
 
 
 def load_vocabulary(path: str = VOCABULARY) -> Vocabulary:
@@ -83,23 +82,29 @@ def load_vocabulary(path: str = VOCABULARY) -> Vocabulary:
 def vocabulary(pieces: list[str]) -> Vocabulary:
     weight = 1.0 / np.arange(1, len(pieces) + 1)
     log_piece = np.log(0.98 * weight / weight.sum())
-    slots = 1 << _SLOT_BITS
-    keys, piece_at, probes = np.zeros(slots + 64, np.uint64), np.full(slots + 64, -2, np.int32), 1
-    place: dict[int, int] = {}
+    number_of: dict[int, int] = {}  # prefix to its piece, -1 if it is none
     for number, piece in enumerate(pieces):
-        for end in range(1, len(piece) + 1):
-            key = _key(piece[:end])
-            if key not in place:
-                slot = key >> (64 - _SLOT_BITS)
-                step = 0
-                while piece_at[slot + step] != -2:
-                    step += 1
-                probes = max(probes, step + 1)
-                keys[slot + step], piece_at[slot + step] = key, -1
-                place[key] = slot + step
-            if end == len(piece):
-                piece_at[place[key]] = number
-    return Vocabulary(pieces, log_piece, np.full(256, math.log(0.01 / 256)), math.log(0.01), keys, piece_at, probes)
+        key = _EMPTY
+        for c in piece:
+            key = _longer(key, c)
+            number_of.setdefault(key, -1)
+        if piece:
+            number_of[key] = number
+    # At least two slots a prefix; a prefix whose slot is taken goes on to the next free one, which
+    # may lie behind the last slot.
+    slot_bits = max(8, (2 * len(number_of)).bit_length())
+    taken: dict[int, int] = {}
+    probes = 1
+    for key in number_of:
+        home = slot = key >> (64 - slot_bits)
+        while slot in taken:
+            slot += 1
+        taken[slot] = key
+        probes = max(probes, slot - home + 1)
+    keys, piece_at = np.zeros((1 << slot_bits) + probes, np.uint64), np.full((1 << slot_bits) + probes, -2, np.int32)
+    for slot, key in taken.items():
+        keys[slot], piece_at[slot] = key, number_of[key]
+    return Vocabulary(pieces, log_piece, np.full(256, math.log(0.01 / 256)), math.log(0.01), keys, piece_at, probes, slot_bits)
 
 
 def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,14 +119,14 @@ def _matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _edges(v: Vocabulary, table: np.ndarray, lengths: np.ndarray, start: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(end, rows, pieces) of all pieces that begin at a position."""
     rows = np.arange(int(np.searchsorted(-lengths, -start, side="left")))
-    key = np.full(len(rows), 0xCBF29CE484222325, np.uint64)
+    key = np.full(len(rows), _EMPTY, np.uint64)
     for end in range(start + 1, table.shape[1] + 1):
         inside = lengths[rows] >= end
         rows = rows[inside]
         if not len(rows):
             return
         key = (key[inside] ^ table[rows, end - 1]) * _PRIME
-        slot = (key >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        slot = (key >> np.uint64(64 - v.slot_bits)).astype(np.int64)
         piece = np.full(len(rows), -2, np.int32)
         for step in range(v.probes):
             same = v.keys[slot + step] == key

@@ -30,12 +30,13 @@ def as_bytes(text: str | bytes | None) -> bytes:
 
 
 def map_text(
-    df: DataFrame, columns: list[Column], work: Callable[[list[list]], dict[str, list]], schema: str
+    df: DataFrame, columns: list[Column], work: Callable[[list[list]], dict[str, list]], schema: str,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Give work() the columns as lists, a bounded slice of rows at a time; it returns columns of schema.
 
-    The last of the columns is the text and comes as UTF-8 bytes. A slice ends after SLICE_ROWS rows or SLICE_BYTES of text, so
-    very long texts do not pile up in one worker.
+    The last of the columns is the text and comes as UTF-8 bytes. A slice ends after SLICE_ROWS rows or
+    slice_bytes of text, so very long texts do not pile up in one worker.
     """
     source = df.select(*columns[:-1], columns[-1].cast("string").cast("binary").alias("_text"))
     target = arrow_schema(df, schema)
@@ -46,7 +47,7 @@ def map_text(
             sizes = pa.compute.binary_length(batch.column(batch.num_columns - 1)).to_pylist()
             for i, size in enumerate(sizes):
                 held += size or 0
-                if held >= SLICE_BYTES or i + 1 - start >= SLICE_ROWS or i + 1 == len(sizes):
+                if held >= slice_bytes or i + 1 - start >= SLICE_ROWS or i + 1 == len(sizes):
                     part = batch.slice(start, i + 1 - start)
                     out = work([c.to_pylist() for c in part.columns])
                     yield pa.RecordBatch.from_pydict(out, schema=target)

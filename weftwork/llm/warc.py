@@ -1,4 +1,4 @@
-"""WARC archives: one gzip member per record, written by Spark's committers and read back record by record."""
+"""WARC archives: one gzip member per record, written by tasks, committed by renaming, read back record by record."""
 
 from __future__ import annotations
 
@@ -8,15 +8,17 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.session import materialise
 
 VERSION = b"WARC/1.1"
-#: Payload bytes of an archive on average, and bytes that are decompressed in one step.
+#: Stored bytes at which a task begins the next archive, and bytes that are decompressed in one step.
 ARCHIVE_BYTES, STEP = 32 << 20, 64 << 10
 #: Records carry one fixed date unless the caller gives one, so that archives are reproducible.
 DATE = "2024-01-01T00:00:00Z"
@@ -64,51 +66,89 @@ def member(data: bytes) -> bytes:
     return pack.compress(data) + pack.flush()
 
 
+def _open(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder, in a task as well as on the driver."""
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+
+
 def write_archives(
     pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html",
     least: int = 0, archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """Write a record per row of pages into archives below folder.
+    """Write a record per row of pages into archives below folder, a folder that every task can write to.
 
     Of rows with equal payloads of at least so many bytes that with the smallest key is the response
-    and the others revisit it; rows that repeat the smallest key are responses too, and so is a row
-    without a key. NULL html is an empty payload. Digests are compared first, so payloads are moved only
-    if the list of repeated digests does not fit into a broadcast.
+    and the others revisit it; of rows that repeat the smallest key one is the response. Rows without a
+    key are responses. NULL html is an empty payload; further columns are not read; a payload of any
+    length is one record, and a task begins the next archive once one holds archive_bytes. An empty
+    table writes no archive. Digests are compared first, so payloads are moved only if the list of
+    repeated digests does not fit into a broadcast.
+
+    Every attempt of a task writes files of its own below _temporary; what successful tasks report is
+    then renamed, so lost or repeated tasks leave no archive behind.
     """
     spark = pages.sparkSession
     body = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
-    sha = F.sha1(body)
-    sizes = pages.select(F.col(key).cast("long").alias("page"), sha.alias("sha"), F.length(body).cast("long").alias("size"))
-    firsts = sizes.groupBy("sha").agg(
-        F.min("page").alias("first"), F.max("size").alias("size"), F.count("*").alias("n"), F.sum("size").alias("bytes")
-    )
-    firsts = materialise(firsts, "digests")
-    rows, total = firsts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-    shared = materialise(
-        firsts.filter((F.col("n") > 1) & (F.col("size") >= least)).select(F.col("sha").alias("_sha"), "first"), "shared_digests"
-    )
-    found = pages.select(F.col(key).cast("long").alias("page"), F.col(url).cast("string").alias("url"), body.alias("body"), sha.alias("sha"))
-    found = found.join(shared, F.col("sha") == F.col("_sha"), "left").select(
+    named = pages.select(F.col(key).cast("long").alias("page"), F.col(url).cast("string").alias("url"), body.alias("body"))
+    sizes = named.select("page", F.sha1("body").alias("sha"), F.length("body").cast("long").alias("size"))
+    per_page = sizes.groupBy("sha", "page").agg(F.max("size").alias("size"), F.count("*").alias("n"))
+    firsts = per_page.groupBy("sha").agg(
+        F.min_by("page", F.coalesce("page", F.lit(2**63 - 1))).alias("first"), F.max("size").alias("size"), F.sum("n").alias("n"),
+        F.min_by("n", F.coalesce("page", F.lit(2**63 - 1))).alias("n_first"),
+    ).filter((F.col("n") > 1) & (F.col("size") >= least) & F.col("first").isNotNull())
+    shared = materialise(firsts.select(F.col("sha").alias("_sha"), "first", "n_first"), "shared_digests")
+    found = named.withColumn("sha", F.sha1("body")).join(shared, F.col("sha") == F.col("_sha"), "left")
+    own = F.col("first") == F.col("page")
+    again = own & (F.col("n_first") > 1)
+    records = found.filter(~F.coalesce(again, F.lit(False))).select(
         "page", "url", F.when(F.col("first") < F.col("page"), F.col("first")).alias("refers_to"), "body"
     )
+    if not shared.filter("n_first > 1").isEmpty():
+        # Rows that repeat a response's key: equal ones are counted, the first by address is the response.
+        equal = found.filter(again).groupBy("page", "url", "sha").agg(F.count("*").alias("n"), F.first("body").alias("body"))
+        equal = materialise(equal, "repeated")
+        lead = equal.groupBy("page", "sha").agg(F.min(F.struct(F.col("url").isNotNull().alias("named"), "url")).alias("lead"))
+        equal = equal.join(lead, ["page", "sha"]).withColumn(
+            "is_lead", F.col("url").eqNullSafe(F.col("lead.url"))
+        )
+        revisits = equal.withColumn("n", F.col("n") - F.col("is_lead").cast("int")).filter("n > 0").select(
+            "page", "url", F.col("page").alias("refers_to"), "body", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_i")
+        ).drop("_i")
+        responses = equal.filter("is_lead").select("page", "url", F.lit(None).cast("long").alias("refers_to"), "body")
+        records = records.unionByName(responses).unionByName(revisits)
+    files, path = _open(folder)
+    files.create_dir(f"{path}/_temporary", recursive=True)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, path = _open(folder)
+        attempt, names, out = uuid.uuid4().hex, [], None
         for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                part = [c.to_pylist() for c in batch.slice(start, 100).columns]
-                members = [_without_last_zero(member(record(p, u, b, r))) for p, u, r, b in zip(*part)]
-                yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["value"])
-
-    members = found.mapInArrow(pack, "value binary").select(F.col("value").cast("string").alias("value"))
-    per_file = max(1, int(archive_bytes * max(1, rows) / max(1, total)))
-    # Spark's text writer puts bytes as they are, followed by the separator: one zero byte.
-    members.write.option("lineSep", "\0").option("maxRecordsPerFile", per_file).text(folder)
-
+            for row in zip(*(batch.column(c) for c in ("page", "url", "body", "refers_to"))):
+                if out is None or out.tell() >= archive_bytes:
+                    if out is not None:
+                        out.close()
+                    names.append(f"{attempt}-{len(names):05}.warc.gz")
+                    out = files.open_output_stream(f"{path}/_temporary/{names[-1]}", compression=None)
+                out.write(member(record(*(value.as_py() for value in row))))
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
+
+    written = materialise(records.select("page", "url", "body", "refers_to").mapInArrow(pack, "name string"), "archive_names")
+
+    def commit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, path = _open(folder)
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                # A repeated task finds that its file has already been moved.
+                if files.get_file_info(f"{path}/_temporary/{name}").type != fs.FileType.NotFound:
+                    files.move(f"{path}/_temporary/{name}", f"{path}/part-{name}")
+            yield batch
 
-def _without_last_zero(data: bytes) -> bytes:
-    """A member ends with its length, the high byte last: zero below 16 MiB, and then left to the
-    separator. A longer one keeps it and is followed by a zero, which gzip readers skip as padding."""
-    return data[:-1] if data.endswith(b"\0") else data
+    written.mapInArrow(commit, "name string").write.format("noop").mode("overwrite").save()
+    files.delete_dir(f"{path}/_temporary")
 
 
 # ---------------------------------------------------------------- reading
@@ -206,9 +246,10 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
     """(record_id, record_type, url, date, refers_to, payload_digest, payload_bytes, payload) of all records
     of all archives below folder, each archive read from front to back by one task.
 
-    Memory holds an archive as stored, a step of decompressed data and one record. payload and its
+    Memory holds a step of stored and of decompressed data and one record. payload and its
     length are NULL for revisits, payload also without with_payload. A broken record raises WarcError.
     """
+    # Only names and lengths are listed; the task opens the file itself.
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(folder)
     schema = pa.schema([
         ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("date", pa.string()),
@@ -219,9 +260,9 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
         rows: list[dict] = []
         held = 0
         for batch in batches:
-            for stored in batch.column(0):
-                view = memoryview(stored.as_buffer())
-                for one in members(bytes(view[i:i + STEP]) for i in range(0, len(view), STEP)):
+            for name in batch.column(0).to_pylist():
+                files, path = _open(name)
+                for one in members(iter(partial(files.open_input_stream(path, compression=None).read, STEP), b"")):
                     fields, block = parse(one)
                     body = payload_of(fields, block)
                     rows.append({
@@ -238,7 +279,7 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return files.select("content").mapInArrow(
+    return files.select("path").mapInArrow(
         unpack,
         "record_id string, record_type string, url string, date string, refers_to string, payload_digest string, "
         "payload_bytes long, payload binary",
