@@ -77,13 +77,22 @@ def build_tree(page: str) -> Element:
     stack, place = [root], 0
     last = page.rfind(">") + 1  # no tag ends behind it
 
+    places: dict[str, list[int]] = {}  # where on the stack the elements of a tag stand; may lag behind it
+
+    def top(tags: tuple[str, ...]) -> int:
+        """The highest place on the stack of an element with one of the tags, 0 without."""
+        best = 0
+        for tag in tags:
+            held = places.get(tag, [])
+            while held and (held[-1] >= len(stack) or stack[held[-1]].tag != tag):
+                held.pop()
+            best = max(best, held[-1] if held else 0)
+        return best
+
     def close(tags: tuple[str, ...], barrier: tuple[str, ...]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in barrier:
-                return
+        found = top(tags)
+        if found and found >= top(barrier):
+            del stack[found:]
 
     def add(text: str) -> None:
         if text:
@@ -93,6 +102,7 @@ def build_tree(page: str) -> Element:
         one = Element(tag, attributes)
         stack[-1].children.append(one)
         if tag not in VOID and len(stack) < DEPTH:
+            places.setdefault(tag, []).append(len(stack))
             stack.append(one)
         return one
 
@@ -163,10 +173,10 @@ def shown(one: Element, visible: bool) -> bool | None:
 
 
 class Layout:
-    """Lines of text; gap is the number of empty lines wanted before the next one."""
+    """Lines as (indentation, text); gap is the number of empty lines wanted before the next one."""
 
     def __init__(self):
-        self.lines: list[str] = []
+        self.lines: list[tuple[int, str]] = []
         self.line, self.gap = "", 0
 
     def text(self, text: str, keep_space: bool) -> None:
@@ -185,12 +195,12 @@ class Layout:
     def flush(self, always: bool = False) -> None:
         line, self.line = self.line.rstrip(), ""
         if line or always:
-            self.put([line])
+            self.put([(0, line)])
 
-    def put(self, lines: list[str]) -> None:
+    def put(self, lines: list[tuple[int, str]]) -> None:
         if lines:
             if self.lines:
-                self.lines += [""] * self.gap
+                self.lines += [(0, "")] * self.gap
             self.lines += lines
             self.gap = 0
 
@@ -221,22 +231,26 @@ def lay_out(one: Element, page: Layout, visible: bool = True, keep_space: bool =
         if tag in ("ul", "ol", "menu", "dir"):
             _list(child, page, own)
         elif tag == "table":
-            page.put(_table(child, own))
+            page.put([(0, line) for line in _table(child, own)])
         elif tag in ("blockquote", "dd"):
-            page.put(["  " + line if line else "" for line in _inner(child, own)])
+            page.put([(indent + 2, line) for indent, line in _inner(child, own)])
         else:
             lay_out(child, page, own, keep_space or tag in ("pre", "textarea", "xmp"))
         if tag in BLOCKS:
             page.block(gap)
 
 
-def _inner(one: Element, visible: bool) -> list[str]:
+def _inner(one: Element, visible: bool) -> list[tuple[int, str]]:
     page = Layout()
     lay_out(one, page, visible)
     page.flush()
     return page.lines
 
 
+def _written(lines: list[tuple[int, str]]) -> list[str]:
+    return [" " * indent + line if line else "" for indent, line in lines]
+
+
 def _list(one: Element, page: Layout, visible: bool) -> None:
     """Items with "- " or their number; what follows in an item stands below its first word."""
     start = one.attribute("start") or ""
@@ -253,7 +267,7 @@ def _list(one: Element, page: Layout, visible: bool) -> None:
             number += 1
             lines = _inner(child, own)
             if lines:
-                page.put([mark + lines[0], *[" " * len(mark) + line if line else "" for line in lines[1:]]])
+                page.put([(0, mark + _written(lines[:1])[0]), *[(indent + len(mark), line) for indent, line in lines[1:]]])
         else:  # a list may hold other things than items
             rest.children = [child]
             page.put(_inner(rest, visible))
@@ -268,16 +282,16 @@ def _cells(one: Element, visible: bool) -> tuple[list[list[tuple]], list[str]]:
             continue
         if isinstance(child, str) or child.tag not in ("tr", "td", "th", "tbody", "thead", "tfoot"):
             loose.children = [child]
-            outside += _inner(loose, visible)
+            outside += _written(_inner(loose, visible))
         elif child.tag == "tr":
             row = []
             for cell in child.children:
                 seen = shown(cell, own) if isinstance(cell, Element) else None
                 if isinstance(cell, Element) and cell.tag in ("td", "th") and seen is not None:
-                    row.append((_inner(cell, seen), _span(cell, "colspan", COLUMNS), _span(cell, "rowspan", ROWS)))
+                    row.append((_written(_inner(cell, seen)), _span(cell, "colspan", COLUMNS), _span(cell, "rowspan", ROWS)))
                 elif isinstance(cell, str) or seen is not None:
                     loose.children = [cell]
-                    outside += _inner(loose, own)
+                    outside += _written(_inner(loose, own))
             rows.append(row)
         else:
             more, other = _cells(child, own)
@@ -338,7 +352,7 @@ def visible_text(page: str | bytes | None) -> str:
     text = as_bytes(page).decode("utf-8", "replace").replace("\0", "")
     root = build_tree(text)
     visible = shown(root, True)
-    return "" if visible is None else "\n".join(_inner(root, visible)).strip("\n").replace("\u00a0", " ")
+    return "" if visible is None else "\n".join(_written(_inner(root, visible))).strip("\n").replace("\u00a0", " ")
 
 
 def extract_text(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
