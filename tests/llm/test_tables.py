@@ -210,3 +210,25 @@ def test_secret_odd_rows(spark):
     one = spark.createDataFrame([(50, 9, 0), (50, 9, None)], "doc_id long, start int, secret int")
     assert {(r["probability"], r["is_secret"]) for r in secrets.judged(found, one).collect()} == {(0.0, 0)}
     assert secrets.judged(secrets.find_candidates(odd.empty(spark)), one).collect() == []
+
+
+def test_short_and_letter_only_secrets_are_candidates(spark):
+    rows = [
+        (1, "password: hunter2 and more"), (2, "API_KEY='abcd'"), (3, "see correcthorsebatterystaple there"), (4, 'Token = "x1"'),
+        (5, "passwordless: nothing"), (6, "pwd=p@ss!word;next"), (7, None), (8, "secret=" + "z" * 100_000), (9, "deadbeefdeadbee"),
+    ]
+    found = secrets.find_candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["start"], r["candidate"][:40]) for r in sorted(found, key=lambda r: r["doc_id"])] == [
+        (1, 10, "hunter2"), (2, 9, "abcd"), (3, 4, "correcthorsebatterystaple"), (6, 4, "p@ss!word"), (8, 7, "z" * 40),
+    ]
+
+
+def test_findings_with_clashing_columns(spark):
+    docs = findings_of(spark, 60)
+    found = secrets.find_candidates(docs, path="path")
+    labels = found.join(docs.select("doc_id", "secret"), "doc_id").select("doc_id", "start", "secret")
+    clash = found.select("*", F.lit(9).alias("probability"), F.lit("v").alias("_votes"), F.lit("c").alias("class"), F.lit(3).alias("label"))
+    rows = secrets.judged(clash, labels)
+    assert [c for c in rows.columns if c in ("_votes", "class", "label")] == ["_votes", "class", "label"]
+    assert {r["_votes"] for r in rows.collect()} == {"v"} and all(0 <= r["probability"] <= 1 for r in rows.collect())
+    assert secrets.judged(clash.limit(0), labels).collect() == []

@@ -16,8 +16,9 @@ from weftwork.session import materialise
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Labelled findings that the forest is grown on at most, its trees and their depth.
 SAMPLE, TREES, DEPTH, SEED = 20_000, 40, 6, 7
-#: A candidate is a run of at least so many token characters with a digit in it.
-SHORTEST = 16
+#: A candidate is a run of at least so many token characters, or a value of at least so many characters
+#: that is assigned to a secret's name.
+SHORTEST, ASSIGNED = 16, 4
 #: Words beside a candidate that are looked at, on each side, and characters in which they are sought.
 BESIDE, REACH = 3, 120
 
@@ -36,7 +37,11 @@ FEATURES = (
     "examples_after", "others_after", "words_before", "path_depth", *(f"path_{p}" for p in PATHS),
 )
 
-_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/=_-]*[0-9])[A-Za-z0-9+/_-][A-Za-z0-9+/=_-]{{{SHORTEST - 1},}}")
+_ASSIGNMENT = rf"(?<![A-Za-z0-9])(?i:{'|'.join(sorted(NAMES, key=len, reverse=True))})[\"']?\s{{0,9}}[=:]\s{{0,9}}[\"']?"
+_CANDIDATE = re.compile(
+    rf"{_ASSIGNMENT}(?P<value>[^\s\"'`<>,;]{{{ASSIGNED},}})"
+    rf"|(?<![A-Za-z0-9+/=_-])(?P<run>[A-Za-z0-9+/_-][A-Za-z0-9+/=_-]{{{SHORTEST - 1},}})"
+)
 _WORD = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
 _LETTERS = re.compile(r"[a-z]+")
 _HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
@@ -115,7 +120,9 @@ def find_candidates(
 ) -> DataFrame:
     """(key, start, candidate, before, after, features): all candidates of all texts with what stands beside them.
 
-    start counts characters from 0. NULL and empty texts have none; a NULL path is empty.
+    start counts characters from 0. NULL and empty texts have none; a NULL path is empty; very long texts are
+    searched whole. Repeated rows give their findings each; further columns are not read; an empty table gives
+    no rows.
     """
     kind = docs.select(key).schema[0].dataType.simpleString()
     words = load_dictionary(vocabulary)
@@ -126,8 +133,10 @@ def find_candidates(
         for row, place, body in zip(*columns):
             body = as_bytes(body).decode("utf-8", "replace")
             for found in _CANDIDATE.finditer(body):
-                before, after = body[max(0, found.start() - REACH):found.start()], body[found.end():found.end() + REACH]
-                for name, value in zip(out, (row, found.start(), found[0], before, after, describe(found[0], before, after, place, words))):
+                group = found.lastgroup
+                candidate, start, end = found[group], found.start(group), found.end(group)
+                before, after = body[max(0, start - REACH):start], body[end:end + REACH]
+                for name, value in zip(out, (row, start, candidate, before, after, describe(candidate, before, after, place, words))):
                     out[name].append(value)
         return out
 
@@ -142,8 +151,11 @@ def judged(findings: DataFrame, labels: DataFrame, key: str = "doc_id", sample:
 
     labels(key, start, secret 0/1) name findings; contradicting and NULL labels are not learned from. At
     most sample labelled findings are used, those with the smallest hash. If all labels agree every
-    finding gets that label, without labels all are kept as secrets with probability NULL.
+    finding gets that label, without labels all are kept as secrets with probability NULL. Findings that
+    repeat a place are judged each; NULL keys are not learned from but judged. Columns of findings named
+    probability or is_secret are replaced, all others kept; an empty table gives no rows.
     """
+    findings = findings.drop("probability", "is_secret")
     agreed = labels.filter(F.col("secret").isNotNull()).groupBy(key, "start").agg(
         F.min("secret").alias("secret"), F.max("secret").alias("_other")
     ).filter(F.col("secret") == F.col("_other")).drop("_other")
@@ -160,11 +172,10 @@ def judged(findings: DataFrame, labels: DataFrame, key: str = "doc_id", sample:
         found = findings.withColumn("probability", probability)
     else:
         forest = RandomForestClassifier(
-            numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label", probabilityCol="_votes",
-            rawPredictionCol="_raw", predictionCol="_class",
+            numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label", probabilityCol="votes",
+            rawPredictionCol="raw", predictionCol="class",
         ).fit(chosen)
-        scored = forest.transform(findings.withColumn("_list", F.col("features")).withColumn("features", array_to_vector("features")))
-        found = scored.withColumn("probability", vector_to_array("_votes")[1]).withColumn("features", F.col("_list")).drop(
-            "_votes", "_raw", "_class", "_list"
-        )
+        # All columns of findings travel as one, so that none clashes with those of the forest.
+        scored = forest.transform(findings.select(F.struct("*").alias("finding"), array_to_vector("features").alias("features")))
+        found = scored.select("finding.*", vector_to_array("votes")[1].alias("probability"))
     return found.withColumn("is_secret", F.when(F.coalesce("probability", F.lit(1.0)) >= accept, 1).otherwise(0))
