@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from weftwork.functions import text as T
 from weftwork.operators import classify as N
 from weftwork.operators import cluster as C
 from weftwork.operators import embeddings as E
+from weftwork.operators import maps as M
 from weftwork.operators import tfidf as W
 from weftwork.operators import vectors as X
 from weftwork.plans import snippets as Q
@@ -86,6 +89,94 @@ def term_coordinates(spark, folder):
     return rounded(X.term_coordinates(term_pairs(spark, folder), ["lang"]), "x", "y")
 
 
+MAP_TERMS, MAP_LANDMARKS, MAP_NEIGHBOURS, MAP_PERPLEXITY = 300, 12, 30, 10
+MAP_SQL = f"""WITH RECURSIVE {matrix_sql('corpus', MAP_TERMS, 2, '', POOLED)},
+    m AS (SELECT term, row_number() OVER (ORDER BY sum(weight) DESC, term) - 1 AS place FROM w GROUP BY term),
+    nn AS (SELECT term, sqrt(sum(weight * weight)) AS n FROM w GROUP BY term),
+    dots AS (SELECT a.term AS l, b.term AS r, sum(a.weight * b.weight) AS p FROM w a JOIN w b ON a.doc_id = b.doc_id GROUP BY ALL),
+    cosines AS (SELECT l, r, least(1.0, p / (a.n * b.n)) AS c FROM dots JOIN nn a ON a.term = l JOIN nn b ON b.term = r)"""
+
+
+def map_matrix(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Weights of the pooled terms, and all of them by falling mean."""
+    weighted = pooled_matrix(spark, folder, max_terms=MAP_TERMS, min_doc_freq=2)
+    weighted.weights = materialise(weighted.weights, "weights")
+    best = W.mean_scores(weighted, ["corpus"]).orderBy(F.col("score").desc(), "term").select("term")
+    return weighted.weights, [r["term"] for r in best.collect()]
+
+
+# Landmarks stand on a circle; every term starts between them and takes one majorisation step.
+@QUERIES.add("H4_mds_step", f"""{MAP_SQL},
+    marks AS (SELECT term AS mark, cos(2 * pi() * place / {MAP_LANDMARKS}) AS mx, sin(2 * pi() * place / {MAP_LANDMARKS}) AS my
+              FROM m WHERE place < {MAP_LANDMARKS}),
+    wanted AS (SELECT term, mark, mx, my, 1 - coalesce(c, 0) AS delta FROM m CROSS JOIN marks LEFT JOIN cosines ON l = term AND r = mark),
+    start AS (SELECT term, sum(mx / (delta + 0.05)) / sum(1 / (delta + 0.05)) AS x, sum(my / (delta + 0.05)) / sum(1 / (delta + 0.05)) AS y
+              FROM wanted GROUP BY term),
+    gaps AS (SELECT *, sqrt((x - mx) * (x - mx) + (y - my) * (y - my)) AS d FROM wanted JOIN start USING (term)),
+    step AS (SELECT term, avg(mx + CASE WHEN d > 1e-12 THEN delta / d * (x - mx) ELSE 0 END) AS x,
+                    avg(my + CASE WHEN d > 1e-12 THEN delta / d * (y - my) ELSE 0 END) AS y FROM gaps GROUP BY term),
+    after AS (SELECT term, any_value(s.x) AS x, any_value(s.y) AS y, sum(pow(sqrt((s.x - mx) * (s.x - mx) + (s.y - my) * (s.y - my)) - delta, 2)) AS stress
+              FROM wanted JOIN step s USING (term) GROUP BY term)
+    SELECT term, round(x, 6) AS x, round(y, 6) AS y, round(stress, 6) AS stress FROM after
+""")
+def mds_step(spark, folder):
+    weights, terms = map_matrix(spark, folder)
+    marks = terms[:MAP_LANDMARKS]
+    turn = 2 * math.pi / MAP_LANDMARKS
+    spots = {name: (math.cos(turn * i), math.sin(turn * i)) for i, name in enumerate(marks)}
+    distances = materialise(M.landmark_distances(weights, marks, "term", "doc_id", "weight"), "landmark-distances")
+    return rounded(M.place_points(distances, spots, "term", rounds=1), "x", "y", "stress")
+
+
+@QUERIES.add("H4_mds_map")
+def mds_map(spark, folder):
+    weights, terms = map_matrix(spark, folder)
+    return rounded(M.stress_map(weights, terms[:MAP_LANDMARKS * 5], "term", "doc_id", "weight"), "x", "y", "stress")
+
+
+def map_neighbours(spark, folder) -> DataFrame:
+    weights, terms = map_matrix(spark, folder)
+    scores = weights.groupBy("term").agg(F.sum("weight").alias("score"))
+    pairs = X.term_similarities(weights, scores, [], "doc_id", len(terms))
+    return M.nearest_table(pairs.withColumn("distance", F.round("distance", 9)), MAP_NEIGHBOURS)
+
+
+# The width of every term's neighbourhood by bisection, step by step.
+@QUERIES.add("H4_tsne_calibration", f"""{MAP_SQL},
+    far AS (SELECT a.term AS item, b.term AS other, round(1 - coalesce(c, 0), 9) AS d FROM m a JOIN m b ON a.term <> b.term
+            LEFT JOIN cosines ON l = a.term AND r = b.term),
+    near AS (SELECT * FROM far QUALIFY row_number() OVER (PARTITION BY item ORDER BY d, other) <= {MAP_NEIGHBOURS}),
+    sq AS MATERIALIZED (SELECT item, d * d - min(d * d) OVER (PARTITION BY item) AS s FROM near),
+    bis AS (
+        SELECT DISTINCT item, 0.0::DOUBLE AS low, pow(2, 40)::DOUBLE AS high, 0 AS step FROM sq
+        UNION ALL
+        SELECT item, CASE WHEN entropy > ln({MAP_PERPLEXITY}) THEN (low + high) / 2 ELSE low END,
+               CASE WHEN entropy > ln({MAP_PERPLEXITY}) THEN high ELSE (low + high) / 2 END, step + 1
+        FROM (SELECT item, low, high, step, ln(sum(exp(-(low + high) / 2 * s)))
+                     + (low + high) / 2 * sum(exp(-(low + high) / 2 * s) * s) / sum(exp(-(low + high) / 2 * s)) AS entropy
+              FROM bis JOIN sq USING (item) WHERE step < {M.BISECTIONS} GROUP BY item, low, high, step)
+    ),
+    widths AS (SELECT item, (low + high) / 2 AS beta FROM bis WHERE step = {M.BISECTIONS}),
+    shares AS (SELECT item, beta, exp(-beta * s) / sum(exp(-beta * s)) OVER (PARTITION BY item) AS p FROM sq JOIN widths USING (item))
+    SELECT item, count(*) AS neighbours, round(any_value(beta), 3) AS beta,
+           round(exp(-sum(CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END)), 4) AS perplexity FROM shares GROUP BY item
+""")
+def tsne_calibration(spark, folder):
+    shares = M.calibrated(map_neighbours(spark, folder), MAP_PERPLEXITY)
+    entropy = -F.sum(F.when(F.col("p") > 0, F.col("p") * F.log("p")).otherwise(0.0))
+    return shares.groupBy("item").agg(
+        F.count("*").alias("neighbours"), F.round(F.first("beta"), 3).alias("beta"), F.round(F.exp(entropy), 4).alias("perplexity")
+    )
+
+
+@QUERIES.add("H4_tsne_map")
+def tsne_map(spark, folder):
+    edges = M.affinities(M.calibrated(map_neighbours(spark, folder), MAP_PERPLEXITY))
+    start = M.scattered(edges.select("item").distinct())
+    found = M.neighbour_map(edges, start, M.Schedule(rounds=24, early=8))
+    return rounded(found, "x", "y").withColumnRenamed("item", "term")
+
+
 @QUERIES.add("H5_highlight_top", f"""{MEANS},
     r AS (SELECT lang, term, row_number() OVER (PARTITION BY lang ORDER BY score DESC, term) AS rn, dense_rank() OVER (ORDER BY lang) - 1 AS colour FROM m)
     SELECT lang, term, rn <= 5 AS highlighted, colour FROM r
