@@ -327,3 +327,61 @@ def test_lists_hold_pairs_without_a_common_neighbour(spark, metric, ascending):
             want = sorted(all_pairs_by_brute_force(links, metric), key=lambda r: (r[2] if up else -r[2], r[0], r[1]))[:n]
             assert [r["similarity"] for r in got] == pytest.approx([w[2] for w in want], abs=1e-9)
             assert [(r["user1"], r["user2"]) for r in got] == [w[:2] for w in want]
+
+
+# The friendships of a karate club (Zachary 1977).
+KARATE = """1-2 1-3 1-4 1-5 1-6 1-7 1-8 1-9 1-11 1-12 1-13 1-14 1-18 1-20 1-22 1-32 2-3 2-4 2-8 2-14 2-18 2-20 2-22 2-31 3-4 3-8 3-9
+3-10 3-14 3-28 3-29 3-33 4-8 4-13 4-14 5-7 5-11 6-7 6-11 6-17 7-17 9-31 9-33 9-34 10-34 14-34 15-33 15-34 16-33 16-34 19-33
+19-34 20-34 21-33 21-34 23-33 23-34 24-26 24-28 24-30 24-33 24-34 25-26 25-28 25-32 26-32 27-30 27-34 28-34 29-32 29-34
+30-33 30-34 31-33 31-34 32-33 32-34 33-34"""
+
+
+def quality_of(edges, of, resolution):
+    m, strength, inside = len(edges), {}, 0
+    for a, b in edges:
+        inside += of[a] == of[b]
+        for v in (a, b):
+            strength[of[v]] = strength.get(of[v], 0) + 1
+    return inside / m - resolution * sum(s * s for s in strength.values()) / (4 * m * m)
+
+
+def test_moved_vertices_raise_the_quality_of_the_club(spark):
+    edges = [tuple(map(int, e.split("-"))) for e in KARATE.split()]
+    table = spark.createDataFrame(edges, "src long, dst long")
+    vertices = spark.createDataFrame([(i,) for i in range(1, 35)] + [(99,)], "id long")
+    before = {r["id"]: r["community"] for r in M.communities(vertices, table, 0.8).collect()}
+    after = {r["id"]: r["community"] for r in M.moved_communities(vertices, table, 0.8).collect()}
+    assert set(after) == {*range(1, 35), 99} and sorted(set(after.values())) == list(range(len(set(after.values()))))
+    assert quality_of(edges, after, 0.8) >= quality_of(edges, before, 0.8) - 1e-9
+    # No vertex gains by moving to the community of a neighbour.
+    best = quality_of(edges, after, 0.8)
+    for v in range(1, 35):
+        for target in {after[b if a == v else a] for a, b in edges if v in (a, b)}:
+            assert quality_of(edges, {**after, v: target}, 0.8) <= best + 1e-9
+
+
+def test_a_moving_round_raises_the_quality(spark):
+    draw = random.Random(9)
+    rows = sorted({(a, b) for a, b in ((draw.randrange(60), draw.randrange(60)) for _ in range(220)) if a != b} | {(0, i) for i in range(1, 50)})
+    edges, strengths, total = M.start_tables(spark.createDataFrame(rows, "src long, dst long"))
+    of = {v: draw.randrange(6) for v in range(60)}
+    rounds = 0
+    for salt in range(4):
+        member = spark.createDataFrame(list(of.items()), "id long, community long")
+        places = materialise(M.better_places(edges, strengths, member, total))
+        for r in places.orderBy("id", "to").limit(40).collect():  # a single move is worth what it says
+            gain = quality_of(rows, {**of, r["id"]: r["to"]}, 1.0) - quality_of(rows, of, 1.0)
+            assert gain * len(rows) == pytest.approx(r["gain"], abs=1e-6)
+        moves = {r["id"]: r["to"] for r in M.moving_round(places, total, 1.0, salt).collect()}
+        assert not set(moves.values()) & {of[v] for v in moves}
+        if moves:
+            rounds += 1
+            assert quality_of(rows, {**of, **moves}, 1.0) > quality_of(rows, of, 1.0)
+        of.update(moves)
+    assert rounds >= 2
+
+
+def test_disconnected_communities_are_taken_apart(spark):
+    edges, _, _ = M.start_tables(spark.createDataFrame([(1, 2), (2, 3), (4, 5), (3, 4)], "src long, dst long"))
+    member = spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, 7), (5, 7), (6, 7)], "id long, community long")
+    assert dict(M.connected_parts(edges, member).collect()) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6}

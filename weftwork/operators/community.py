@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftwork.operators.graph import connected_components
 from weftwork.operators.ranking import position, running_total
 from weftwork.session import materialise
 
@@ -96,6 +97,15 @@ def communities(vertices: DataFrame, edges: DataFrame, resolution: float = 1.0)
     Communities merge (see merge_round) until no merge raises the quality. Names are resolved from the last round back to the first.
     """
     level, strengths, total = start_tables(edges)
+    names = merges_until_still(level, strengths, total, resolution)
+    return numbered(materialise(
+        vertices.select("id").join(names, "id", "left").select("id", F.coalesce("to", "id").alias("community")), "members"
+    ))
+
+
+def merges_until_still(level: DataFrame, strengths: DataFrame, total: float, resolution: float) -> DataFrame:
+    """(id, to): where each community that merged ended, after rounds of merges until none raises the quality."""
+    names = strengths.select("id", F.col("id").alias("to")).limit(0)
     rounds: list[DataFrame] = []
     while total:
         merges = materialise(merge_round(level, strengths, total, resolution), "merges")
@@ -114,18 +124,135 @@ def communities(vertices: DataFrame, edges: DataFrame, resolution: float = 1.0)
             strengths.join(merges, "id", "left").groupBy(F.coalesce("to", "id").alias("id")).agg(F.sum("k").alias("k")), "strengths"
         )
         level, strengths = shorter, fewer
-    names = vertices.select("id", F.col("id").alias("to")).limit(0)
     while rounds:
         merges = rounds.pop()
         later = names.select(F.col("id").alias("to"), F.col("to").alias("_last"))
         names = materialise(
             merges.join(later, "to", "left").select("id", F.coalesce("_last", "to").alias("to")).unionByName(names), "names"
         )
-    member = materialise(
-        vertices.select("id").join(names, "id", "left").select("id", F.coalesce("to", "id").alias("community")), "members"
-    )
+    return names
+
+
+def numbered(member: DataFrame) -> DataFrame:
+    """(id, community) with communities numbered from 0, the largest first, then by their smallest vertex."""
     sizes = member.groupBy("community").agg(F.count("*").alias("_n"), F.min("id").alias("_first"))
     numbers = materialise(position(sizes, [], [F.col("_n").desc(), F.col("_first").asc()], "_number"), "numbers")
     return member.join(numbers.select("community", "_number"), "community").select(
         "id", F.col("_number").alias("community")
     )
+
+
+# ---------------------------------------------------------------- vertices that move
+
+def _coin(name, salt: int):
+    """Whether a community may receive vertices in a round; the others may lose some."""
+    digit = F.substring(F.md5(F.concat_ws("|", F.lit(str(salt)), name.cast("string")).cast("binary")), 1, 1)
+    return digit >= "8"
+
+
+def better_places(edges: DataFrame, strengths: DataFrame, member: DataFrame, total: float, resolution: float = 1.0) -> DataFrame:
+    """(id, from, to, gain, ...): every move of a vertex to a neighbour's community that raises the quality.
+
+    gain, times total, is w_to - w_from - resolution * k * (s_to - (s_from - k)) / (2 total), to 9 decimals: w are
+    the vertex's links into both communities without itself, s their strengths, k its own.
+    """
+    both = edges.filter(F.col("a") != F.col("b")).select(F.explode(F.array(
+        F.struct(F.col("a").alias("id"), F.col("b").alias("other"), "w"), F.struct(F.col("b").alias("id"), F.col("a").alias("other"), "w")
+    )).alias("_e")).select("_e.*")
+    named = member.select(F.col("id").alias("other"), F.col("community").alias("to"))
+    links = materialise(both.join(named, "other").groupBy("id", "to").agg(F.sum("w").alias("w")), "community-links")
+    own = member.select("id", F.col("community").alias("from")).join(strengths, "id")
+    sums = materialise(own.groupBy("from").agg(F.sum("k").alias("s")), "community-strengths")
+    held = own.join(links.select("id", F.col("to").alias("from"), F.col("w").alias("w_from")), ["id", "from"], "left")
+    held = materialise(held.join(sums.withColumnRenamed("s", "s_from"), "from").fillna(0.0, ["w_from"]), "held")
+    offers = links.join(held, "id").filter(F.col("to") != F.col("from")).join(
+        sums.select(F.col("from").alias("to"), F.col("s").alias("s_to")), "to"
+    )
+    return offers.withColumn("gain", _moving_gain(total, resolution, F.lit(0.0), F.lit(0.0))).filter("gain > 0")
+
+
+def _moving_gain(total: float, resolution: float, joined, left):
+    """The gain of a move after vertices of these strengths have joined its target and left its source."""
+    apart = (F.col("s_to") + joined) - (F.col("s_from") - F.col("k") - left)
+    return F.round(F.col("w") - F.col("w_from") - resolution * F.col("k") * apart / (2 * total), 9)
+
+
+def moving_round(places: DataFrame, total: float, resolution: float = 1.0, salt: int = 0) -> DataFrame:
+    """(id, to): moves of one round, out of better_places; together they raise the quality.
+
+    A coin per community, thrown anew with every salt, decides whether it receives or loses vertices, so
+    no vertex joins a community that others leave. Every vertex asks for its best place. Those that join
+    or leave one community are lined up by gain, and a move happens if its gain stays positive with all
+    before it in both lines; links among those that move can only add to that.
+    """
+    open_places = places.filter(_coin(F.col("to"), salt) & ~_coin(F.col("from"), salt))
+    rest = [c for c in places.columns if c not in ("id", "to", "gain")]
+    best = open_places.groupBy("id").agg(F.min(F.struct((-F.col("gain")).alias("loss"), "to", *rest)).alias("_b"))
+    asked = best.select("id", (-F.col("_b.loss")).alias("gain"), "_b.to", *[f"_b.{c}" for c in rest])
+    order = [F.col("gain").desc(), F.col("id").asc()]
+    lined = running_total(running_total(asked, ["to"], order, F.col("k"), "_joined"), ["from"], order, F.col("k"), "_gone")
+    after = _moving_gain(total, resolution, F.col("_joined") - F.col("k"), F.col("_gone") - F.col("k"))
+    return lined.filter(after > 0).select("id", "to")
+
+
+def moved(edges: DataFrame, strengths: DataFrame, member: DataFrame, total: float, resolution: float = 1.0) -> DataFrame:
+    """member(id, community) after moving rounds until no vertex has a better place."""
+    member = materialise(member.select("id", "community"), "members")
+    salt = 0
+    while True:
+        places = materialise(better_places(edges, strengths, member, total, resolution), "better-places")
+        if places.isEmpty():
+            return member
+        # A throw of the coins may leave no move open; the next one is thrown for the same places.
+        while (moves := materialise(moving_round(places, total, resolution, salt), "moves")).isEmpty():
+            salt += 1
+        member = materialise(
+            member.join(moves, "id", "left").select("id", F.coalesce("to", "community").alias("community")), "members"
+        )
+        salt += 1
+
+
+def connected_parts(edges: DataFrame, member: DataFrame) -> DataFrame:
+    """member with every community split into its connected parts, named by their smallest vertex.
+
+    Parts without a link between them gain nothing from being one community.
+    """
+    ends = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    for side in ("src", "dst"):
+        ends = ends.join(member.select(F.col("id").alias(side), F.col("community").alias(f"_{side}")), side)
+    inside = materialise(ends.filter(F.col("_src") == F.col("_dst")).select("src", "dst"), "inside")
+    return connected_components(member.select("id"), inside).withColumnRenamed("component", "community")
+
+
+def contracted(edges: DataFrame, strengths: DataFrame, member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """edges and strengths between the communities of member."""
+    ends = edges
+    for side in ("a", "b"):
+        ends = ends.join(member.select(F.col("id").alias(side), F.col("community").alias(f"_{side}")), side)
+    shorter = ends.groupBy(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).agg(F.sum("w").alias("w"))
+    fewer = strengths.join(member, "id").groupBy(F.col("community").alias("id")).agg(F.sum("k").alias("k"))
+    return materialise(shorter, "edges"), materialise(fewer, "strengths")
+
+
+def moved_communities(vertices: DataFrame, edges: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """(id, community): communities of high modularity, connected, numbered by size from 0.
+
+    Merges as in communities() are followed by moves of single vertices, disconnected communities are taken
+    apart, and what is left may merge again, until neither a merge nor a move raises the quality.
+    Every step raises it, so the result is never below that of communities().
+    """
+    base, strengths, total = start_tables(edges)
+    member = vertices.select("id", F.col("id").alias("community"))
+    while total:
+        level = contracted(base, strengths, member)
+        merged = merges_until_still(*level, total, resolution)
+        names = merged.select(F.col("id").alias("community"), "to")
+        joined = materialise(
+            member.join(names, "community", "left").select("id", F.coalesce("to", "community").alias("community")), "members"
+        )
+        member = materialise(connected_parts(base, moved(base, strengths, joined, total, resolution)), "members")
+        if merge_round(*contracted(base, strengths, member), total, resolution).isEmpty() and better_places(
+            base, strengths, member, total, resolution
+        ).isEmpty():
+            break
+    return numbered(member)

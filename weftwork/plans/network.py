@@ -272,6 +272,36 @@ def communities(spark, folder):
     return M.communities(vertices, edges, RESOLUTION)
 
 
+# One moving round from sixteen communities, dealt by the hash of the vertex.
+@QUERIES.add("J15_moving_round", f"""{merge_sql(0)}, mb AS (SELECT id, substr(md5(id), 1, 1) AS c FROM vx),
+    ways AS (SELECT a AS id, b AS other, w FROM e0 WHERE a <> b UNION ALL SELECT b, a, w FROM e0 WHERE a <> b),
+    links AS MATERIALIZED (SELECT ways.id, c AS dst, sum(w) AS w FROM ways JOIN mb ON mb.id = other GROUP BY ALL),
+    own AS (SELECT mb.id, c AS src, k FROM mb JOIN k0 ON k0.id = mb.id),
+    sums AS MATERIALIZED (SELECT src, sum(k) AS s FROM own GROUP BY src),
+    offers AS (SELECT l.id, own.src, l.dst, l.w, coalesce(o.w, 0) AS wo, k, x.s AS ss, y.s AS sd
+               FROM links l JOIN own ON own.id = l.id AND own.src <> l.dst LEFT JOIN links o ON o.id = l.id AND o.dst = own.src
+               JOIN sums x ON x.src = own.src JOIN sums y ON y.src = l.dst),
+    gains AS (SELECT *, round(w - wo - {RESOLUTION} * k * (sd - (ss - k)) / (2 * t), 9) AS gain FROM offers, total),
+    best AS (SELECT * FROM gains WHERE gain > 0 AND substr(md5('3|' || dst), 1, 1) >= '8' AND substr(md5('3|' || src), 1, 1) < '8'
+             QUALIFY row_number() OVER (PARTITION BY id ORDER BY gain DESC, dst) = 1),
+    lined AS (SELECT *, sum(k) OVER (PARTITION BY dst ORDER BY gain DESC, id ROWS UNBOUNDED PRECEDING) - k AS joined,
+                     sum(k) OVER (PARTITION BY src ORDER BY gain DESC, id ROWS UNBOUNDED PRECEDING) - k AS gone FROM best)
+    SELECT id, dst AS "to" FROM lined WHERE round(w - wo - {RESOLUTION} * k * (sd + joined - (ss - k - gone)) / (2 * t), 9) > 0
+""")
+def moving_round(spark, folder):
+    vertices, edges = line_graph(spark, folder)
+    summed, strengths, total = M.start_tables(edges)
+    member = materialise(vertices.select("id", F.substring(F.md5(F.col("id").cast("binary")), 1, 1).alias("community")), "members")
+    places = materialise(M.better_places(summed, strengths, member, total, RESOLUTION), "better-places")
+    return M.moving_round(places, total, RESOLUTION, salt=3)
+
+
+@QUERIES.add("J15_moved_communities")
+def moved_communities(spark, folder):
+    vertices, edges = line_graph(spark, folder)
+    return M.moved_communities(vertices, edges, RESOLUTION)
+
+
 @QUERIES.add("J16_modularity", f"""{PAIRS}, {CLUBS}, {DEGREES},
     ins AS (SELECT count(*) AS n FROM e JOIN club a ON a.id = src JOIN club b ON b.id = dst WHERE a.club = b.club),
     tot AS (SELECT club, sum(degree) AS s FROM deg JOIN club USING (id) GROUP BY club)
