@@ -12,6 +12,7 @@ from weftwork.operators import classify as N
 from weftwork.operators import cluster as C
 from weftwork.operators import embeddings as E
 from weftwork.operators import maps as M
+from weftwork.operators import skipgram as S
 from weftwork.operators import tfidf as W
 from weftwork.operators import vectors as X
 from weftwork.plans import snippets as Q
@@ -471,3 +472,25 @@ def cooccurrences(spark, folder):
 def train_vectors(spark, folder):
     words = documents(spark, folder).select(content_words().alias("w"))
     return E.train_vectors(words, "w", size=16)
+
+
+# Contexts are sampled by their observed pairs to the power 3/4.
+@QUERIES.add("L6_sampling_table", f"""
+    WITH t AS (SELECT doc_id, list_filter({Q.vectoriser_tokens('text')}, lambda w: w NOT IN ({STOP})) AS w FROM documents),
+    o AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS at FROM t),
+    k AS (SELECT token FROM o GROUP BY token HAVING count(*) >= 2),
+    p AS (SELECT a.token AS token FROM o a JOIN o b ON a.doc_id = b.doc_id AND b.at <> a.at AND abs(b.at - a.at) <= 5
+          WHERE a.token IN (SELECT token FROM k) AND b.token IN (SELECT token FROM k)),
+    c AS (SELECT token, count(*) AS n FROM p GROUP BY token)
+    SELECT token, n, round(pow(n, 0.75) / sum(pow(n, 0.75)) OVER (), 9) AS share FROM c
+""")
+def sampling_table(spark, folder):
+    words = documents(spark, folder).select(content_words().alias("w"))
+    table = S.sampling_table(E.cooccurrences(words, "w"))
+    return table.withColumn("share", F.round("share", 9))
+
+
+@QUERIES.add("L6_skipgram_vectors")
+def skipgram_vectors(spark, folder):
+    words = documents(spark, folder).select(content_words().alias("w"))
+    return S.train_skipgram(words, "w", training=S.Training(size=16, epochs=2, passes=2), blocks=2)
