@@ -385,3 +385,17 @@ def test_disconnected_communities_are_taken_apart(spark):
     edges, _, _ = M.start_tables(spark.createDataFrame([(1, 2), (2, 3), (4, 5), (3, 4)], "src long, dst long"))
     member = spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, 7), (5, 7), (6, 7)], "id long, community long")
     assert dict(M.connected_parts(edges, member).collect()) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6}
+
+
+@pytest.mark.parametrize("top_n", [1, 12, 400])
+def test_nearest_sets_are_found_without_scoring_all_that_share(spark, monkeypatch, top_n):
+    monkeypatch.setattr(U.P, "few_pairs", lambda rows: False)
+    draw = random.Random(top_n)
+    base = [{f"i{draw.randrange(40)}" for _ in range(draw.randint(1, 12))} | {"hub"} for _ in range(25)]
+    links = []
+    for k, items in enumerate(base * 2):  # every set has a copy, some with an item more or less
+        kept = sorted(items)[draw.randrange(3):] if draw.random() < 0.6 else sorted(items)
+        links += [(f"u{k:02}", i) for i in kept] + ([(f"u{k:02}", f"own{k}")] if draw.random() < 0.5 else [])
+    got = U.find_similar_users(spark.createDataFrame(links, "src string, dst string"), False, top_n, "euclidean").collect()
+    want = sorted(all_pairs_by_brute_force(links, "euclidean"), key=lambda r: (round(r[2], 12), r[0], r[1]))[:top_n]
+    assert [(r["user1"], r["user2"]) for r in got] == [w[:2] for w in want]

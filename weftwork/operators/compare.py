@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.operators.pairs import pairs_within, shared_products
+from weftwork.operators.pairs import equal_owners, pairs_within, shared_products
 from weftwork.operators.ranking import running_total, top_rows
 from weftwork.session import materialise
 
 
 def membership_patterns(df: DataFrame, owner: str, item: str) -> DataFrame:
-    """(owners, n_items): how many items belong to exactly this combination of sets.
+    """(_pattern, name, n_items): items that belong to the same sets are one pattern, named by the smallest item.
 
-    Items with equal lists are counted together, so later steps work on patterns instead of items.
+    df holds each pair once. A row tells that set `name` holds the pattern's n_items items, so later steps work on
+    patterns instead of items; an item in very many sets is a row per set and never one array.
     """
-    lists = df.groupBy(item).agg(F.array_sort(F.collect_list(owner)).alias("owners"))
-    return lists.groupBy("owners").agg(F.count("*").alias("n_items"))
+    rows = df.select(F.col(item).alias("owner"), F.col(owner).alias("item"), F.lit(1.0).alias("weight"))
+    classes, _ = equal_owners(rows)
+    return rows.join(materialise(classes, "patterns"), "owner").select(
+        F.col("owner").alias("_pattern"), F.col("item").alias("name"), F.col("size").alias("n_items")
+    )
 
 
 def all_pairs(sizes: DataFrame, name: str, carry: list[str]) -> DataFrame:
@@ -28,8 +32,7 @@ def all_pairs(sizes: DataFrame, name: str, carry: list[str]) -> DataFrame:
 def jaccard_report(df: DataFrame, owner: str, item: str) -> DataFrame:
     """(left, right, shared, jaccard) for all pairs of sets, disjoint ones too."""
     distinct = materialise(df.select(owner, item).distinct(), "sets")
-    patterns = materialise(membership_patterns(distinct, owner, item).withColumn("_pattern", F.xxhash64("owners")), "patterns")
-    members = materialise(patterns.select("_pattern", F.explode("owners").alias("name"), "n_items"), "pattern-members")
+    members = materialise(membership_patterns(distinct, owner, item), "pattern-members")
     sizes = members.groupBy("name").agg(F.sum("n_items").alias("size"))
     shared = pairs_within(members, "_pattern", "name", ["n_items"]).groupBy("left", "right").agg(
         F.sum("left_n_items").alias("shared")

@@ -178,7 +178,8 @@ def equal_owners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.bit_xor(F.xxhash64(F.lit("second"), "item", weight)).alias("_h2"),
     )
     prints = materialise(prints, "prints")
-    classes = prints.groupBy(*marks).agg(F.min("owner").alias("class"), F.count("*").alias("size"))
+    # Written, so that AQE can split the mark of a giant class of copies.
+    classes = materialise(prints.groupBy(*marks).agg(F.min("owner").alias("class"), F.count("*").alias("size")), "marks")
     members = materialise(prints.join(classes, marks).select("class", "owner", "size"), "members")
     heads = members.groupBy("class").agg(
         F.max("size").alias("size"),

@@ -113,16 +113,20 @@ def top_terms(scores: DataFrame, corpus: list[str], n: int = 5) -> DataFrame:
 
 
 def term_importance(weights: DataFrame, n_docs: DataFrame, corpus: list[str], doc: str) -> DataFrame:
-    """(corpus, term, avg_tfidf, max_tfidf, doc), one row per document that attains the maximum."""
+    """(corpus, term, doc, avg_tfidf, max_tfidf), one row per document that attains the maximum.
+
+    weights must be a written table: a term that most documents hold is split by AQE.
+    """
     stats = weights.groupBy(*corpus, "term").agg(
         F.sum("weight").alias("_sum"), F.max("weight").alias("max_tfidf")
     )
     stats = stats.join(n_docs, corpus).select(
         *corpus, "term", (F.col("_sum") / F.col("n_docs")).alias("avg_tfidf"), "max_tfidf"
     )
+    stats = materialise(stats, "term-stats")
     best = weights.withColumnRenamed("weight", "max_tfidf")
     return stats.join(best, [*corpus, "term", "max_tfidf"]).select(
-        *corpus, "term", "avg_tfidf", "max_tfidf", doc
+        *corpus, "term", doc, "avg_tfidf", "max_tfidf"
     )
 
 

@@ -14,6 +14,7 @@ from weftwork.operators.similarity import find_similar_sets
 from weftwork.plans import snippets as Q
 from weftwork.plans.registry import Registry
 from weftwork.plans.text import STOP, documents
+from weftwork.session import materialise
 from weftwork.sources.tables import read_table
 
 QUERIES = Registry()
@@ -104,7 +105,7 @@ def plain_idf(spark, folder):
     return rounded(W.plain_idf(doc_counts(spark, folder), n, ["lang"]), "idf")
 
 
-WEIGHTS_A = f"WITH {Q.counts('lang, doc_id')}, {IDF_A}, w AS (SELECT lang, doc_id, term, tf / n_tokens * idf AS weight FROM c JOIN idf USING (lang, term))"
+WEIGHTS_A = f"WITH {Q.counts('lang, doc_id')}, {IDF_A}, w AS MATERIALIZED (SELECT lang, doc_id, term, tf / n_tokens * idf AS weight FROM c JOIN idf USING (lang, term))"
 
 
 def weights_a(spark, folder):
@@ -172,14 +173,14 @@ def top_terms(spark, folder):
 
 
 @QUERIES.add("E14_term_importance", f"""{WEIGHTS_A},
-    r AS (SELECT lang, doc_id, term, round(weight, 12) AS weight FROM w),
-    s AS (SELECT lang, term, sum(weight) / any_value(n_docs) AS avg_tfidf, max(weight) AS max_tfidf FROM r JOIN n USING (lang) GROUP BY ALL)
+    r AS MATERIALIZED (SELECT lang, doc_id, term, round(weight, 12) AS weight FROM w),
+    s AS MATERIALIZED (SELECT lang, term, sum(weight) / any_value(n_docs) AS avg_tfidf, max(weight) AS max_tfidf FROM r JOIN n USING (lang) GROUP BY ALL)
     SELECT lang, term, doc_id, round(avg_tfidf, 6) AS avg_tfidf, round(max_tfidf, 6) AS max_tfidf
     FROM s JOIN r USING (lang, term) WHERE weight = max_tfidf
 """)
 def term_importance(spark, folder):
     n = V.document_counts(read_table(spark, folder, "documents"), ["lang"])
-    weights = weights_a(spark, folder).withColumn("weight", F.round("weight", 12))
+    weights = materialise(weights_a(spark, folder).withColumn("weight", F.round("weight", 12)), "weights")
     return rounded(W.term_importance(weights, n, ["lang"], "doc_id"), "avg_tfidf", "max_tfidf")
 
 
