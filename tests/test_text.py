@@ -9,6 +9,7 @@ from weftwork.operators import sentiment as S
 from weftwork.operators.cleaning import preprocess
 from weftwork.sources import encoding, listings
 from weftwork.sources.corpora import load_corpus
+from weftwork.sources import threads
 from weftwork.sources.threads import parse_comments
 
 
@@ -157,3 +158,37 @@ def test_parse_comments(spark):
     assert by_id["c1"]["parent_id"] is None and by_id["c20"]["parent_id"] == "c19" and by_id["m"]["parent_id"] == "c3"
     assert [r["comment_id"] for r in rows][:5] == ["c1", "c2", "c3", "c4", "c5"] and rows[-1]["comment_id"] == "c99"
     assert parse_comments(df, "post", "json", drop_stubs=True, response=True).count() == 21
+
+
+def nested(depth):
+    """A chain of replies, with a second reply at every seventh level."""
+    text = '""'
+    for level in range(depth, 0, -1):
+        second = f', {{"data": {{"id": "s{level}", "author": "o", "body": "x"}}}}' if level % 7 == 0 else ""
+        text = f'{{"data": {{"children": [{{"kind": "t1", "data": {{"id": "c{level}", "author": "a", "body": "b{level}", "replies": {text}}}}}{second}]}}}}'
+    return text[len('{"data": {"children": '):-2]
+
+
+def test_threads_of_any_depth_are_read_in_one_scan(spark):
+    depth = 5000
+    table = spark.createDataFrame([(1, nested(depth)), (2, nested(3)), (3, "[" * 9000), (4, None)], "p long, j string")
+    rows = parse_comments(table, "p", "j").select("post_id", "comment_id", "parent_id", F.size("path").alias("level")).collect()
+    chain = {r["comment_id"]: r for r in rows if r["post_id"] == 1}
+    assert len(chain) == depth + depth // 7 and {r["post_id"] for r in rows} == {1, 2}
+    for level in (1, 2, 700, 4999, 5000):
+        assert chain[f"c{level}"]["parent_id"] == (f"c{level - 1}" if level > 1 else None) and chain[f"c{level}"]["level"] == level
+    assert chain["s4900"]["parent_id"] == "c4899" and chain["s4900"]["level"] == 4900
+
+
+@pytest.mark.parametrize("text", [
+    "[]", "{}", ' [1, -2.5e3, true, null, "a\\u00e9\\n", {"k": [[], {}], "k2": {"a": []}}] ', '"x"', "5", "[1,]", "[,1]", "{,}", '{"a":1,}', '{"a" 1}',
+    "[1 2]", "[1]]", "]", "", "[", '{"a"}', "nul", "[01]", "[1.]", '["\\x"]', '{"a":1 "b":2}', "[1],", '{1:2}', "[}", '["a\nb"]',
+])
+def test_deep_reader_agrees_with_the_plain_one(text):
+    def outcome(reader):
+        try:
+            return reader(text)
+        except ValueError:
+            return "broken"
+
+    assert outcome(threads._read_deep) == outcome(json.loads)
