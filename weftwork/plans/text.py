@@ -16,6 +16,7 @@ from weftwork.session import new_folder
 from weftwork.sources import encoding, listings
 from weftwork.sources.corpora import parse_corpus
 from weftwork.sources.tables import load_results, read_table, save_results, spread
+from weftwork.sources.snapshots import SnapshotStore
 from weftwork.sources.threads import parse_comments
 
 QUERIES = Registry()
@@ -156,6 +157,28 @@ def fresh_snapshot(spark, folder):
     return fresh.withColumn("fetched_at", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+# Two commits: the events up to a day, then all of later days; wanted keys without a fresh result are filled.
+@QUERIES.add("A7_snapshot_store", """
+    WITH e AS (SELECT event_type AS corpus, user_id AS lim, ts, value FROM events),
+    last AS (SELECT corpus, lim, max(ts) AS ts FROM e GROUP BY ALL),
+    kept AS (SELECT corpus, lim, e.ts, value FROM e JOIN last USING (corpus, lim, ts)),
+    stale AS (SELECT corpus, lim FROM last WHERE ts <= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 24 HOUR)
+    SELECT corpus, lim, strftime(ts, '%Y-%m-%d %H:%M:%S') AS fetched_at, round(value, 6) AS value FROM kept ANTI JOIN stale USING (corpus, lim)
+    UNION ALL SELECT corpus, lim, '2024-01-30 12:00:00', -1.0 FROM stale
+""")
+def snapshot_store(spark, folder):
+    events = read_table(spark, folder, "events").select(
+        F.col("event_type").alias("corpus"), F.col("user_id").alias("lim"), F.col("ts").alias("fetched_at"), "value"
+    )
+    now = F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
+    cut = F.col("fetched_at") < F.lit("2024-01-15").cast("timestamp_ntz")
+    store = SnapshotStore(spark, new_folder(spark, "snapshots"), ["corpus", "lim"])
+    store.commit(events.filter(cut))
+    store.commit(events.filter(~cut))
+    found = store.reuse_or_fill(events, lambda keys: keys.select("corpus", "lim", now.alias("fetched_at"), F.lit(-1.0).alias("value")), 24, now)
+    return found.select("corpus", "lim", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), F.round("value", 6).alias("value"))
+
+
 @QUERIES.add("A7_save_results", f"""
     WITH {Q.counts('lang, doc_id')}
     SELECT lang AS corpus, term AS word, CAST(sum(tf) AS BIGINT) AS frequency FROM c GROUP BY ALL

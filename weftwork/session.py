@@ -47,7 +47,7 @@ def stage_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(context._jsc.hadoopConfiguration()), path
@@ -57,7 +57,7 @@ def run_folder(spark: SparkSession) -> str:
     """This session's own part of the shared folder; it is deleted when the session's JVM ends."""
     folder = f"{stage_folder(spark)}/{spark.sparkContext.applicationId}"
     if folder not in _run_folders:
-        files, path = _file_system(spark, folder)
+        files, path = file_system(spark, folder)
         files.mkdirs(path)
         files.deleteOnExit(path)
         _run_folders.add(folder)
@@ -86,5 +86,5 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables that materialise() wrote and that nothing reads any more."""
     for table in tables:
-        files, path = _file_system(table.sparkSession, table._stage_path)
+        files, path = file_system(table.sparkSession, table._stage_path)
         files.delete(path, True)
