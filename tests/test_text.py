@@ -192,3 +192,17 @@ def test_deep_reader_agrees_with_the_plain_one(text):
             return "broken"
 
     assert outcome(threads._read_deep) == outcome(json.loads)
+
+
+@pytest.mark.parametrize("text, tokens", [
+    ("It was the best of times, it was the worst of times.", "It was the best of times it was the worst of times"),
+    ("I don't think they've seen John's dog; it's here!", "I do n't think they 've seen John 's dog it 's here"),
+    ("cannot CANNOT gonna gonna wanna lemme gimme gotta", "can not CAN NOT gon na gon na wan na lem me gim me got ta"),
+    ("\'Tis more'n enough, 'twas said. d'ye know?", "'T is more 'n enough 't was said d 'ye know"),
+    ("Mr. Smith paid $3,000.50 on the 3rd. He left the U.S. in 1999.", "Mr. Smith paid 3,000.50 on the 3rd He left the U.S. in 1999"),
+    ('He said "stop it" (twice)... and left -- quickly: 10:30.', "He said stop it twice and left quickly 10:30"),
+    ("the dogs' bowls, we'll, I'd, I'M, HE'S", "the dogs bowls we 'll I 'd I 'M HE 'S"),
+    ("", ""), (None, ""), (" ,.!? ", ""), ("état n'est", "état n'est"),
+])
+def test_treebank_tokens(spark, text, tokens):
+    assert one(spark, text, T.treebank_tokens("t")) == tokens.split()

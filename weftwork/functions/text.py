@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -38,6 +39,40 @@ SPLIT_FORMS = {
     "wanna": ("wan", "na"),
 }
 
+#: Stands for a full stop that belongs to its word while a text is split.
+KEPT_STOP = "\ue000"
+
+# The conventions of Treebank tokens as rewriting steps over a text between blanks, in this order. Each
+# pattern is replaced everywhere; \1 and \2 are its groups. Java and RE2 read the patterns alike.
+TREEBANK_STEPS = (
+    # Stops of short titles and forms, and those between single letters, belong to the word.
+    (r"( (?:Mr|Mrs|Ms|Dr|Prof|St|Jr|Sr|vs|etc|e\.g|i\.e))\.", r"\1" + KEPT_STOP),
+    (r"( [\p{L}])\.([\p{L}])\.", r"\1" + KEPT_STOP + r"\2" + KEPT_STOP),
+    # Quotes that open, then dots, marks, brackets and dashes stand alone; colons and commas inside numbers do not.
+    (r"([ (\[{<])\"", r"\1 `` "),
+    (r"(\.\.\.)", r" \1 "),
+    (r"([:,])([^0-9])", r" \1 \2"),
+    (r"([;@#$%&?!\]\[(){}<>])", r" \1 "),
+    (r"(--)", r" \1 "),
+    # The stop at the end of a sentence: before a blank, behind a small letter, a digit or a bracket, or at the end.
+    (r"([\p{Ll}\p{Nd})'])\.([\"']* )", r"\1 . \2"),
+    (r"([^. ])\.([\"' ]*)$", r"\1 . \2"),
+    # Quotes that close, possessives and contractions.
+    (r"\"", r" '' "),
+    (r"([^' ])('[sSmMdD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", r"\1 \2 "),
+    (r"([^' ])(') ", r"\1 \2 "),
+    # Joined forms; blanks are doubled so that neighbours do not share one.
+    (r" ", r"  "),
+    (r" ([Cc][Aa][Nn])([Nn][Oo][Tt]) ", r" \1 \2 "),
+    (r" ([Dd])('[Yy][Ee]) ", r" \1 \2 "),
+    (r" ([Gg][Ii][Mm]|[Ll][Ee][Mm])([Mm][Ee]) ", r" \1 \2 "),
+    (r" ([Gg][Oo][Nn]|[Ww][Aa][Nn])([Nn][Aa]) ", r" \1 \2 "),
+    (r" ([Gg][Oo][Tt])([Tt][Aa]) ", r" \1 \2 "),
+    (r" ([Mm][Oo][Rr][Ee])('[Nn]) ", r" \1 \2 "),
+    (r" ('[Tt])([Ii][Ss]|[Ww][Aa][Ss]) ", r" \1 \2 "),
+    (KEPT_STOP, "."),
+)
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -93,6 +128,19 @@ def word_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(plain(c), F.lit(rf"[{WORD}]+(?:'\p{{L}}+)?"), F.lit(0))
 
 
+def treebank_tokens(c: Column | str) -> Column:
+    """Tokens by the conventions of the Penn Treebank, case kept: contractions and possessives are taken apart ("do n't",
+    "John 's", "can not"), quotes and marks split off; tokens that are punctuation throughout are dropped.
+
+    There is no sentence splitter before it: a stop behind a small letter, a digit or a bracket and before a blank ends a
+    sentence, unless it belongs to a short title. NULL and empty texts have no tokens.
+    """
+    text = F.concat(F.lit(" "), squeeze(plain(c)), F.lit(" "))
+    for pattern, by in TREEBANK_STEPS:
+        text = F.regexp_replace(text, F.lit(pattern), F.lit(re.sub(r"\\([12])", r"$\1", by)))
+    return F.filter(F.split(text, " +"), lambda w: ~w.rlike(f"^[{PUNCTUATION}]*$"))
+
+
 def simple_tokens(c: Column | str) -> Column:
     """Lower-case words after punctuation was deleted."""
     return split_words(clean_light(c))

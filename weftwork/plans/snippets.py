@@ -1,5 +1,7 @@
 """SQL pieces shared by the side-by-side checks."""
 
+from weftwork.functions.text import PUNCTUATION, TREEBANK_STEPS
+
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}"
 
@@ -26,6 +28,14 @@ def split_words(text: str) -> str:
     return f"list_filter(string_split({text}, ' '), lambda w: w <> '')"
 
 
+def treebank_tokens(text: str) -> str:
+    text = f"concat(' ', {squeeze(f'coalesce({text}, {chr(39) * 2})')}, ' ')"
+    for pattern, by in TREEBANK_STEPS:
+        pattern, by = (part.replace("'", "''") for part in (pattern, by))
+        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+    return f"list_filter(regexp_split_to_array({text}, ' +'), lambda w: NOT regexp_full_match(w, '[{PUNCTUATION}]*'))"
+
+
 def vectoriser_tokens(text: str) -> str:
     return (
         f"list_filter(regexp_split_to_array(lower(coalesce({text}, '')), '[^{WORD}]+'), "

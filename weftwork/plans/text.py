@@ -296,6 +296,20 @@ def word_tokens(spark, folder):
     return _token_counts(documents(spark, folder), T.word_tokens("text"))
 
 
+# The texts' words are joined forms and contractions too rarely: half of them get some, by the document's number.
+TREEBANK_TAIL = '" can\'t (cannot) they\'re John\'s gonna gonna; Mr. X paid 3,000.50, etc. He\'d left... U.S. '
+
+
+@QUERIES.add("B4_treebank_tokens", f"""
+    SELECT term, count(*) AS n FROM (SELECT unnest({Q.treebank_tokens('s')}) AS term
+        FROM (SELECT CASE WHEN doc_id % 2 = 0 THEN concat('"', text, {Q.quoted([TREEBANK_TAIL])}, doc_id % 7, '.') ELSE text END AS s FROM documents)) GROUP BY term
+""")
+def treebank_tokens(spark, folder):
+    longer = F.concat(F.lit('"'), "text", F.lit(TREEBANK_TAIL), (F.col("doc_id") % 7).cast("string"), F.lit("."))
+    told = documents(spark, folder).withColumn("s", F.when(F.col("doc_id") % 2 == 0, longer).otherwise(F.col("text")))
+    return _token_counts(told, T.treebank_tokens("s"))
+
+
 @QUERIES.add("B5_simple_tokens", _token_sql(Q.split_words(Q.clean_light("text"))))
 def simple_tokens(spark, folder):
     return _token_counts(documents(spark, folder), T.simple_tokens("text"))
