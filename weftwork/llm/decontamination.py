@@ -21,7 +21,7 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 WINDOW, SHORTEST, AGREE = 13, 8, 0.8
 #: The filter that keeps documents without any seed out of the join: bits a seed, probes, least and most bits.
 #: Beyond the most it lets more documents through to the join, which is exact.
-SEED_BITS, FILTER_PROBES, FILTER_LEAST, FILTER_MOST = 16, 3, 1 << 16, 1 << 28
+SEED_BITS, FILTER_PROBES, FILTER_LEAST, FILTER_MOST = 1024, 3, 1 << 16, 1 << 28
 
 _WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
