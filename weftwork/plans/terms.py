@@ -232,10 +232,10 @@ def pooled_top_terms(spark, folder):
 
 # ---------------------------------------------------------------- time
 
-@QUERIES.add("F1_daily_term_counts", """
-    WITH t AS (SELECT CAST(ts AS DATE) AS date, event_type FROM events),
+@QUERIES.add("F1_daily_term_counts", f"""
+    WITH t AS (SELECT CAST(ts AS DATE) AS date, {Q.split_words(Q.clean_light("event_type || ' ' || props"))} AS w FROM events),
     terms AS (SELECT unnest(['click', 'view', 'error', 'k']) AS term), days AS (SELECT DISTINCT date FROM t),
-    hits AS (SELECT date, event_type AS term FROM t UNION ALL SELECT date, 'k' FROM t)
+    hits AS (SELECT date, unnest(w) AS term FROM t)
     SELECT days.date, terms.term, count(hits.term) AS n FROM days CROSS JOIN terms
     LEFT JOIN hits ON hits.date = days.date AND hits.term = terms.term GROUP BY ALL
 """)

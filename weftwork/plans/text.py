@@ -491,7 +491,39 @@ def lexicon_scores(spark, folder):
     return S.lexicon_scores(rows, "id", "text", _lexicons(rows))
 
 
-@QUERIES.add("C2_compare_scores")
+def _near_sql(column: str, weight: float) -> str:
+    return (
+        f"CASE WHEN {column} IN ({Q.quoted(S.BOOSTERS)}) THEN {weight * S.BOOST}::DOUBLE "
+        f"WHEN {column} IN ({Q.quoted(S.DAMPENERS)}) THEN {-weight * S.BOOST}::DOUBLE ELSE 0 END"
+    )
+
+
+# The three words before each word by window; the lexicon is the first of _lexicons.
+@QUERIES.add("C2_compare_scores", rf"""
+    WITH words AS ({WORDS_SQL}),
+    lex AS (SELECT DISTINCT x AS word, (length(x) % 7 - 3)::DOUBLE AS valence FROM (SELECT unnest(w) AS x FROM words) WHERE length(x) % 7 <> 3),
+    raw AS (SELECT id, {Q.split_words(Q.squeeze('text'))} AS r, least(length(text) - length(replace(text, '!', '')), 4) AS bangs,
+                   NOT (upper(text) = text AND lower(text) <> text) AS mixed FROM words),
+    pos AS (SELECT id, unnest(r) AS x, generate_subscripts(r, 1) AS i, len(r) AS n, bangs, mixed FROM raw),
+    bare AS (SELECT *, regexp_replace(x, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g') AS s FROM pos),
+    near AS (SELECT *, lower(s) AS word, coalesce(lower(lag(s, 1) OVER o), '') AS b1, coalesce(lower(lag(s, 2) OVER o), '') AS b2,
+                    coalesce(lower(lag(s, 3) OVER o), '') AS b3 FROM bare WINDOW o AS (PARTITION BY id ORDER BY i)),
+    ctx AS (SELECT *, {' + '.join(_near_sql(f'b{k + 1}', w) for k, w in enumerate(S.DISTANCE))} AS boost,
+                   {' OR '.join(f'b{k} IN ({Q.quoted(S.NEGATORS)})' for k in (1, 2, 3))} AS negated,
+                   upper(s) = s AND lower(s) <> s AND mixed AS caps FROM near),
+    hits AS (SELECT id, n, bangs, valence, (valence + sign(valence) * (CASE WHEN caps THEN {S.CAPS}::DOUBLE ELSE 0 END + boost))
+                    * CASE WHEN negated THEN {S.NEGATION}::DOUBLE ELSE 1 END AS force FROM ctx JOIN lex USING (word)),
+    sums AS (SELECT id, sum(force) AS total, avg(valence) AS polarity, sum(CASE WHEN force > 0 THEN force + 1 ELSE 0 END) AS up0,
+                    sum(CASE WHEN force < 0 THEN 1 - force ELSE 0 END) AS down0, max(n) - count_if(force <> 0) AS flat,
+                    max(bangs) * {S.EXCLAMATION}::DOUBLE AS extra FROM hits GROUP BY id),
+    loud AS (SELECT *, total + sign(total) * extra AS whole, up0 + CASE WHEN up0 > down0 THEN extra ELSE 0 END AS up,
+                    down0 + CASE WHEN up0 < down0 THEN extra ELSE 0 END AS down FROM sums)
+    SELECT words.id, {SIMPLE_SQL} AS simple_score, round(coalesce(polarity, 0), 3) AS polarity,
+           round(coalesce(whole / sqrt(whole * whole + {S.ALPHA}), 0), 3) AS compound, round(coalesce(up / nullif(up + down + flat, 0), 0), 3) AS positive,
+           round(coalesce(down / nullif(up + down + flat, 0), 0), 3) AS negative,
+           round(coalesce(flat / nullif(up + down + flat, 0), CASE WHEN len(w) = 0 THEN 0.0 ELSE 1.0 END), 3) AS neutral
+    FROM words LEFT JOIN loud USING (id)
+""")
 def compare_scores(spark, folder):
     rows = texts(spark, folder)
     return S.compare_scores(rows, "id", "text", _lexicons(rows)["warm"])
