@@ -306,6 +306,34 @@ def common_score_table(spark, folder):
     return rounded(C.common_score_table(means(spark, folder), "lang", LANGS), *LANGS, "mean")
 
 
+# Sources share far more terms than languages do.
+SOURCES = ["src0", "src1", "src2", "src3"]
+SOURCE_MEANS = f"""WITH {matrix_sql('source', 500, 2, STOP)},
+    m AS (SELECT source, term, sum(weight) / any_value(n_docs) AS score FROM w JOIN n USING (source) GROUP BY source, term),
+    wide AS (SELECT term, {', '.join(f"max(CASE WHEN source = '{x}' THEN score END) AS {x}" for x in SOURCES)} FROM m GROUP BY term)"""
+SOURCES_THERE = " AND ".join(f"{x} IS NOT NULL" for x in SOURCES)
+
+
+def source_means(spark, folder) -> DataFrame:
+    weighted = W.tfidf_matrix(documents(spark, folder), ["source"], "doc_id", content_words(), 500, 2)
+    return W.mean_scores(weighted, ["source"])
+
+
+@QUERIES.add("G4_source_score_table", f"""{SOURCE_MEANS}
+    SELECT term, {', '.join(f'round({x}, 6) AS {x}' for x in SOURCES)}, round(({' + '.join(SOURCES)}) / 4, 6) AS mean FROM wide WHERE {SOURCES_THERE}
+""")
+def source_score_table(spark, folder):
+    return rounded(C.score_table(source_means(spark, folder), "source", SOURCES), *SOURCES, "mean")
+
+
+@QUERIES.add("G5_source_ranks", f"""{SOURCE_MEANS}, shared AS (SELECT term FROM wide WHERE {SOURCES_THERE}),
+    r AS (SELECT source, term, rank() OVER (PARTITION BY source ORDER BY round(score, 9) DESC) AS rank FROM m SEMI JOIN shared USING (term))
+    SELECT term, {', '.join(f"max(CASE WHEN source = '{x}' THEN rank END) AS {x}" for x in SOURCES)} FROM r GROUP BY term
+""")
+def source_ranks(spark, folder):
+    return C.rank_comparison(source_means(spark, folder), "source", SOURCES)
+
+
 @QUERIES.add("G5_rank_comparison", f"""{MEANS}, {WIDE_SQL}, shared AS (SELECT term FROM wide WHERE {ALL_THERE}),
     r AS (SELECT lang, term, rank() OVER (PARTITION BY lang ORDER BY round(score, 9) DESC) AS rank FROM m SEMI JOIN shared USING (term))
     SELECT term, {', '.join(f"max(CASE WHEN lang = '{x}' THEN rank END) AS {x}" for x in LANGS)} FROM r GROUP BY term

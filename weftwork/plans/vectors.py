@@ -15,11 +15,12 @@ from weftwork.operators import maps as M
 from weftwork.operators import skipgram as S
 from weftwork.operators import tfidf as W
 from weftwork.operators import vectors as X
+from weftwork.operators.cells import build_cells
 from weftwork.plans import snippets as Q
 from weftwork.plans.registry import Registry
 from weftwork.plans.terms import MEANS, POOLED, content_words, matrix, matrix_sql, rounded
 from weftwork.plans.text import STOP, documents
-from weftwork.session import materialise
+from weftwork.session import materialise, new_folder
 from weftwork.sources.tables import read_table, spread
 
 QUERIES = Registry()
@@ -435,6 +436,14 @@ def nearest(spark, folder):
     return rounded(E.nearest(rows, queries, 10), "similarity")
 
 
+@QUERIES.add("L4_nearest_by_cells", QUERIES["L4_nearest"].sql)
+def nearest_by_cells(spark, folder):
+    rows = model(spark, folder)
+    queries = {str(t): v for t, v in E.vectors_of(rows, [7, 70, 170]).items()}
+    index = build_cells(rows, new_folder(spark, "cells"), 16)
+    return rounded(index.search(queries, 10), "similarity")
+
+
 @QUERIES.add("L4_similar_to", f"""WITH {MODEL}, q AS (SELECT v AS u FROM e WHERE token = 7),
     s AS (SELECT token, list_cosine_similarity(v, u) AS sim FROM e JOIN q ON token <> 7)
     SELECT '7' AS query, token, round(sim, 6) AS similarity, row_number() OVER (ORDER BY round(sim, 9) DESC, token) AS rank FROM s QUALIFY rank <= 10
