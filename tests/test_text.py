@@ -206,3 +206,19 @@ def test_deep_reader_agrees_with_the_plain_one(text):
 ])
 def test_treebank_tokens(spark, text, tokens):
     assert one(spark, text, T.treebank_tokens("t")) == tokens.split()
+
+
+def test_rule_lemmas(spark):
+    lemmas = [("dog", "n"), ("box", "n"), ("leaf", "n"), ("woman", "n"), ("city", "n"), ("bus", "n"), ("bu", "v"), ("glass", "n"), ("make", "v"),
+              ("run", "v"), ("carry", "v"), ("walk", "v"), ("go", "v"), ("fine", "a"), ("big", "a"), ("walking", "n"), ("e", "v")]
+    forms = {("dogs", "n"): "dog", ("boxes", "n"): "box", ("leaves", "n"): "leaf", ("women", "n"): "woman", ("cities", "n"): "city",
+             ("buses", "n"): "bus", ("bus", "n"): "bus", ("glass", "n"): "glass", ("making", "v"): "make", ("runs", "v"): "run", ("carries", "v"): "carry",
+             ("walked", "v"): "walk", ("walking", "v"): "walk", ("walking", "n"): "walking", ("went", "v"): "go", ("finest", "a"): "fine",
+             ("finer", "a"): "fine", ("dogs", "v"): None, ("ing", "v"): None, ("fast", "r"): None, ("dogs", "x"): None}
+    words = spark.createDataFrame([*forms, ("dogs", "n"), (None, "n"), ("dogs", None)], "form string, pos string")
+    exceptions = spark.createDataFrame([("went", "v", "go"), ("unused", "n", "x")], "form string, pos string, lemma string")
+    table = L.rule_lexicon(words, spark.createDataFrame(lemmas, "lemma string, pos string"), exceptions)
+    assert {(r["form"], r["pos"]): r["lemma"] for r in table.collect()} == {k: v for k, v in forms.items() if v}
+    tagged = spark.createDataFrame([("walking", "VBG"), ("walking", "NN"), ("zebras", "NNS")], "term string, tag string")
+    found = L.lemmatise(tagged, table, tag=F.col("tag"))
+    assert {(r["term"], r["tag"]): r["lemma"] for r in found.collect()} == {("walking", "VBG"): "walk", ("walking", "NN"): "walking", ("zebras", "NNS"): "zebras"}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.functions.text import wordnet_class
+from weftwork.session import materialise
 
 
 def drop_listed(rows: DataFrame, word_list: DataFrame, term: str = "term") -> DataFrame:
@@ -107,3 +108,38 @@ def lemmatise(rows: DataFrame, lexicon: DataFrame, term: str = "term", tag: Colu
         .withColumn("lemma", F.coalesce("_lemma", F.col(term)))
         .drop("_lemma", "_pos")
     )
+
+
+# The usual English endings of inflected forms by part of speech, and what stands in their place.
+ENDINGS = {
+    "n": (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")),
+    "v": (("s", ""), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", "")),
+    "a": (("er", ""), ("est", ""), ("er", "e"), ("est", "e")),
+    "r": (),
+}
+
+
+def rule_lexicon(words: DataFrame, lemmas: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """(form, pos, lemma) of words(form, pos), to be used by lemmatise(); a word without a lemma gives no row.
+
+    An exception(form, pos, lemma) comes first. Otherwise the word itself and what its endings leave are
+    candidates, and the shortest that lemmas(lemma, pos) knows is taken (then the first by name). Every
+    distinct word is looked up once; no part of speech but n, v, a and r has endings. NULLs give no row.
+    """
+    words = materialise(words.select("form", "pos").dropna().distinct(), "words")
+    form = F.col("form")
+    made = F.array(form)
+    for pos, endings in ENDINGS.items():
+        cut = [
+            F.when((F.col("pos") == pos) & form.endswith(end) & (F.length(form) > len(end)), F.concat(_without(form, len(end)), F.lit(new)))
+            for end, new in endings
+        ]
+        made = F.concat(made, F.array(*cut)) if cut else made
+    candidates = words.select("form", "pos", F.explode(F.array_distinct(F.array_compact(made))).alias("lemma"))
+    known = candidates.join(lemmas.select("lemma", "pos").distinct(), ["lemma", "pos"], "left_semi")
+    found = known.groupBy("form", "pos").agg(F.min(F.struct(F.length("lemma").alias("n"), "lemma")).alias("_l")).select("form", "pos", "_l.lemma")
+    if exceptions is None:
+        return found
+    special = exceptions.groupBy("form", "pos").agg(F.min("lemma").alias("_special"))
+    both = words.join(special, ["form", "pos"], "left").join(found, ["form", "pos"], "left")
+    return both.select("form", "pos", F.coalesce("_special", "lemma").alias("lemma")).filter(F.col("lemma").isNotNull())

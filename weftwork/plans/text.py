@@ -12,7 +12,7 @@ from weftwork.operators import vocabulary as V
 from weftwork.operators.cleaning import preprocess
 from weftwork.plans import snippets as Q
 from weftwork.plans.registry import Registry
-from weftwork.session import new_folder
+from weftwork.session import materialise, new_folder
 from weftwork.sources import encoding, listings
 from weftwork.sources.corpora import parse_corpus
 from weftwork.sources.tables import load_results, read_table, save_results, spread
@@ -408,6 +408,33 @@ def lemmas(spark, folder):
     return L.lemmatise(counts, lemma_lexicon(counts)).groupBy("lemma").agg(F.sum("n").alias("n"))
 
 
+def _ending_sql(pos: str, end: str, new: str) -> str:
+    return (
+        f"SELECT form, pos, left(form, length(form) - {len(end)}) || '{new}' FROM forms "
+        f"WHERE pos = '{pos}' AND suffix(form, '{end}') AND length(form) > {len(end)}"
+    )
+
+
+# Words of even length are nouns, others verbs; words that occur three times are lemmas of both, long words exceptions.
+@QUERIES.add("B9_rule_lemmas", f"""
+    WITH tok AS (SELECT unnest({Q.vectoriser_tokens('text')}) AS form FROM documents),
+    forms AS MATERIALIZED (SELECT DISTINCT form, CASE WHEN length(form) % 2 = 0 THEN 'n' ELSE 'v' END AS pos FROM tok),
+    lemmas AS (SELECT form AS lemma FROM tok GROUP BY form HAVING count(*) >= 3),
+    made(form, pos, lemma) AS (SELECT form, pos, form FROM forms
+        {' '.join('UNION ALL ' + _ending_sql(pos, end, new) for pos, endings in L.ENDINGS.items() for end, new in endings)}),
+    best AS (SELECT form, lemma FROM made SEMI JOIN lemmas USING (lemma) QUALIFY row_number() OVER (PARTITION BY form ORDER BY length(lemma), lemma) = 1)
+    SELECT form, pos, CASE WHEN length(form) >= 12 THEN left(form, 6) ELSE lemma END AS lemma
+    FROM forms LEFT JOIN best USING (form) WHERE length(form) >= 12 OR lemma IS NOT NULL
+""")
+def rule_lemmas(spark, folder):
+    counts = materialise(_token_counts(documents(spark, folder), T.vectoriser_tokens("text")), "token-counts")
+    pos = F.when(F.char_length("term") % 2 == 0, "n").otherwise("v")
+    words = counts.select(F.col("term").alias("form"), pos.alias("pos"))
+    lemmas = counts.filter("n >= 3").select(F.col("term").alias("lemma"), F.explode(F.array(F.lit("n"), F.lit("v"))).alias("pos"))
+    exceptions = words.filter(F.char_length("form") >= 12).withColumn("lemma", F.substring("form", 1, 6))
+    return L.rule_lexicon(words, lemmas, exceptions)
+
+
 @QUERIES.add("B10_wordnet_class", """
     SELECT l_linenumber, l_returnflag AS tag, CASE left(l_returnflag, 1) WHEN 'J' THEN 'a' WHEN 'V' THEN 'v' WHEN 'R' THEN 'r' ELSE 'n' END AS class,
            count(*) AS n
