@@ -399,3 +399,60 @@ def test_nearest_sets_are_found_without_scoring_all_that_share(spark, monkeypatc
     got = U.find_similar_users(spark.createDataFrame(links, "src string, dst string"), False, top_n, "euclidean").collect()
     want = sorted(all_pairs_by_brute_force(links, "euclidean"), key=lambda r: (round(r[2], 12), r[0], r[1]))[:top_n]
     assert [(r["user1"], r["user2"]) for r in got] == [w[:2] for w in want]
+
+
+# ---------------------------------------------------------------- sums over meetings
+
+@pytest.mark.parametrize("block_rows", [3, 1000])
+def test_pair_totals_sum_all_meetings(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(P, "MEETINGS_PER_TASK", 50)
+    draw = random.Random(5)
+    rows = [(f"i{draw.randrange(9)}", f"o{draw.randrange(25)}", float(draw.randrange(1, 5))) for _ in range(150)]
+    rows += rows[:4] + [(None, "o1", 1.0), (None, "o2", 1.0), ("i1", None, 1.0), ("i2", "o3", None)]
+    rows += [(f"j{k}", "hub", 1.0) for k in range(12)] + [(f"j{k}", f"o{k}", 2.0) for k in range(12)]
+    want = {}
+    for (i, a, x), (j, b, y) in itertools.product(rows, rows):
+        if i is not None and i == j and a is not None and b is not None and a < b:
+            total = want.setdefault((a, b), [0, 0])
+            total[0] += (x or 0) * (y or 0)
+            total[1] += 1
+    df = P.materialise(spark.createDataFrame(rows, "item string, owner string, weight double"))
+    totals = [F.sum(F.col("left_weight") * F.col("right_weight")).alias("dot"), F.count("*").alias("n")]
+    got = P.pair_totals(df, "item", "owner", totals, ["weight"], block_rows=block_rows)
+    assert {(r["left"], r["right"]): [r["dot"] or 0, r["n"]] for r in got.collect()} == want
+    assert {tuple(r) for r in P.pair_totals(df, "item", "owner", [], block_rows=block_rows).collect()} == set(want)
+
+
+def test_projection_takes_tasks_by_its_meetings(spark, monkeypatch):
+    monkeypatch.setattr(P, "MEETINGS_PER_TASK", 100)
+    cells = spark.createDataFrame([(r, c) for c in range(20) for r in range(c, c + 30)], "row_item long, col_item long")
+    found = K.project(cells)
+    assert found.rdd.getNumPartitions() >= 20 * 435 / 100
+    assert {(r["left"], r["right"]): r["weight"] for r in found.collect()} == {
+        (a, b): n for a in range(49) for b in range(a + 1, 49) if (n := sum(c <= a and b < c + 30 for c in range(20)))
+    }
+
+
+@pytest.mark.parametrize("metric", ["cosine", "jaccard", "euclidean"])
+def test_a_bound_that_saves_nothing_is_given_up(spark, monkeypatch, metric):
+    monkeypatch.setattr(U.P, "few_pairs", lambda rows: False)
+    draw = random.Random(3)
+    edges = [(f"u{a}", f"v{b}") for a in range(30) for b in draw.sample(range(12), 6)]
+    asked = []
+    opened = P.opened_products
+    monkeypatch.setattr(U.P, "opened_products", lambda rows, candidates: asked.append(candidates.count()) or opened(rows, candidates))
+    got = U.find_similar_users(spark.createDataFrame(edges, "src string, dst string"), top_n=5, metric=metric, giant_component=False)
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+
+    def score(a, b):
+        both = len(near[a] & near[b])
+        if metric == "euclidean":
+            return (len(near[a]) + len(near[b]) - 2 * both) ** 0.5
+        return both / ((len(near[a]) * len(near[b])) ** 0.5 if metric == "cosine" else len(near[a] | near[b]))
+
+    every = sorted((round(score(a, b), 12) * (1 if metric == "euclidean" else -1), a, b) for a in near for b in near if a < b)
+    assert [(r["user1"], r["user2"]) for r in got.collect()] == [(a, b) for _, a, b in every[:5]]
+    assert sum(asked) < 30 * 29 / 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.operators.pairs import few_pairs, pairs_within, products_at_least
+from weftwork.operators.pairs import few_pairs, pair_totals, products_at_least
 from weftwork.session import materialise
 
 
@@ -60,9 +60,8 @@ def _shared(rows: DataFrame, least: float | None, counts: bool) -> DataFrame:
     """(left, right, weight) of pairs with a weight of at least least, of all sharing pairs without one."""
     if least is not None and least > 0 and not few_pairs(rows):
         return products_at_least(rows, least, counts).select("left", "right", F.col("dot").alias("weight"))
-    met = pairs_within(rows, "item", "owner", [] if counts else ["weight"])
-    term = F.lit(1) if counts else F.col("left_weight") * F.col("right_weight")
-    result = met.groupBy("left", "right").agg(F.sum(term).alias("weight"))
+    total = F.count("*") if counts else F.sum(F.col("left_weight") * F.col("right_weight"))
+    result = pair_totals(rows, "item", "owner", [total.alias("weight")], [] if counts else ["weight"])
     return result if least is None else result.filter(F.col("weight") >= least)
 
 
