@@ -88,3 +88,21 @@ def test_a_step_is_the_gradient_of_the_loss():
 def test_an_empty_corpus_has_no_vectors(spark):
     df = spark.createDataFrame([(None,), (["a"],)], "w array<string>")
     assert S.train_skipgram(df, "w", training=S.Training(epochs=1)).collect() == []
+
+
+def test_cooccurrences_in_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(E, "TOKENS_PER_TASK", 60)
+    draw = random.Random(8)
+    texts = [[f"w{min(int(draw.expovariate(0.2)), 30)}" for _ in range(draw.randrange(40))] for _ in range(60)]
+    texts += [["lone", "w1", "w1"], [], ["w2"]]
+    often = Counter(w for t in texts for w in t)
+    want = Counter(
+        (x, t[j]) for t in texts for i, x in enumerate(t) for j in range(max(0, i - 5), min(len(t), i + 6))
+        if j != i and often[x] > 1 and often[t[j]] > 1
+    )
+    df = spark.createDataFrame([*((t,) for t in texts), (None,)], "w array<string>")
+    found = E.cooccurrences(df, "w")
+    assert {(r["token"], r["context"]): r["n"] for r in found.collect()} == want and found.count() == len(want)
+    assert max(often.values()) > 60
+    # The rows that are exchanged hold lists of neighbours, not single pairs.
+    assert "_others" in found._jdf.queryExecution().executedPlan().toString()
