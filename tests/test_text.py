@@ -222,3 +222,15 @@ def test_rule_lemmas(spark):
     tagged = spark.createDataFrame([("walking", "VBG"), ("walking", "NN"), ("zebras", "NNS")], "term string, tag string")
     found = L.lemmatise(tagged, table, tag=F.col("tag"))
     assert {(r["term"], r["tag"]): r["lemma"] for r in found.collect()} == {("walking", "VBG"): "walk", ("walking", "NN"): "walking", ("zebras", "NNS"): "zebras"}
+
+
+def test_word_kinds_are_found_once_per_word(spark):
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -3.0)], "word string, valence double")
+    texts = spark.createDataFrame([(1, "Very GOOD, not so very bad"), (2, "barely good"), (3, "")], "id int, text string")
+    scored = S.rule_scores(texts, "id", "text", lexicon)
+    first = (2 + S.CAPS + S.BOOST) + (-3 - S.BOOST * (S.DISTANCE[0] + S.DISTANCE[1])) * S.NEGATION
+    second = 2 - S.BOOST
+    want = {1: round(first / (first**2 + S.ALPHA) ** 0.5, 3), 2: round(second / (second**2 + S.ALPHA) ** 0.5, 3), 3: 0.0}
+    assert {r["id"]: r["compound"] for r in scored.collect()} == want
+    # The list of boosters is searched in one place of the plan, not for each of the three words before a word.
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("extremely") == 1

@@ -74,6 +74,10 @@ def lexicon_scores(df: DataFrame, doc: str, text: str, lexicons: dict[str, DataF
     )
 
 
+def _kind(word: Column) -> Column:
+    return F.when(word.isin(*BOOSTERS), "+").when(word.isin(*DAMPENERS), "-").when(word.isin(*NEGATORS), "!").otherwise("")
+
+
 def rule_scores(df: DataFrame, doc: str, text: str, lexicon: DataFrame) -> DataFrame:
     """(doc, polarity, compound, positive, negative, neutral) with context rules.
 
@@ -84,27 +88,26 @@ def rule_scores(df: DataFrame, doc: str, text: str, lexicon: DataFrame) -> DataF
     raw = blank_split(body)
     edge = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
     words = F.transform(raw, lambda w: F.regexp_replace(w, edge, ""))
-    base = df.select(
+    bare = df.select(
         doc, F.explode(F.array(words)).alias("_w"),
         F.least(F.regexp_count(body, F.lit("!")), F.lit(4)).alias("_bangs"),
         (~all_caps(body)).alias("_mixed"),
     )
+    # Lower case, and whether a word strengthens, weakens or negates, once per word and not per word behind it.
+    lowered = bare.withColumn("_low", F.explode(F.array(F.transform("_w", F.lower))))
+    base = lowered.withColumn("_kind", F.explode(F.array(F.transform("_low", _kind))))
 
     def before(i: Column, k: int) -> Column:
-        return F.lower(F.coalesce(F.when(i >= k, F.get("_w", i - k)), F.lit("")))
+        return F.coalesce(F.when(i >= k, F.get("_kind", i - k)), F.lit(""))
 
     def context(w: Column, i: Column) -> Column:
         near = [before(i, k) for k in (1, 2, 3)]
         boost = F.lit(0.0)
-        for near_word, weight in zip(near, DISTANCE):
-            boost = boost + (
-                F.when(near_word.isin(*BOOSTERS), weight * BOOST)
-                .when(near_word.isin(*DAMPENERS), -weight * BOOST)
-                .otherwise(0.0)
-            )
-        negated = near[0].isin(*NEGATORS) | near[1].isin(*NEGATORS) | near[2].isin(*NEGATORS)
+        for kind, weight in zip(near, DISTANCE):
+            boost = boost + F.when(kind == "+", weight * BOOST).when(kind == "-", -weight * BOOST).otherwise(0.0)
+        negated = (near[0] == "!") | (near[1] == "!") | (near[2] == "!")
         return F.struct(
-            F.lower(w).alias("word"), boost.alias("boost"), negated.alias("negated"),
+            F.get("_low", i).alias("word"), boost.alias("boost"), negated.alias("negated"),
             (all_caps(w) & F.col("_mixed")).alias("caps"),
         )
 
