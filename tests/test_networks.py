@@ -456,3 +456,18 @@ def test_a_bound_that_saves_nothing_is_given_up(spark, monkeypatch, metric):
     every = sorted((round(score(a, b), 12) * (1 if metric == "euclidean" else -1), a, b) for a in near for b in near if a < b)
     assert [(r["user1"], r["user2"]) for r in got.collect()] == [(a, b) for _, a, b in every[:5]]
     assert sum(asked) < 30 * 29 / 2
+
+
+@pytest.mark.parametrize("metric,ascending", [("cosine", None), ("jaccard", True)])
+def test_pairs_without_a_common_neighbour_are_listed_in_order_and_never_shuffled(spark, monkeypatch, metric, ascending):
+    monkeypatch.setattr(P, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(U, "_PAIRS_PER_TASK", 30)
+    draw = random.Random(9)
+    for links in ([("a", "b")], sorted({(f"u{draw.randrange(25)}", f"v{draw.randrange(12)}") for _ in range(60)})):
+        found = U.find_similar_users(edge_table(spark, links), False, None, metric, ascending=ascending, include_zero=True)
+        want = sorted(all_pairs_by_brute_force(links, metric), key=lambda r: (r[2] if ascending else -r[2], r[0], r[1]))
+        assert [(r["user1"], r["user2"]) for r in found.collect()] == [w[:2] for w in want]
+        assert [r["similarity"] for r in found.collect()] == pytest.approx([w[2] for w in want], abs=1e-9)
+        assert "LeftAnti" not in found._jdf.queryExecution().executedPlan().toString()
+    empty = U.find_similar_users(edge_table(spark, []), False, None, metric, ascending=ascending, include_zero=True)
+    assert empty.collect() == []
