@@ -162,3 +162,18 @@ def test_query_on_given_documents(spark, coders):
             "groups_sha256": hashlib.sha256(groups.encode()).hexdigest() if groups else "",
         }
     assert len(got) == len(texts)
+
+
+def test_tasks_hold_little_at_once(spark, monkeypatch):
+    made, held = alignment.Aligner(A, B), []
+    laid_out = made.laid_out
+    monkeypatch.setattr(made, "laid_out", lambda texts: held.append(sum(map(len, texts))) or laid_out(texts))
+    texts = ["some words " * 1000] * 150
+    assert len(list(made.texts(texts))) == 150 and sum(held) == 150 * len(texts[0])
+    assert max(held) <= (1 << 20) + len(texts[0])
+    # Fragments of long texts leave the task as they are made, too.
+    slices, map_text = [], alignment.map_text
+    monkeypatch.setattr(alignment, "map_text", lambda *given: slices.append(given[4:]) or map_text(*given))
+    docs = spark.createDataFrame([(1, "some words " * 9000), (2, "short")], "doc_id long, text string")
+    rows = {r["doc_id"]: r["n_a"] for r in alignment.alignments(docs, "doc_id", "text", A, B).collect()}
+    assert rows[1] > 18000 and slices == [(alignment.AT_ONCE,), (), (alignment.AT_ONCE,)]

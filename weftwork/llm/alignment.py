@@ -25,7 +25,7 @@ from weftwork.session import materialise
 
 #: Bytes of a range, fragments that one task composes in a round, bytes of text that a task of the long texts
 #: receives, and bytes of text that a task aligns at once.
-RANGE, FAN, TASK_BYTES, AT_ONCE = 32 << 10, 8, 4 << 20, 2 << 20
+RANGE, FAN, TASK_BYTES, AT_ONCE = 32 << 10, 8, 4 << 20, 1 << 20
 #: Words whose tokens a task remembers, the longest of them, and characters that are tokenised in one go.
 REMEMBERED, REMEMBERED_LENGTH, IN_ONE_GO = 250_000, 64, 32 << 10
 #: A single space between two characters that are no white space. Both tokenisers begin a token there
@@ -106,7 +106,7 @@ class Words:
     def learn(self, new: list[str]) -> None:
         """Words that neither begin nor end with white space are tokenised many at a time, joined by spaces."""
         plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        odd = [] if len(plain) == len(new) else [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
         bounds = np.cumsum([len(w) + 1 for w in plain]) // IN_ONE_GO if plain else np.empty(0, np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(bounds)) + 1).tolist(), len(plain)]
         groups = [plain[i:j] for i, j in zip(cuts, cuts[1:]) if j > i]
@@ -262,7 +262,11 @@ class Aligned:
     def groups(self, after: int, to: int) -> tuple[str, int]:
         """The groups that end behind byte `after`, up to byte `to`, and their number."""
         i, j = np.searchsorted(self.common, [after, to], "right")
-        return self.text[self.spots[i]:max(self.spots[i], self.spots[j] - 1)], int(j - i)
+        return self.written(i, j), int(j - i)
+
+    def written(self, first: int, behind: int) -> str:
+        """The groups from `first` on, up to the one before `behind`."""
+        return self.text[self.spots[first]:max(self.spots[first], self.spots[behind] - 1)]
 
     def links(self, after: int, to: int) -> np.ndarray:
         i, j = np.searchsorted(self.ends, [after, to], "right")
@@ -319,10 +323,11 @@ class Aligner:
             held += len(text)
             if held >= AT_ONCE or stop == len(texts):
                 aligned, ends, whole = self.laid_out(texts[start:stop])
-                before = 0
-                for end, kept in zip(ends.tolist(), whole.tolist()):
-                    yield (*aligned.groups(before, end), aligned.links(before, end), *aligned.count(before, end)) if kept else None
-                    before = end
+                bounds = np.concatenate([[0], ends])
+                places = [aligned.common, aligned.ends, aligned.ends_a, aligned.ends_b]
+                spots = np.column_stack([np.searchsorted(at, bounds, "right") for at in places]).tolist()
+                for (g, c, a, b), (to_g, to_c, to_a, to_b), kept in zip(spots, spots[1:], whole.tolist()):
+                    yield (aligned.written(g, to_g), to_g - g, aligned.codes[c:to_c], to_a - a, to_b - b) if kept else None
                 start, held = stop, 0
 
     def fragments(self, at: int, text: str) -> Iterator[tuple[int, Fragment]]:
@@ -419,7 +424,7 @@ def long_alignments(docs: DataFrame, schema: str, key_type: str, path_a: str, pa
 
     columns = f"row long, _key {key_type}, at long, fragment string"
     dealt = cut.repartition(max(1, -(-size // TASK_BYTES)), "row", "at")
-    level = materialise(map_text(dealt, [F.col("row"), F.col("_key"), F.col("at"), F.col("part")], work, columns), "fragments")
+    level = materialise(map_text(dealt, [F.col("row"), F.col("_key"), F.col("at"), F.col("part")], work, columns, AT_ONCE), "fragments")
 
     def compose(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("at")
