@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftwork.operators import embeddings as E
 from weftwork.operators import skipgram as S
+from weftwork.session import materialise
 
 ROLES = 8
 
@@ -106,3 +107,15 @@ def test_cooccurrences_in_tasks_by_their_number(spark, monkeypatch):
     assert max(often.values()) > 60
     # The rows that are exchanged hold lists of neighbours, not single pairs.
     assert "_others" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_sees_numbers_only(spark):
+    pairs = materialise(E.cooccurrences(spark.createDataFrame(planted(200), "w array<string>"), "w"))
+    table, numbered = S.placed(S.sampling_table(pairs), pairs, 3)
+    assert not [f.name for f in numbered.schema if f.dataType.simpleString() not in ("int", "bigint")]
+    names = {(r["block"], r["place"]): r["token"] for r in table.collect()}
+    for block in range(3):
+        here = [names[key] for key in sorted(names) if key[0] == block]
+        assert here == sorted(here) and max(p for b, p in names if b == block) == len(here) - 1
+    found = {(names[r["token_block"], r["token_place"]], names[r["context_block"], r["context_place"]]): r["n"] for r in numbered.collect()}
+    assert found == {(r["token"], r["context"]): r["n"] for r in pairs.collect()}
