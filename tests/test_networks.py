@@ -471,3 +471,39 @@ def test_pairs_without_a_common_neighbour_are_listed_in_order_and_never_shuffled
         assert "LeftAnti" not in found._jdf.queryExecution().executedPlan().toString()
     empty = U.find_similar_users(edge_table(spark, []), False, None, metric, ascending=ascending, include_zero=True)
     assert empty.collect() == []
+
+
+@pytest.mark.parametrize("elements", [20, 4_000_000])
+def test_bounded_pairs_meet_in_blocks_and_shuffle_neither_meetings_nor_candidates(spark, monkeypatch, elements):
+    from weftwork.operators.vectors import document_similarities
+
+    def never(*args, **kwargs):
+        raise AssertionError("a meeting or a candidate was shuffled")
+
+    monkeypatch.setattr(P, "few_pairs", lambda rows: False)
+    monkeypatch.setattr(P, "_BOUND_SAVES", 0)
+    monkeypatch.setattr(P, "BLOCK_ELEMENTS", elements)
+    monkeypatch.setattr(P, "_MEETINGS_AT_ONCE", 7)
+    for name in ("pair_totals", "opened_products"):
+        monkeypatch.setattr(P, name, never)
+    draw = random.Random(5)
+    vectors = {}
+    for d in range(40):
+        words = {f"w{draw.randrange(30)}": draw.choice([1.0, 2.0, 5.0]) for _ in range(draw.randrange(1, 9))}
+        if d % 4 == 3:
+            words = {**vectors[d - 1], f"x{d}": 0.2}
+        length = math.sqrt(sum(w * w for w in words.values()))
+        vectors[d] = {i: w / length for i, w in words.items()}
+    # Parts of a weight in two rows are its whole.
+    rows = [(d, i, w * part) for d, v in vectors.items() for i, w in v.items() for part in (0.25, 0.75)]
+    pairs, _ = document_similarities(spark.createDataFrame(rows, "doc long, term string, weight double"), "doc", 0.6)
+    got = {(r["left"], r["right"]): r["similarity"] for r in pairs.filter("left < right").collect()}
+    want = {}
+    for a, b in itertools.combinations(sorted(vectors), 2):
+        s = sum(w * vectors[b].get(i, 0.0) for i, w in vectors[a].items())
+        if s >= 0.6:
+            want[a, b] = s
+    heads = {a: min(b for b in vectors if vectors[b] == pytest.approx(vectors[a], abs=1e-12)) for a in vectors}
+    want = {(a, b): s for (a, b), s in want.items() if heads[a] == a and heads[b] == b}
+    assert len(want) > 10
+    assert got == pytest.approx(want)
