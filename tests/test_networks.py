@@ -507,3 +507,19 @@ def test_bounded_pairs_meet_in_blocks_and_shuffle_neither_meetings_nor_candidate
     want = {(a, b): s for (a, b), s in want.items() if heads[a] == a and heads[b] == b}
     assert len(want) > 10
     assert got == pytest.approx(want)
+
+
+def test_cells_are_gathered_in_tasks_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(K, "ROWS_PER_TASK", 50)
+    draw = random.Random(2)
+    rows = [(draw.randrange(40), draw.choice([None, *range(30)]), draw.randrange(9)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "r long, c long, q long")
+    found, summed = K.incidence(df, "r", "c"), K.summed_cells(df, "r", "c", "q")
+    known = sum(c is not None for _, c, _ in rows)
+    assert found.rdd.getNumPartitions() == math.ceil(known / 50) and summed.rdd.getNumPartitions() == 18
+    got = [(r["row_item"], r["col_item"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == {(r, c) for r, c, _ in rows if c is not None}
+    want = {}
+    for r, c, q in rows:
+        want[r, c] = want.get((r, c), 0) + q
+    assert {(r["row_item"], r["col_item"]): r["w"] for r in summed.collect()} == want

@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.operators.pairs import few_pairs, pair_totals, products_at_least
 from weftwork.session import materialise
 
+#: Rows of a two-mode table whose cells one task holds.
+ROWS_PER_TASK = 2_000_000
+
 
 def melt(df: DataFrame, ids: list[str], values: list[str], name: str = "choice", value: str = "value") -> DataFrame:
     """Wide to long: one row per id and value column."""
     return df.unpivot(ids, values, name, value)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """(row_item, col_item, ...) with equal cells in one task; the number of tasks follows that of the rows.
+
+    Cells seldom repeat, so a task that gathers them ahead of the shuffle would only hold its whole part of the table.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / ROWS_PER_TASK))
+    return rows.repartition(tasks, "row_item", "col_item")
+
+
 def incidence(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Distinct (row_item, col_item); absent pairs are the zeros."""
-    return df.select(F.col(row).alias("row_item"), F.col(col).alias("col_item")).filter(
+    """Distinct (row_item, col_item); absent pairs are the zeros. df is read twice."""
+    return _dealt(df.select(F.col(row).alias("row_item"), F.col(col).alias("col_item")).filter(
         F.col(row).isNotNull() & F.col(col).isNotNull()
-    ).distinct()
+    )).distinct()
+
+
+def summed_cells(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
+    """(row_item, col_item, w): the sum of value over the rows of each cell. df is read twice."""
+    rows = _dealt(df.select(F.col(row).alias("row_item"), F.col(col).alias("col_item"), F.col(value).alias("w")))
+    return rows.groupBy("row_item", "col_item").agg(F.sum("w").cast("double").alias("w"))
 
 
 def incidence_matrix(cells: DataFrame, columns: list) -> DataFrame:

@@ -491,9 +491,7 @@ def scaled_weights(spark, folder):
     SELECT x.r AS "left", y.r AS "right", round(sum(x.w * y.w), 2) AS weight FROM b x JOIN b y ON x.c = y.c AND x.r < y.r GROUP BY ALL
 """)
 def weighted_projection(spark, folder):
-    amounts = read_table(spark, folder, "lineitem").groupBy(
-        F.col("l_suppkey").alias("row_item"), F.col("l_partkey").alias("col_item")
-    ).agg(F.sum("l_quantity").cast("double").alias("w"))
+    amounts = K.summed_cells(read_table(spark, folder, "lineitem"), "l_suppkey", "l_partkey", "l_quantity")
     return K.project(amounts, weight=F.col("w")).withColumn("weight", F.round("weight", 2))
 
 
@@ -518,9 +516,7 @@ def close_suppliers(spark, folder):
     GROUP BY ALL ORDER BY weight DESC, "left", "right" LIMIT 50
 """)
 def heaviest_pairs(spark, folder):
-    amounts = read_table(spark, folder, "lineitem").groupBy(
-        F.col("l_suppkey").alias("row_item"), F.col("l_partkey").alias("col_item")
-    ).agg(F.sum("l_quantity").cast("double").alias("w"))
+    amounts = K.summed_cells(read_table(spark, folder, "lineitem"), "l_suppkey", "l_partkey", "l_quantity")
     return K.project(amounts, weight=F.col("w"), top_n=50).withColumn("weight", F.round("weight", 2))
 
 
