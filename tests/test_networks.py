@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -523,3 +524,11 @@ def test_cells_are_gathered_in_tasks_by_their_rows(spark, monkeypatch):
     for r, c, q in rows:
         want[r, c] = want.get((r, c), 0) + q
     assert {(r["row_item"], r["col_item"]): r["w"] for r in summed.collect()} == want
+
+
+def test_lists_of_meetings_are_written_by_tasks_that_follow_the_meetings(spark, monkeypatch):
+    monkeypatch.setattr(P, "MEETINGS_PER_TASK", 100)
+    cells = spark.createDataFrame([(r, c) for c in range(20) for r in range(c, c + 30)], "row_item long, col_item long")
+    plan = K.project(cells)._jdf.queryExecution().optimizedPlan().toString()
+    tasks = [int(n) for n in re.findall(r"RepartitionByExpression \[item#\d+L?\], (\d+)", plan)]
+    assert tasks == [math.ceil(20 * 435 / 400)]
