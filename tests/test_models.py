@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -156,3 +157,35 @@ def test_vectors_do_not_depend_on_partitions(spark):
                 for pair in ((a, b), (b, a)):
                     want[pair] = want.get(pair, 0) + 1
     assert n == want
+
+
+def test_cells_of_an_association_are_numbered_and_held_once(spark):
+    # "a" stands beside "a", "b" and "c" exactly as often as any token does, so it has no positive association.
+    texts = [["b", "b"], ["c", "c"], ["a", "a"], ["a", "a"], ["a", "b"], ["a", "b"], ["c", "a"], ["c", "a"]]
+    rng = random.Random(5)
+    for texts, names in [(texts, ["b", "c"]), ([[f"w{min(rng.randrange(9), rng.randrange(9))}" for _ in range(7)] for _ in range(30)], None)]:
+        df = spark.createDataFrame([(t,) for t in texts], "w array<string>")
+        want = {(r["token"], r["context"]): r["weight"] for r in E.association(E.cooccurrences(df, "w")).collect()}
+        numbers, cells = E._association_cells(E.materialise(E._counted_once(df, "w", 5, 2)))
+        name = {r["number"]: r["token"] for r in numbers.collect()}
+        assert [name[i] for i in range(len(name))] == sorted({t for t, _ in want}) and names in (None, list(name[i] for i in range(len(name))))
+        rows = [(name[r["row"]], name[r["column"]], r["weight"]) for r in cells.collect()]
+        assert len({frozenset(r[:2]) for r in rows}) == len(rows)
+        held = {k: w for a, b, w in rows for k in ((a, b), (b, a))}
+        assert set(held) == set(want) and all(held[k] == pytest.approx(want[k], abs=1e-6) for k in held)
+
+
+def test_a_written_table_leaves_nothing_shuffled_behind(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        every = files.getAllFiles()
+        return {name for i in range(every.length()) if (name := every.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    table = E.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "k"))
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left and table.count() == 7
