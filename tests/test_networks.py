@@ -532,3 +532,37 @@ def test_lists_of_meetings_are_written_by_tasks_that_follow_the_meetings(spark,
     plan = K.project(cells)._jdf.queryExecution().optimizedPlan().toString()
     tasks = [int(n) for n in re.findall(r"RepartitionByExpression \[item#\d+L?\], (\d+)", plan)]
     assert tasks == [math.ceil(20 * 435 / 400)]
+
+
+def test_moving_rounds_look_at_borders_only(spark):
+    rng = random.Random(11)
+    rows = sorted({(min(a, b), max(a, b)) for a, b in ((rng.randrange(30), rng.randrange(30)) for _ in range(90)) if a != b})
+    table = spark.createDataFrame(rows, "src long, dst long")
+    edges, strengths, total = M.start_tables(table)
+    member = materialise(spark.range(30).select("id", (F.col("id") % 4).alias("community")))
+    places = materialise(M.better_places(edges, strengths, member, total))
+    first = M._open_throw(places, 5)
+    assert all(M.moving_round(places, total, 1.0, s).isEmpty() for s in range(5, first)) and not M.moving_round(places, total, 1.0, first).isEmpty()
+    # Communities that lost a vertex are all that may fall apart, the others only take their smallest name.
+    start = materialise(M.connected_parts(edges, member))
+    settled, lost = M._moved(edges, strengths, start, total, 1.0)
+    settled, names = materialise(settled), {r[0] for r in lost.collect()}
+    before, after = dict(start.collect()), dict(settled.collect())
+    assert {before[v] for v in before if before[v] != after[v]} <= names and names
+    assert M.better_places(edges, strengths, settled, total).isEmpty()
+    every, some = M.connected_parts(edges, settled), M.connected_parts(edges, settled, lost)
+    assert dict(some.collect()) == dict(every.collect())
+
+
+def test_a_vertex_inside_its_community_is_not_looked_at(spark):
+    # Two triangles with one link between them: only its two ends have links summed.
+    edges = spark.createDataFrame([(1, 2, 1.0), (1, 3, 1.0), (2, 3, 1.0), (4, 5, 1.0), (4, 6, 1.0), (5, 6, 1.0), (3, 4, 1.0)], "a long, b long, w double")
+    member = spark.createDataFrame([(i, i > 3) for i in range(1, 7)], "id long, community boolean")
+    labels = {}
+    write = M.materialise
+    M.materialise = lambda df, label: labels.setdefault(label, write(df, label))
+    try:
+        assert M.better_places(edges, M._strengths(edges), member, 7.0).isEmpty()
+    finally:
+        M.materialise = write
+    assert {r["id"] for r in labels["community-links"].collect()} == {3, 4}

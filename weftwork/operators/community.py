@@ -144,9 +144,10 @@ def numbered(member: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- vertices that move
 
-def _coin(name, salt: int):
+def _coin(name, salt):
     """Whether a community may receive vertices in a round; the others may lose some."""
-    digit = F.substring(F.md5(F.concat_ws("|", F.lit(str(salt)), name.cast("string")).cast("binary")), 1, 1)
+    salt = F.lit(str(salt)) if isinstance(salt, int) else salt.cast("string")
+    digit = F.substring(F.md5(F.concat_ws("|", salt, name.cast("string")).cast("binary")), 1, 1)
     return digit >= "8"
 
 
@@ -156,14 +157,37 @@ def better_places(edges: DataFrame, strengths: DataFrame, member: DataFrame, tot
     gain, times total, is w_to - w_from - resolution * k * (s_to - (s_from - k)) / (2 total), to 9 decimals: w are
     the vertex's links into both communities without itself, s their strengths, k its own.
     """
-    both = edges.filter(F.col("a") != F.col("b")).select(F.explode(F.array(
-        F.struct(F.col("a").alias("id"), F.col("b").alias("other"), "w"), F.struct(F.col("b").alias("id"), F.col("a").alias("other"), "w")
-    )).alias("_e")).select("_e.*")
-    named = member.select(F.col("id").alias("other"), F.col("community").alias("to"))
-    links = materialise(both.join(named, "other").groupBy("id", "to").agg(F.sum("w").alias("w")), "community-links")
-    own = member.select("id", F.col("community").alias("from")).join(strengths, "id")
-    sums = materialise(own.groupBy("from").agg(F.sum("k").alias("s")), "community-strengths")
-    held = own.join(links.select("id", F.col("to").alias("from"), F.col("w").alias("w_from")), ["id", "from"], "left")
+    return _places(_placed(edges, member), _owned(strengths, member), total, resolution)
+
+
+def _placed(edges: DataFrame, member: DataFrame) -> DataFrame:
+    """(a, b, w, _a, _b), written: edges between two vertices and their communities."""
+    ends = edges.filter(F.col("a") != F.col("b"))
+    for side in ("a", "b"):
+        ends = ends.join(member.select(F.col("id").alias(side), F.col("community").alias(f"_{side}")), side)
+    return materialise(ends.select("a", "b", "w", "_a", "_b"), "placed-edges")
+
+
+def _owned(strengths: DataFrame, member: DataFrame) -> DataFrame:
+    """(id, from, k), written: vertices with their communities and strengths."""
+    return materialise(member.select("id", F.col("community").alias("from")).join(strengths, "id"), "owned")
+
+
+def _places(placed: DataFrame, owned: DataFrame, total: float, resolution: float) -> DataFrame:
+    """better_places of the ends of edges between communities, which alone have any; only their links and the
+    strengths of the communities that they touch are summed up.
+    """
+    across = materialise(placed.filter(F.col("_a") != F.col("_b")), "across")
+    border = materialise(across.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "border")
+    touched = materialise(across.select(F.explode(F.array("_a", "_b")).alias("from")).distinct(), "touched")
+    both = placed.select(F.inline(F.array(
+        F.struct(F.col("a").alias("id"), F.col("_b").alias("to"), "w"), F.struct(F.col("b").alias("id"), F.col("_a").alias("to"), "w")
+    )))
+    links = materialise(both.join(border, "id", "left_semi").groupBy("id", "to").agg(F.sum("w").alias("w")), "community-links")
+    sums = materialise(owned.join(touched, "from", "left_semi").groupBy("from").agg(F.sum("k").alias("s")), "community-strengths")
+    held = owned.join(border, "id", "left_semi").join(
+        links.select("id", F.col("to").alias("from"), F.col("w").alias("w_from")), ["id", "from"], "left"
+    )
     held = materialise(held.join(sums.withColumnRenamed("s", "s_from"), "from").fillna(0.0, ["w_from"]), "held")
     offers = links.join(held, "id").filter(F.col("to") != F.col("from")).join(
         sums.select(F.col("from").alias("to"), F.col("s").alias("s_to")), "to"
@@ -195,33 +219,72 @@ def moving_round(places: DataFrame, total: float, resolution: float = 1.0, salt:
     return lined.filter(after > 0).select("id", "to")
 
 
+#: Throws of the coins that are looked at together.
+_THROWS = 64
+
+
+def _open_throw(places: DataFrame, salt: int) -> int:
+    """The first throw of the coins from salt on that leaves a move open; there is one, as all places differ from where they are left."""
+    ways = materialise(places.select("from", "to").distinct(), "ways")
+    while True:
+        thrown = ways.withColumn("_salt", F.explode(F.sequence(F.lit(salt), F.lit(salt + _THROWS - 1))))
+        first = thrown.filter(_coin(F.col("to"), F.col("_salt")) & ~_coin(F.col("from"), F.col("_salt"))).agg(F.min("_salt")).first()[0]
+        if first is not None:
+            return first
+        salt += _THROWS
+
+
 def moved(edges: DataFrame, strengths: DataFrame, member: DataFrame, total: float, resolution: float = 1.0) -> DataFrame:
     """member(id, community) after moving rounds until no vertex has a better place."""
+    return _moved(edges, strengths, member, total, resolution)[0]
+
+
+def _moved(edges: DataFrame, strengths: DataFrame, member: DataFrame, total: float, resolution: float) -> tuple[DataFrame, DataFrame]:
+    """(moved(), communities(community) that lost a vertex at some time).
+
+    Edges and vertices are joined with their communities once; rounds look up only the vertices moved since.
+    """
     member = materialise(member.select("id", "community"), "members")
-    salt = 0
+    placed, owned = _placed(edges, member), _owned(strengths, member)
+    gone, lost, salt = None, member.select("community").limit(0), 0
+
+    def now(table: DataFrame, vertex: str, community: str) -> DataFrame:
+        if gone is None:
+            return table
+        looked = table.join(gone.select(F.col("id").alias(vertex), F.col("to").alias("_now")), vertex, "left")
+        return looked.withColumn(community, F.coalesce("_now", community)).drop("_now")
+
     while True:
-        places = materialise(better_places(edges, strengths, member, total, resolution), "better-places")
+        ends = now(now(placed, "a", "_a"), "b", "_b")
+        places = materialise(_places(ends, now(owned, "id", "from"), total, resolution), "better-places")
         if places.isEmpty():
-            return member
+            return now(member, "id", "community"), lost
         # A throw of the coins may leave no move open; the next one is thrown for the same places.
-        while (moves := materialise(moving_round(places, total, resolution, salt), "moves")).isEmpty():
-            salt += 1
-        member = materialise(
-            member.join(moves, "id", "left").select("id", F.coalesce("to", "community").alias("community")), "members"
-        )
+        salt = _open_throw(places, salt)
+        moves = materialise(moving_round(places, total, resolution, salt), "moves")
+        left = moves.join(places.select("id", F.col("from").alias("community")).distinct(), "id").select("community")
+        lost = materialise(lost.unionByName(left).distinct(), "lost")
+        gone = moves if gone is None else materialise(gone.join(moves, "id", "left_anti").unionByName(moves), "gone")
         salt += 1
 
 
-def connected_parts(edges: DataFrame, member: DataFrame) -> DataFrame:
+def connected_parts(edges: DataFrame, member: DataFrame, doubtful: DataFrame | None = None) -> DataFrame:
     """member with every community split into its connected parts, named by their smallest vertex.
 
-    Parts without a link between them gain nothing from being one community.
+    Parts without a link between them gain nothing from being one community. Where doubtful(community) is given,
+    all other communities are known to be connected and only take the name.
     """
+    looked = member if doubtful is None else materialise(member.join(doubtful, "community", "left_semi"), "doubtful")
     ends = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     for side in ("src", "dst"):
-        ends = ends.join(member.select(F.col("id").alias(side), F.col("community").alias(f"_{side}")), side)
+        ends = ends.join(looked.select(F.col("id").alias(side), F.col("community").alias(f"_{side}")), side)
     inside = materialise(ends.filter(F.col("_src") == F.col("_dst")).select("src", "dst"), "inside")
-    return connected_components(member.select("id"), inside).withColumnRenamed("component", "community")
+    parts = connected_components(looked.select("id"), inside).withColumnRenamed("component", "community")
+    if doubtful is None:
+        return parts
+    whole = member.join(doubtful, "community", "left_anti")
+    least = materialise(whole.groupBy("community").agg(F.min("id").alias("_least")), "least")
+    return whole.join(least, "community").select("id", F.col("_least").alias("community")).unionByName(parts.select("id", "community"))
 
 
 def contracted(edges: DataFrame, strengths: DataFrame, member: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -250,7 +313,9 @@ def moved_communities(vertices: DataFrame, edges: DataFrame, resolution: float =
         joined = materialise(
             member.join(names, "community", "left").select("id", F.coalesce("to", "community").alias("community")), "members"
         )
-        member = materialise(connected_parts(base, moved(base, strengths, joined, total, resolution)), "members")
+        # Merges and joins follow links, so only a community that lost a vertex can fall apart.
+        settled, lost = _moved(base, strengths, joined, total, resolution)
+        member = materialise(connected_parts(base, materialise(settled, "members"), lost), "members")
         if merge_round(*contracted(base, strengths, member), total, resolution).isEmpty() and better_places(
             base, strengths, member, total, resolution
         ).isEmpty():
