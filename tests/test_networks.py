@@ -11,6 +11,7 @@ from weftwork.operators import graph as G
 from weftwork.operators import pairs as P
 from weftwork.operators import similarity as U
 from weftwork.operators import twomode as K
+from weftwork.plans.network import QUERIES
 from weftwork.session import materialise
 
 
@@ -566,3 +567,25 @@ def test_a_vertex_inside_its_community_is_not_looked_at(spark):
     finally:
         M.materialise = write
     assert {r["id"] for r in labels["community-links"].collect()} == {3, 4}
+
+
+def test_scaled_weights_read_the_shuffled_projection_twice(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.randrange(8), rng.randrange(20)) for _ in range(80)]
+    spark.createDataFrame(rows, "l_suppkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = QUERIES["K6_scaled_weights"].run(spark, str(tmp_path))
+    parts = {s: {p for t, p in rows if t == s} for s, _ in rows}
+    want = {(a, b): len(parts[a] & parts[b]) for a, b in itertools.combinations(sorted(parts), 2) if parts[a] & parts[b]}
+    most = max(want.values())
+    assert {(r["left"], r["right"]): (r["weight"], r["width"]) for r in found.collect()} == {k: (w, round(w / most * 3, 6)) for k, w in want.items()}
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_counts_carry_no_weights(spark):
+    rng = random.Random(4)
+    rows = sorted({(f"u{rng.randrange(12)}", f"i{rng.randrange(9)}") for _ in range(50)})
+    table = materialise(spark.createDataFrame([(o, i, 0.5) for o, i in rows], "owner string, item string, weight double"))
+    want = {(r["left"], r["right"]): r["common"] for r in P.shared_products(table).collect()}
+    counts = P.shared_counts(table)
+    assert {(r["left"], r["right"]): r["common"] for r in counts.collect()} == want
+    assert "_c_weight" not in counts._jdf.queryExecution().optimizedPlan().toString()

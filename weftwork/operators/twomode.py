@@ -111,6 +111,9 @@ def relabel(projection: DataFrame, names: DataFrame, key: str, name: str) -> Dat
 
 
 def scaled_weights(projection: DataFrame, to: float = 3.0) -> DataFrame:
-    """Adds width = weight / largest weight * to."""
+    """Adds width = weight / largest weight * to.
+
+    A projection need not be written for it: the search of the largest weight reads what the projection shuffles.
+    """
     largest = projection.agg(F.max("weight")).scalar()
     return projection.withColumn("width", F.col("weight") / largest * to)

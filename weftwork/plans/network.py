@@ -483,7 +483,7 @@ def relabelled_projection(spark, folder):
     SELECT l AS "left", r AS "right", weight, round(weight / (SELECT max(weight) FROM pr) * 3, 6) AS width FROM pr
 """)
 def scaled_weights(spark, folder):
-    return rounded(K.scaled_weights(materialise(K.project(cells(spark, folder)), "projection")), "width")
+    return rounded(K.scaled_weights(K.project(cells(spark, folder))), "width")
 
 
 @QUERIES.add("K7_weighted_projection", """
