@@ -119,3 +119,35 @@ def test_training_sees_numbers_only(spark):
         assert here == sorted(here) and max(p for b, p in names if b == block) == len(here) - 1
     found = {(names[r["token_block"], r["token_place"]], names[r["context_block"], r["context_place"]]): r["n"] for r in numbered.collect()}
     assert found == {(r["token"], r["context"]): r["n"] for r in pairs.collect()}
+
+
+def test_pairs_travel_counted_and_packed(spark, monkeypatch):
+    draw = random.Random(3)
+    texts = [[f"w{min(int(draw.expovariate(0.1)), 60)}" for _ in range(40)] + [None, f"rare{i}"] for i in range(150)]
+    df = spark.createDataFrame([*((t,) for t in texts), (None,), ([],)], "w array<string>").repartition(2)
+    want = {(r["token"], r["context"]): r["n"] for r in E.cooccurrences(df, "w").collect()}
+    occurrences, often = Counter(), Counter(w for t in texts for w in t if w)
+    for t in texts:
+        for i, a in enumerate(t):
+            occurrences.update((a, b) for j, b in enumerate(t) if i != j and abs(i - j) <= 5 and min(often[a], often[b]) > 1)
+    assert want == occurrences
+    # Each of the two tasks sends a list to a bucket, not a row for an occurrence, and equal pairs are one entry of it.
+    _, _, lists = E._pair_lists(df, "w", 5, 2)
+    rows = lists.collect()
+    assert len(rows) <= 2 * len({r["bucket"] for r in rows})
+    # Behind its width, a list has the number of its entries.
+    assert sum(int.from_bytes(r["_others"][1:5], "little") for r in rows) <= 2 * len(want) < sum(occurrences.values()) / 2
+    # In small pieces, and with a vocabulary that no task holds, the counts are the same.
+    monkeypatch.setattr(E, "_PAIRS_AT_ONCE", 5000)
+    monkeypatch.setattr(E, "_ROWS_AT_ONCE", 7)
+    assert {(r["token"], r["context"]): r["n"] for r in E.cooccurrences(df, "w").collect()} == want
+    monkeypatch.setattr(E, "VOCABULARY_BYTES", 0)
+    assert {(r["token"], r["context"]): r["n"] for r in E.cooccurrences(df, "w").collect()} == want
+
+
+def test_shares_from_packed_pairs(spark):
+    df = spark.createDataFrame([(["a", "b", "a", "c", "c"],), (["c", None, "a"],)], "w array<string>")
+    lists = E._pair_lists(df, "w", 2, 2)[2]
+    assert "MapInArrow" in lists._jdf.queryExecution().executedPlan().toString()
+    rows = {r["token"]: r["n"] for r in S.sampling_table(E.cooccurrences(df, "w", window=2)).collect()}
+    assert rows == {"a": 5, "c": 5}

@@ -8,6 +8,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +22,12 @@ from weftwork.session import discard, materialise
 #: Query vectors that one scan of a model serves.
 QUERIES_AT_ONCE = 1000
 #: Occurrences whose neighbours one task counts.
-TOKENS_PER_TASK = 400_000
+TOKENS_PER_TASK = 1_000_000
+#: Bytes of a vocabulary that tasks hold as a whole.
+VOCABULARY_BYTES = 128_000_000
+#: Pairs that a task counts before it passes them on, and rows that it hands on together.
+_PAIRS_AT_ONCE = 8_000_000
+_ROWS_AT_ONCE = 100_000
 #: Cells of a table that one block of a factorisation holds, and its least blocks.
 CELLS_PER_BLOCK = 32_000_000
 _LEAST_BLOCKS = 10
@@ -161,9 +169,8 @@ def cooccurrences(df: DataFrame, tokens: str, window: int = 5, min_count: int =
     """(token, context, n): how often two tokens stand at most window places apart, in both orders.
 
     Tokens that occur fewer than min_count times are left out of the result, not of the distances.
-    Every occurrence travels once, with the list of the tokens beside it that are not smaller, to the task that
-    counts all pairs of its token; no single pair is shuffled for that, and the number of those tasks follows the
-    number of occurrences. A token with more than TOKENS_PER_TASK occurrences is dealt to several tasks.
+    Every task counts the pairs of its texts by number and passes them on in packed lists (see _pair_lists); no
+    single pair is shuffled, and the number of tasks that sum them up follows the number of occurrences.
     """
     return _both_orders(_counted_once(df, tokens, window, min_count), "a", "b", "n").withColumnsRenamed({"a": "token", "b": "context"})
 
@@ -176,34 +183,163 @@ def _both_orders(pairs: DataFrame, a: str, b: str, value: str) -> DataFrame:
 
 def _counted_once(df: DataFrame, tokens: str, window: int, min_count: int) -> DataFrame:
     """(a, b, n), a <= b: cooccurrences() with one row per two tokens."""
-    counts = df.select(F.explode(tokens).alias("a")).groupBy("a").agg(F.count("*").alias("_n"))
+    vocabulary, known, lists = _pair_lists(df, tokens, window, min_count)
+    if known is not None:
+        return _summed_pairs(lists, vocabulary, known)
+    pairs = _summed_pairs(lists, vocabulary)
+    for side in ("a", "b"):
+        pairs = pairs.withColumnRenamed(side, "number").join(vocabulary.withColumnRenamed("token", side), "number").drop("number")
+    return pairs.select("a", "b", "n")
+
+
+def counted_numbers(df: DataFrame, tokens: str, window: int, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """(vocabulary(token, number), pairs(a, b, n)): cooccurrences() with one row per two tokens, in numbers by name, a <= b."""
+    vocabulary, _, lists = _pair_lists(df, tokens, window, min_count)
+    return vocabulary, _summed_pairs(lists, vocabulary)
+
+
+def _pair_lists(df: DataFrame, tokens: str, window: int, min_count: int) -> tuple[DataFrame, Broadcast | None, DataFrame]:
+    """(vocabulary(token, number), known, lists(bucket, _others, _n)): the pairs of each task in packed lists.
+
+    A task looks up the numbers of its tokens and counts equal pairs before it passes them on; the lists hold sorted
+    pairs of numbers, as differences, and their counts. Buckets are the cells of a grid over both tokens, so that the
+    pairs of a common token are dealt to a whole row and column, while a token stands in few buckets. known is the
+    vocabulary as tasks hold it, or None if it is too large for that: numbers are then joined with the occurrences.
+    """
+    spark = df.sparkSession
+    counts = df.select(F.explode(tokens).alias("token")).filter(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("_n"))
     kept = materialise(counts.filter(F.col("_n") >= min_count), "tokens")
-    hot = materialise(kept.filter(F.col("_n") > TOKENS_PER_TASK).select("a", F.ceil(F.col("_n") / TOKENS_PER_TASK).cast("int").alias("_parts")), "hot-tokens")
-    total = kept.agg(F.sum("_n")).first()[0] or 0
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / TOKENS_PER_TASK))
-
-    def beside(x: Column, i: Column) -> Column:
-        later = F.slice(tokens, i + 2, window)
-        earlier = F.slice(tokens, F.greatest(i + 1 - window, F.lit(1)), F.least(i, F.lit(window)))
-        both = F.concat(F.filter(earlier, lambda y: y > x), F.filter(later, lambda y: y >= x))
-        return F.struct(x.alias("a"), both.alias("_others"))
-
-    def counted(rows: DataFrame, *place: str) -> DataFrame:
-        opened = rows.repartition(tasks, "a", *place).select("a", *place, F.explode("_others").alias("b"))
-        return opened.groupBy("a", "b", *place).agg(F.count("*").alias("n")).drop(*place)
-
-    near = df.select(F.inline(F.transform(tokens, beside))).filter(F.size("_others") > 0)
-    known = kept.select("a")
-    if hot.isEmpty():
-        once = counted(near).join(known, "a", "left_semi")
+    total, held, size = kept.agg(F.sum("_n"), F.sum(F.octet_length(F.col("token").cast("string")) + 8), F.count("*")).first()
+    vocabulary = position(kept.select("token"), [], [F.col("token").asc()], "number")
+    vocabulary = materialise(vocabulary.select("token", F.col("number").cast("int").alias("number")), "vocabulary")
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil((total or 0) / TOKENS_PER_TASK))
+    known = None
+    if (held or 0) <= VOCABULARY_BYTES:
+        table = vocabulary.orderBy("number").select("token").toArrow()
+        known = spark.sparkContext.broadcast(table.column(0).combine_chunks())
+        texts = df.select(F.col(tokens).alias("_tokens"))
     else:
-        parted = near.join(hot, "a").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        here = F.filter("_others", lambda y: F.pmod(F.xxhash64(y), F.col("_parts")).cast("int") == F.col("_part"))
-        parted = parted.withColumn("_others", here).filter(F.size("_others") > 0).drop("_parts")
-        once = counted(near.join(hot, "a", "left_anti")).join(known, "a", "left_semi").unionByName(counted(parted, "_part"))
-    once = once.join(known.withColumnRenamed("a", "b"), "b", "left_semi")
-    # A token beside itself stands in both orders in the same row.
-    return once.withColumn("n", F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n")))
+        opened = df.select(F.monotonically_increasing_id().alias("_text"), F.col(tokens).alias("_tokens"))
+        opened = opened.select("_text", F.posexplode("_tokens").alias("_at", "token"))
+        listed = F.sort_array(F.collect_list(F.struct("_at", "number"))).alias("_v")
+        texts = opened.join(vocabulary, "token").groupBy("_text").agg(listed)
+        texts = texts.select(F.col("_v._at").alias("_at"), F.col("_v.number").alias("_number"))
+    side = math.ceil(math.sqrt(tasks))
+    kernel = _listing(window, size, side, known)
+    lists = texts.mapInArrow(kernel, "bucket int, _others binary, _n binary")
+    return vocabulary, known, lists.repartitionById(side * side, "bucket")
+
+
+def _listing(window: int, size: int, side: int, known: Broadcast | None):
+    """The pairs of numbers at most window places apart in a task's texts, counted, as packed lists for side^2 buckets."""
+    def pack(values: np.ndarray) -> bytes:
+        # Bytes of equal weight stand together; those of great weight are mostly zero.
+        width = max(1, (int(values.max()).bit_length() + 7) // 8)
+        planes = values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+        return bytes([width]) + len(values).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+    def dealt(numbers: np.ndarray) -> np.ndarray:
+        return (numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(side)
+
+    def laid_out(batch: pa.RecordBatch) -> np.ndarray:
+        """Numbers of all texts one after the other, -1 for no number, with a gap of window places behind each text."""
+        first = batch.column(0)
+        lengths = first.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        if known is not None:
+            flat = first.flatten()
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            numbers = pc.index_in(flat, value_set=known.value.cast(flat.type)).fill_null(-1).to_numpy()
+            places = lengths
+        else:
+            at, numbers = (batch.column(i).flatten().to_numpy().astype(np.int64) for i in (0, 1))
+            places = np.zeros(len(lengths), dtype=np.int64)
+            places[lengths > 0] = at[np.cumsum(lengths)[lengths > 0] - 1] + 1
+        starts = np.cumsum(places + window) - (places + window)
+        laid = np.full(int((places + window).sum()), -1, dtype=np.int64)
+        laid[np.repeat(starts, lengths) + at] = numbers
+        return laid
+
+    def counted(laid: np.ndarray, start: int, end: int) -> pa.RecordBatch:
+        found = []
+        for apart in range(1, window + 1):
+            x, y = laid[start:end], laid[start + apart:end + apart]
+            x = x[:len(y)]
+            both = (x >= 0) & (y >= 0)
+            x, y = x[both], y[both]
+            found.append(np.minimum(x, y) * size + np.maximum(x, y))
+        pairs = np.concatenate(found)
+        del found
+        pairs.sort()
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        counts, pairs = np.diff(first, append=len(pairs)), pairs[first]
+        bucket = (dealt(pairs // size) * np.uint64(side) + dealt(pairs % size)).astype(np.uint16 if side <= 256 else np.int64)
+        order = np.argsort(bucket, kind="stable")
+        pairs, counts, bucket = pairs[order], counts[order], bucket[order]
+        cuts = np.append(np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)), len(bucket)).tolist()
+        rows = [
+            (int(bucket[i]), pack(np.diff(pairs[i:j], prepend=0)), pack(counts[i:j])) for i, j in zip(cuts[:-1], cuts[1:])
+        ]
+        columns = list(zip(*rows)) or [[], [], []]
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "_others", "_n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, _PAIRS_AT_ONCE // max(1, window))
+        held, n = [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            laid = np.concatenate(held)
+            for start in range(0, len(laid), step):
+                yield counted(laid, start, min(start + step, len(laid)))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(laid_out(batch))
+            n += len(held[-1])
+            if n >= step:
+                yield from flushed()
+                held, n = [], 0
+        if held and window > 0 and size:
+            yield from flushed()
+
+    return run
+
+
+def _summed_pairs(lists: DataFrame, vocabulary: DataFrame, known: Broadcast | None = None) -> DataFrame:
+    """(a, b, n) of the lists of all tasks, in numbers, or by name where the vocabulary is given as tasks hold it."""
+    size = vocabulary.count()
+    kind = "int" if known is None else vocabulary.schema["token"].dataType.simpleString()
+
+    def unpack(packed: bytes) -> np.ndarray:
+        width, n = packed[0], int.from_bytes(packed[1:5], "little")
+        planes = np.frombuffer(pa.decompress(memoryview(packed)[5:], width * n, codec="zstd"), np.uint8).reshape(width, n)
+        wide = np.zeros((n, 8), dtype=np.uint8)
+        wide[:, :width] = planes.T
+        return wide.view("<i8")[:, 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, counts = [], []
+        for batch in batches:
+            pairs += [np.cumsum(unpack(x)) for x in batch.column("_others").to_pylist()]
+            counts += [unpack(x) for x in batch.column("_n").to_pylist()]
+        if not pairs:
+            return
+        pairs, counts = np.concatenate(pairs), np.concatenate(counts)
+        order = np.argsort(pairs, kind="stable")
+        pairs, counts = pairs[order], counts[order]
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        pairs, counts = pairs[first], np.add.reduceat(counts, first)
+        for start in range(0, len(pairs), _ROWS_AT_ONCE):
+            part, n = pairs[start:start + _ROWS_AT_ONCE], counts[start:start + _ROWS_AT_ONCE]
+            a, b = part // size, part % size
+            # A token beside itself stands in both orders in the same row.
+            ends = [pa.array(x.astype(np.int32)) for x in (a, b)]
+            if known is not None:
+                ends = [known.value.take(x) for x in ends]
+            yield pa.RecordBatch.from_arrays([*ends, pa.array(np.where(a == b, 2 * n, n))], ["a", "b", "n"])
+
+    return lists.mapInArrow(run, f"a {kind}, b {kind}, n bigint")
 
 
 def association(pairs: DataFrame) -> DataFrame:
