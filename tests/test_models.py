@@ -175,6 +175,21 @@ def test_cells_of_an_association_are_numbered_and_held_once(spark):
         assert set(held) == set(want) and all(held[k] == pytest.approx(want[k], abs=1e-6) for k in held)
 
 
+def test_blocks_of_a_factorisation_fit_a_small_heap(spark, monkeypatch):
+    # Two tasks that build a block each (12 bytes a cell, five times) take at most half of a heap of 1.8 GB.
+    assert 2 * 5 * 12 * E.CELLS_PER_BLOCK < 0.5 * 1.8e9
+    df = spark.createDataFrame([([f"w{(i * j) % 12}" for j in range(8)],) for i in range(60)], "w array<string>")
+    asked, als = [], E.ALS
+    monkeypatch.setattr(E, "ALS", lambda **options: asked.append(options) or als(**options))
+    monkeypatch.setattr(E, "CELLS_PER_BLOCK", 4)
+    monkeypatch.setattr(E, "BROADCAST_ROWS", 0)
+    model = {r["token"]: r["vec"] for r in E.train_vectors(df, "w", size=4, rounds=2).collect()}
+    cells = E.association(E.cooccurrences(df, "w")).collect()
+    n = len({frozenset((r["token"], r["context"])) for r in cells})
+    assert asked[0]["numUserBlocks"] == asked[0]["numItemBlocks"] == max(10, -(-2 * n // 4)) > 10
+    assert set(model) == {r["token"] for r in cells}
+
+
 def test_a_written_table_leaves_nothing_shuffled_behind(spark):
     files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
 
