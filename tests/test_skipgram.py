@@ -151,3 +151,25 @@ def test_shares_from_packed_pairs(spark):
     assert "MapInArrow" in lists._jdf.queryExecution().executedPlan().toString()
     rows = {r["token"]: r["n"] for r in S.sampling_table(E.cooccurrences(df, "w", window=2)).collect()}
     assert rows == {"a": 5, "c": 5}
+
+
+def test_parts_of_large_blocks_all_meet_and_share_no_vector(spark, monkeypatch):
+    blocks, parts = 2, 3
+    lanes = spark.range(blocks * parts).select(F.col("id").cast("int").alias("b"))
+    met = []
+    for shift in range(blocks):
+        for turn in range(parts):
+            met.append({(r["b"], r["c"]) for r in lanes.select("b", S._further(F.col("b"), shift, turn, blocks, parts).alias("c")).collect()})
+    assert all(len({c for _, c in pairs}) == blocks * parts for pairs in met)
+    assert sum(len(pairs) for pairs in met) == len(set.union(*met)) == (blocks * parts)**2
+    # Blocks that are asked to hold too much are trained by more tasks.
+    df = spark.createDataFrame(planted(300), "w array<string>")
+    training = S.Training(size=8, epochs=1, passes=1)
+    whole = {r["token"] for r in S.train_skipgram(df, "w", training=training, blocks=1).collect()}
+    rounds, trained = [], S.round_of_blocks
+    monkeypatch.setattr(S, "round_of_blocks", lambda vectors, *a: rounds.append(vectors.select("block").distinct().count()) or trained(vectors, *a))
+    monkeypatch.setattr(S, "PART_TOKENS", 30)
+    monkeypatch.setattr(E, "BROADCAST_ROWS", 0)
+    found = {r["token"]: r["vec"] for r in S.train_skipgram(df, "w", training=training, blocks=1).collect()}
+    assert set(found) == whole and all(np.isfinite(v).all() and np.any(v) for v in found.values())
+    assert rounds == [2, 2]
