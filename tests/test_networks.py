@@ -589,3 +589,46 @@ def test_shared_counts_carry_no_weights(spark):
     counts = P.shared_counts(table)
     assert {(r["left"], r["right"]): r["common"] for r in counts.collect()} == want
     assert "_c_weight" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_meet_a_few_pairs_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(P, "_BOUND_SAVES", 0)
+    monkeypatch.setattr(P, "BLOCK_ELEMENTS", 30)
+    monkeypatch.setattr(P, "BLOCK_PAIRS", 4)
+    written, write = [], P.materialise
+
+    def noted(df, label="stage"):
+        table = write(df, label)
+        written.append((label, df.rdd.getNumPartitions() if label == "found" else 0))
+        return table
+
+    monkeypatch.setattr(P, "materialise", noted)
+    draw = random.Random(6)
+    vectors = {}
+    for d in range(40):
+        words = {f"w{draw.randrange(12)}": draw.choice([1.0, 2.0, 5.0]) for _ in range(5)}
+        length = math.sqrt(sum(w * w for w in words.values()))
+        vectors[d] = {i: w / length for i, w in words.items()}
+    rows = spark.createDataFrame([(d, i, w) for d, v in vectors.items() for i, w in v.items()], "owner long, item string, weight double")
+    found = P.similar_products(P.materialise(rows), 0.8)
+    got = {(r["left"], r["right"]): (r["dot"], r["common"]) for r in found.collect()}
+    want = {}
+    for a in vectors:
+        for b in range(a + 1, 40):
+            dot = sum(w * vectors[b].get(i, 0.0) for i, w in vectors[a].items())
+            if dot >= 0.8:
+                want[a, b] = dot, len(set(vectors[a]) & set(vectors[b]))
+    assert set(got) == set(want) and len(want) > 5 and found.count() == len(want)
+    assert all(got[k][0] == pytest.approx(want[k][0]) and got[k][1] == want[k][1] for k in want)
+    at_once = [n for label, n in written if label == "found"]
+    assert len(at_once) > 2 and max(at_once) <= 4
+
+
+def test_all_pairs_are_found_once_before_they_are_sorted(spark, monkeypatch):
+    written, write = [], U.materialise
+    monkeypatch.setattr(U, "materialise", lambda df, label="stage": written.append(label) or write(df, label))
+    links = [(f"u{i}", f"u{j}") for i in range(12) for j in range(i) if (i * j) % 5 == 1]
+    found = U.find_similar_users(edge_table(spark, links), False)
+    assert "found-pairs" in written and not [x for x in ("Join", "Generate") if x in found._jdf.queryExecution().executedPlan().toString()]
+    scores = [r["similarity"] for r in found.collect()]
+    assert scores == sorted(scores, reverse=True) and scores
